@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from .packing import op10_packing
+from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
 
 
 def queries() -> dict:
     return {
         "op1_sharding": op1_sharding,
+        "op3_quality": op3_quality,
         "op10_packing": op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality": op3_sql()}
