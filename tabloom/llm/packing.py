@@ -14,6 +14,7 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ END_ID = 2
 #: Ranks are counted within so many parts of each length, so that no length is one group.
 SALT = 64
 #: Words whose ids a worker keeps before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 NEWLINE_ID = 198
 
 
@@ -86,6 +87,12 @@ class TokenBytes:
                 yield b"".join(map(self.known.__getitem__, parts))
 
 
+@lru_cache(1)
+def token_bytes(ranks_path: str, pattern: str) -> TokenBytes:
+    """One for each worker process, whatever the number of its tasks."""
+    return TokenBytes(ranks_path, pattern)
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
     """Tokenise every whole text, add the end id and cut only what is longer than
     capacity; then all pieces but the first are exactly of that length."""
@@ -97,7 +104,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_i
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TokenBytes(path, pattern)
+        encode = token_bytes(path, pattern)
         for batch in batches:
             of, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encode(batch.column(1).to_pylist())):
