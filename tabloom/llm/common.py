@@ -53,3 +53,10 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value), with value computed once a row however often body names it."""
     return F.transform(F.array(value), body)[0]
+
+
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand long texts to Python in small Arrow batches, unless the session has its own setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from .packing import op10_packing
 from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
+from .simhash import op6_simhash
 
 
 def queries() -> dict:
     return {
         "op1_sharding": op1_sharding,
         "op3_quality": op3_quality,
+        "op6_simhash": op6_simhash,
         "op10_packing": op10_packing,
     }
 
