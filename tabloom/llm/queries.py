@@ -6,6 +6,7 @@ from .packing import op10_packing
 from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
 from .simhash import op6_simhash
+from .warc import op7_warc
 
 
 def queries() -> dict:
@@ -13,6 +14,7 @@ def queries() -> dict:
         "op1_sharding": op1_sharding,
         "op3_quality": op3_quality,
         "op6_simhash": op6_simhash,
+        "op7_warc": op7_warc,
         "op10_packing": op10_packing,
     }
 
