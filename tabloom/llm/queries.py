@@ -6,12 +6,14 @@ from .packing import op10_packing
 from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
 from .simhash import op6_simhash
+from .toxicity import op2_toxicity
 from .warc import op7_warc
 
 
 def queries() -> dict:
     return {
         "op1_sharding": op1_sharding,
+        "op2_toxicity": op2_toxicity,
         "op3_quality": op3_quality,
         "op6_simhash": op6_simhash,
         "op7_warc": op7_warc,
