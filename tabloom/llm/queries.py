@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op5_decontamination
 from .packing import op10_packing
 from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
@@ -15,6 +16,7 @@ def queries() -> dict:
         "op1_sharding": op1_sharding,
         "op2_toxicity": op2_toxicity,
         "op3_quality": op3_quality,
+        "op5_decontamination": op5_decontamination,
         "op6_simhash": op6_simhash,
         "op7_warc": op7_warc,
         "op10_packing": op10_packing,
