@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .chat import op8_chat
 from .decontaminate import op5_decontamination
+from .licenses import op9_licenses
 from .packing import op10_packing
 from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
@@ -19,6 +21,8 @@ def queries() -> dict:
         "op5_decontamination": op5_decontamination,
         "op6_simhash": op6_simhash,
         "op7_warc": op7_warc,
+        "op8_chat": op8_chat,
+        "op9_licenses": op9_licenses,
         "op10_packing": op10_packing,
     }
 
