@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op8_chat
 from .decontaminate import op5_decontamination
+from .langid import op4_langid
 from .licenses import op9_licenses
 from .packing import op10_packing
 from .quality import op3_quality, op3_sql
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op1_sharding": op1_sharding,
         "op2_toxicity": op2_toxicity,
         "op3_quality": op3_quality,
+        "op4_langid": op4_langid,
         "op5_decontamination": op5_decontamination,
         "op6_simhash": op6_simhash,
         "op7_warc": op7_warc,
