@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.session import materialise, shared_dir
+
+__all__ = ["SPACE", "SPACE_CHARS", "bounded_batches", "let", "lower_ascii", "materialise", "shared_dir", "table", "words"]
+
 #: White space of the word contracts: a word is a run of characters outside it.
 SPACE = r"[ \t\n\x0B\f\r]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -17,29 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share (spark.checkpoint.dir).
-
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="tabloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts its lineage and
-    keeps what follows from computing it twice. Survives the loss of executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.operators.graph import components
+
 from .common import bounded_batches, materialise, table
-from .components import components
 
 SHINGLE = 4
 RADIUS = 4
