@@ -130,10 +130,10 @@ class Service:
 
         def stop() -> None:
             late.set()
-            self.spark.interruptTag(tag)
+            self.spark.sparkContext.cancelJobsWithTag(tag)
 
         timer = threading.Timer(self.timeout_s, stop)
-        self.spark.addTag(tag)
+        self.spark.sparkContext.addJobTag(tag)
         timer.start()
         try:
             rows = df.limit(n + 1).collect()
@@ -141,7 +141,7 @@ class Service:
             return {"error": f"stopped after {self.timeout_s:g} s" if late.is_set() else str(e).splitlines()[0][:500]}
         finally:
             timer.cancel()
-            self.spark.removeTag(tag)
+            self.spark.sparkContext.removeJobTag(tag)
         return {"columns": df.columns, "rows": [[jsonable(v) for v in r] for r in rows[:n]], "row_count": min(n, len(rows)), "truncated": len(rows) > n}
 
 

@@ -48,9 +48,9 @@ def groups(files: DataFrame) -> DataFrame:
 
 def json_records(spark: SparkSession, kind: RecordType, paths: list[str] | str) -> tuple[DataFrame, DataFrame]:
     """Records of JSON objects (one a file), and the files that can't be parsed: (key, error)."""
-    raw = spark.read.schema(kind.raw + ", _corrupt string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(paths)
-    bad = raw.select(F.col("_metadata.file_path").alias("key"), F.col("_corrupt")).filter("_corrupt IS NOT NULL").select("key", F.lit("parse").alias("error"))
-    return kind.extract(raw.filter("_corrupt IS NULL")), bad
+    texts = spark.read.option("wholetext", True).text(paths).select("value", F.col("_metadata.file_path").alias("key"))
+    good, bad = json_text_records(kind, texts, "value")
+    return good, bad.select("key", F.lit("parse").alias("error"))
 
 
 def json_text_records(kind: RecordType, df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
