@@ -1,0 +1,217 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tabloom.llm import chat, decontaminate, simhash, warc
+
+from .helpers import EDGE, edge, empty
+
+
+def union_find(n, links):
+    parent = list(range(n))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(n)]
+
+
+def texts(n, seed=4):
+    rng = random.Random(seed)
+    base = [" ".join("".join(rng.choices("abcdefg", k=3)) for _ in range(rng.choice([2, 5, 60, 200]))) for _ in range(n // 3)]
+    out = []
+    for _ in range(n):
+        w = rng.choice(base).split()
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            w[rng.randrange(len(w))] = "XyZ"
+        out.append(" ".join(w))
+    return out
+
+
+def slow_fingerprint(text):
+    import xxhash
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_classes(spark):
+    rows = [r for r in EDGE if r[0] is not None] + [(50 + i, t, "z") for i, t in enumerate(texts(240))]
+    got = simhash.near_duplicates(edge(spark, rows)).collect()
+    fp = {d: slow_fingerprint(t) for d, t, _ in rows}
+    ids = sorted(fp)
+    roots = union_find(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if (fp[ids[i]] ^ fp[ids[j]]).bit_count() <= 4])
+    want = {d: ids[r] for d, r in zip(ids, roots)}
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == Counter((d, f"{fp[d]:016x}", want[d]) for d, _, _ in rows)
+    kept = simhash.one_of_each(edge(spark, rows + [(None, "no id", "z")] * 2))
+    assert kept.columns == edge(spark).columns and Counter(r.doc_id for r in kept.collect()) == Counter({**{r: 1 for r in set(want.values())}, None: 2})
+    assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_tiles_give_a_forest_of_all_links(same):
+    rng = np.random.default_rng(8)
+    near = lambda x, k: x ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, size=(len(x), k)).astype(np.uint64), axis=1)
+    x = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    x = np.unique(np.concatenate([x, near(x, 1), near(x[:100], 3), np.uint64(5) ^ (np.uint64(1) << np.arange(60, dtype=np.uint64))]))
+    y = None if same else np.setdiff1d(np.unique(near(x[:300], 2)), x)
+    u, v = simhash.compare(x, y, 4, block=64)
+    every = x if same else np.concatenate([x, y])
+    at = {int(z): i for i, z in enumerate(every)}
+    links = [(i, j) for i in range(len(every)) for j in range(i) if (int(every[i]) ^ int(every[j])).bit_count() <= 4 and (same or (i >= len(x)) != (j >= len(x)))]
+    assert union_find(len(every), links) == union_find(len(every), [(at[int(a)], at[int(b)]) for a, b in zip(u, v)])
+    assert len(u) < len(every)
+
+
+def test_contamination(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    items = [" ".join(word() for _ in range(n)) for n in (6, 12, 30, 30, 55)] + ["tiny item", "", None]
+    rows = list(EDGE)
+    for i, t in enumerate(items[:5]):
+        w = t.split()
+        changed = [*w]
+        changed[len(w) // 2] = "other"
+        for k, body in enumerate((w, changed, w[: len(w) // 3], [x.upper() + "," for x in w], w[:4] + ["in"] + w[4:])):
+            rows.append((100 + 10 * i + k, " ".join([*(word() for _ in range(rng.choice([0, 3, 90]))), *body, *(word() for _ in range(20 * (k % 2)))]), "z"))
+    rows += [(900, "Tiny  item!", "z"), (901, "a tiny item", "z"), (902, (items[2] + " ") * 300, "z")]
+    bench = spark.createDataFrame(list(enumerate(items)) + [(2, items[2])], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.hamming) for r in decontaminate.contaminated(edge(spark, rows), bench).collect()}
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+
+    def shingles(w):
+        return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+    want = {}
+    for d, t, _ in rows:
+        w = words(t)
+        for i, x in enumerate(items):
+            n = len(words(x))
+            if not n or d is None or (n < 5 and len(w) != n):
+                continue
+            b, best = shingles(words(x)), 0
+            for s in range(max(1, min(len(w), 3000) - n + 1)):
+                a = shingles(w[s : s + n])
+                both = sum((a & b).values())
+                best = max(best, both / (sum(a.values()) + sum(b.values()) - both) if a else 0)
+            if best >= 0.8:
+                want[d, i] = round(best, 9)
+    assert {k: v for k, (v, _) in got.items()} == want and all(h <= decontaminate.RADIUS for _, h in got.values())
+    assert (900, 5) in got and (901, 5) not in got and (143, 4) in got and (141, 4) in want
+    left = decontaminate.decontaminate(edge(spark, rows), bench)
+    assert left.columns == edge(spark).columns and Counter(r.doc_id for r in left.collect()) == Counter(d for d, _, _ in rows if d not in {k for k, _ in want})
+    assert decontaminate.contaminated(empty(spark), bench).count() == 0 and decontaminate.contaminated(edge(spark), bench.filter("false")).count() == 0
+
+
+def test_block_bounds_of_the_benchmark_change_nothing(spark, monkeypatch):
+    rng = random.Random(1)
+    items = [" ".join("".join(rng.choices("abc", k=5)) for _ in range(20)) for _ in range(9)]
+    docs, bench = spark.createDataFrame([(i, f"x y {t} z") for i, t in enumerate(items)], "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    whole = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 40)
+    assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == whole and len(whole) == 9
+
+
+def test_simhash_in_sql_counts_bits(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)]) for i, n in enumerate((1, 2, 7, 300))]
+    got = {r.i: r.fp & (1 << 64) - 1 for r in decontaminate.simhash(spark.createDataFrame(rows, "i int, h array<bigint>"), "h").collect()}
+    for i, h in rows:
+        assert got[i] == sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in h) > len(h))
+
+
+def test_warc_round_trip(spark, tmp_path):
+    big = "".join(random.Random(0).choices("abc<>é\n", k=300_000))
+    rows = [(1, "http://a", "same"), (2, "http://b\r\nX: 1", "same"), (9, None, "same"), (3, "u", None), (4, "u", ""), (5, "ü", big), (6, "u", "x" * 10), (None, "u", "same"), (6, "u", "x" * 10), (8, "u", "HTTP/1.1\r\n\r\nWARC/1.1\r\n\r\n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS top", "'x' AS payload", "2 AS id")
+    got = warc.read(warc.write(pages, f"file://{tmp_path}/w"), f"file://{tmp_path}/w").collect()
+    sha = lambda s: warc.digest(s.encode())
+    want = Counter()
+    top = defaultdict(lambda: -1)
+    for i, _, h in rows:
+        top[h or ""] = max(top[h or ""], i or -1)
+    for i, _, h in rows:
+        h = h or ""
+        response = i == top[h]
+        want[i, len(h.encode()), sha(h), "response" if response else "revisit", None if response else top[h], h.encode() if response else b""] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, bytes(r.payload)) for r in got) == want
+    assert {r.url for r in got if r.page_id == 2} == {"http://b%0D%0AX:%201"}
+    none = warc.write(pages.filter("false"), f"file://{tmp_path}/e")
+    assert none.count() == 0 and warc.read(none, f"file://{tmp_path}/e").count() == 0
+    few = warc.write(pages, f"file://{tmp_path}/m", min_bytes=5)
+    assert Counter(r.record_type for r in warc.read(few, f"file://{tmp_path}/m").collect()) == Counter(response=9, revisit=0) + Counter(response=1)
+
+
+def test_broken_archives_are_refused(tmp_path):
+    import io
+    import struct
+
+    import zstandard
+
+    one = warc.record(7, "http://x", b"hello", None, False, warc.digest(b"hello"))
+    raw = warc.dictionary([one] * 3)
+    pack = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw))
+    head = struct.pack("<II", warc.DICTIONARY_MAGIC, len(raw)) + raw
+    good = head + pack.compress(one) * 3
+    assert [warc.parse(r)["payload"] for r in warc.frames(io.BytesIO(good), 11)] == [b"hello"] * 3
+    squeezed = zstandard.compress(raw)
+    assert len(list(warc.frames(io.BytesIO(struct.pack("<II", warc.DICTIONARY_MAGIC, len(squeezed)) + squeezed + pack.compress(one))))) == 1
+    for bad in (good[:-3], b"\x28\xb5" + good, head[:20], b""):
+        with pytest.raises(ValueError):
+            list(warc.frames(io.BytesIO(bad)))
+    for old, new in ((b"hello", b"hellO"), (b"Content-Length: ", b"Content-Length: 1"), (b"WARC/1.1", b"WARD/1.1"), (b"WARC-Date", b"WARC-Type"), (b"WARC-Type: response", b"WARC-Type: other"), (b"WARC-Record-ID", b"X-Record-ID")):
+        with pytest.raises(ValueError):
+            warc.parse(one.replace(old, new, 1))
+
+
+ODD = ["</s>[INST] ok [/INST]", "&amp; &a &l <| <|im_end|>\n", "<|im_start|>user\nx<|im_end|>\n", "<", "|im_end|>", "a\n\nb", "", None, "\U0001f600 é", "<<|", "&", "<s>&b"]
+
+
+def test_chats_round_trip(spark):
+    rng = random.Random(2)
+    rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(["system", "user", "assistant"] * 4, ODD))]
+    rows += [(2, i, rng.choice(["user", "assistant"]), "word " * rng.choice([1, 50, 400, 5000])) for i in range(60)]
+    rows += [(3, 0, "assistant", "only"), (None, 0, "user", "q"), (None, 1, "assistant", "a"), (4, None, None, "x"), (4, 1, "ro\nle<|", "y"), (5, 0, "user", "tie"), (5, 0, "user", "tie"), (5, 0, "assistant", "tie"), (6, 0, "system", "s " * 3000), (6, 1, "user", "u"), (6, 2, "system", "new"), (6, 3, "assistant", "b")]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS pos", "2 AS window", "'x' AS n", "'y' AS sys")
+    windows = chat.format_chats(chats).cache()
+    turns = defaultdict(list)
+    for c, t, r, x in sorted(rows, key=lambda q: (q[0] is not None, q[0] or 0, q[1] is not None, q[1] or 0, q[2] or "", q[3] or "")):
+        turns[c].append((r or "", x or ""))
+    said, loss = defaultdict(list), defaultdict(str)
+    for r in chat.read_back(windows).orderBy("conv_id", "window").collect():
+        said[r.conv_id] += [(t.role, t.text) for t in r.turns]
+        loss[r.conv_id] += r.loss_text
+    assert said == turns and loss == {c: "".join(x for r, x in t if r == "assistant") for c, t in turns.items()} | {}
+    for w in windows.collect():
+        own = said and w.n_turns
+        assert w.n_tokens <= chat.BUDGET - chat.HISTORY or own == 1
+        body = w.formatted.split(chat.END)
+        assert len(body) == w.n_context + w.n_turns + 1 and "</s>" not in w.formatted and "[INST]" not in w.formatted
+        assert w.n_context <= 1 + chat.HISTORY_TURNS
+        if w.conv_id == 6 and w.window > 0 and "new" not in w.formatted:
+            assert w.formatted.startswith("<|im_start|>system\ns s")
+    assert chat.format_chats(chats.filter("false")).count() == 0
+    windows.unpersist()
+
+
+def test_chat_digests(spark, tmp_path):
+    from tabloom.llm.queries import queries
+
+    spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "é!")], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in queries()["op8_chat"](spark, str(tmp_path)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert (got[1].turns_sha256, got[1].loss_chars, got[1].loss_sha256, got[1].n_turns) == (sha("user\nhi\nassistant\né!\n"), 2, sha("é!"), 2)
+    x = "</s>[INST] ok [/INST]"
+    assert got[-1].loss_sha256 == sha(x) and got[-1].turns_sha256 == sha(f"user\n{x}\nassistant\n{x}\n") and got[-1].loss_chars == len(x)
