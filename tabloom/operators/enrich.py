@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.functions.nested import combined_status, pdf_urls
+from tabloom.session import ship
 
 from .merge import update_where_present
 
@@ -74,6 +75,7 @@ def from_pdfs(df: DataFrame, id_col: str, fetch, extract=pdf_text, attachments:
     extract takes bytes and returns text and status. Every row that was tried has a status."""
     import pandas as pd
 
+    ship(df.sparkSession)
     wanted = candidates(df, id_col, status, attachments, **choose)
     urls = wanted.select(F.col(id_col).alias("__id"), F.posexplode(pdf_urls(attachments, file_url)).alias("n", "url"))
 

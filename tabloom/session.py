@@ -49,3 +49,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever they run; once for a context."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tabloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tabloom-")) / "tabloom.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._tabloom_shipped = True

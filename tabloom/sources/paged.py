@@ -15,6 +15,8 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.session import ship
+
 Fetch = Callable[[date, date, int], tuple[list[dict], bool, int | None]]
 
 
@@ -72,6 +74,7 @@ def read(spark: SparkSession, fetch: Fetch, windows: DataFrame, schema: str, key
     import pandas as pd
     from pyspark.sql.types import StructType
 
+    ship(spark)
     names = [f.name for f in StructType.fromDDL(schema)]
     get, back = with_retries(fetch, policy), backwards and with_retries(backwards, policy)
 
