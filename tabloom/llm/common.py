@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.session import materialise, shared_dir
+from tabloom.session import materialise, shared_dir, ship
 
 __all__ = ["SPACE", "SPACE_CHARS", "bounded_batches", "let", "lower_ascii", "materialise", "shared_dir", "table", "words"]
 
@@ -34,7 +34,9 @@ def let(value: Column, body) -> Column:
 
 
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Hand long texts to Python in small Arrow batches, unless the session has its own setting."""
+    """Make ready for Python workers: they get this package, and long texts in small Arrow
+    batches, unless the session has its own setting."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(rows))

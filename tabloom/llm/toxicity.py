@@ -7,6 +7,7 @@ is then scored whole, in Arrow batches.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,18 +22,19 @@ from .common import bounded_batches, table
 
 #: The bound of the training sample: so many labelled rows of each class.
 SAMPLE_ROWS = 2500
-#: Features that are kept, by chi-square between the classes.
+#: Features that are kept: those so many times as frequent in toxic texts as in others, by chi-square.
 MAX_FEATURES = 1000
-MIN_CHI2 = 12.0
-#: Grades: 0 is not toxic, 1 to 3 are toxic texts by thirds of their density of toxic features.
+MIN_CHI2, MIN_RATIO, MIN_TEXTS = 20.0, 6.0, 8
+#: Features at least so many times as frequent in toxic texts are telling: words with one are counted together, and so are words with others only.
+TELLING_RATIO = 20.0
+#: Grades: 0 is not toxic, 1 to 3 are toxic texts by thirds of their number of words that have any of the features.
 GRADES = 4
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def counts(text: str | None) -> tuple[Counter, int]:
-    """Counts of a text's words, case folded, and how many they are."""
-    c = Counter(WORD.findall(text.lower())) if text else Counter()
-    return c, sum(c.values())
+def counts(text: str | None) -> Counter:
+    """Counts of a text's words, in lower case."""
+    return Counter(WORD.findall(text.lower())) if text else Counter()
 
 
 def features_of(word: str) -> list[str]:
@@ -40,27 +42,34 @@ def features_of(word: str) -> list[str]:
     return [f"w {word}", *(f"{k} {word[:k]}" for k in (4, 5) if len(word) >= k)]
 
 
-def sparse(c: Counter, chosen: dict[str, int] | None = None) -> Counter:
-    out: Counter = Counter()
+def sparse(c: Counter, chosen: dict[str, bool]) -> tuple[Counter, int, int]:
+    """Counts of a text's chosen features (true for those that are telling), of its words
+    with a telling one, and of its words with others only."""
+    out, telling, other = Counter(), 0, 0
     for w, n in c.items():
-        for f in features_of(w):
-            if chosen is None or f in chosen:
+        found = [f for f in features_of(w) if f in chosen]
+        if found:
+            for f in found:
                 out[f] += n
-    return out
+            if any(chosen[f] for f in found):
+                telling += n
+            else:
+                other += n
+    return out, telling, other
 
 
 @dataclass(frozen=True)
 class Model:
     features: tuple[str, ...]
-    weights: np.ndarray  # one for each feature, then the density's
+    telling: tuple[bool, ...]
+    weights: np.ndarray  # one for each feature, then those of words with telling and with other features
     thresholds: np.ndarray  # ascending
-    signs: np.ndarray  # 1 for the features of toxic texts
 
-    def vector(self, found: Counter, n: int, index: dict[str, int]) -> tuple[list[int], list[float], float]:
-        at = [index[f] for f in found]
-        x = np.log1p(list(found.values())).tolist()
-        hits = sum(v for f, v in found.items() if self.signs[index[f]] and f[0] == "4")
-        return at, x, float(np.log1p(1000.0 * hits / (n + 20)))
+    def score(self, c: Counter, chosen: dict[str, bool], index: dict[str, int]) -> float:
+        """w.x of a text's sparse features, the logarithms of their counts."""
+        found, telling, other = sparse(c, chosen)
+        x = sum(self.weights[index[f]] * math.log1p(n) for f, n in found.items())
+        return float(x + self.weights[-2] * math.log1p(telling) + self.weights[-1] * math.log1p(other))
 
     def probabilities(self, score: np.ndarray) -> np.ndarray:
         """P(grade = k), a row for each score."""
@@ -69,7 +78,7 @@ class Model:
         return np.diff(below, axis=1)
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n_grades: int, l2: float = 2.0, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n_grades: int, l2: float = 1.0, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds by gradient steps (Adam) on the weighted likelihood."""
     n, d = x.shape
     share = np.cumsum(np.bincount(y, weight, n_grades))[:-1] / weight.sum()
@@ -109,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).alias("toxic"))
     total = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    never = Model((), np.zeros(1), np.array([30.0, 31.0, 32.0]), np.zeros(0, bool))
+    never = Model((), (), np.zeros(2), np.array([30.0, 31.0, 32.0]))
     if len(total) < 2:
         return never
     parts = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(sample_rows) for t in (True, False)]
@@ -119,56 +128,55 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                f = list(sparse(counts(text)[0]))
+                f = list({f for w in counts(text) for f in features_of(w)})
                 yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(f), pa.bool_()), pa.array(f, pa.string())], ["toxic", "feature"])
 
     n_toxic, n_clean = (min(sample_rows, total[t]) for t in (True, False))
     a, b = F.col("a"), F.col("b")  # documents of either class that have the feature
-    n = float(n_toxic + n_clean)
+    n, least = float(n_toxic + n_clean), max(3, min(MIN_TEXTS, n_toxic // 25))
     chi2 = n * (a * (n_clean - b) - b * (n_toxic - a)) ** 2 / (float(n_toxic) * n_clean * (a + b) * (n - a - b + 1.0))
     best = (
         rows.select("toxic", "text").mapInArrow(explode, "toxic boolean, feature string")
         .groupBy("feature").agg(F.sum(F.col("toxic").cast("double")).alias("a"), F.sum((~F.col("toxic")).cast("double")).alias("b"))
-        .filter(a + b >= 5).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
+        .filter((a + b >= least) & ((a + 0.5) / (n_toxic + 1) >= MIN_RATIO * (b + 0.5) / (n_clean + 1)))
+        .withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
         .orderBy(F.desc("chi2"), "feature").limit(max_features).collect()
     )
     if not best:
         return never
     features = tuple(sorted(r.feature for r in best))
     index = {f: i for i, f in enumerate(features)}
-    sign = {r.feature: r.a / n_toxic > r.b / n_clean for r in best}
-    signs = np.array([sign[f] for f in features])
+    ratio = {r.feature: (r.a + 0.5) / (n_toxic + 1) / ((r.b + 0.5) / (n_clean + 1)) for r in best}
+    chosen = {f: ratio[f] >= TELLING_RATIO for f in features}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, x, size, hits = [], [], [], []
-            for text in b.column(1).to_pylist():
-                c, n_words = counts(text)
-                found = sparse(c, index)
-                at.append([index[f] for f in found])
-                x.append(list(found.values()))
-                size.append(n_words)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.int32())), pa.array(size, pa.int64())], ["toxic", "at", "n", "size"])
-
-    data = rows.select("toxic", "text").mapInArrow(vectors, "toxic boolean, at array<int>, n array<int>, size long").collect()  # at most 2 * sample_rows sparse rows, or as many as share those ids
+            found = [sparse(counts(text), chosen) for text in b.column(1).to_pylist()]
+            at, x = [[index[f] for f in c] for c, _, _ in found], [list(c.values()) for c, _, _ in found]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.int32())), pa.array([t for _, t, _ in found], pa.int64()), pa.array([o for _, _, o in found], pa.int64())],
+                ["toxic", "at", "n", "telling", "other"],
+            )
+
+    # at most 2 * sample_rows sparse rows, or as many as share those ids
+    data = rows.select("toxic", "text").mapInArrow(vectors, "toxic boolean, at array<int>, n array<int>, telling long, other long").collect()
     if not data:
         return never
-    x, density = np.zeros((len(data), len(features) + 1), np.float32), np.zeros(len(data))
-    stem = np.array([f[0] == "4" for f in features]) & signs
+    x = np.zeros((len(data), len(features) + 2))
     for i, r in enumerate(data):
-        if r.at:
-            x[i, r.at] = np.log1p(r.n)
-            density[i] = sum(k for j, k in zip(r.at, r.n) if stem[j]) / (r.size + 20)
-    x[:, -1] = np.log1p(1000 * density)
+        x[i, r.at] = np.log1p(r.n)
+        x[i, -2:] = np.log1p([r.telling, r.other])
+    hits = np.array([r.telling + r.other for r in data])
     toxic = np.array([r.toxic for r in data])
     y = np.zeros(len(data), np.int64)
     if toxic.any():
-        cuts = np.quantile(density[toxic], [k / (GRADES - 1) for k in range(1, GRADES - 1)])
-        y[toxic] = 1 + np.searchsorted(cuts, density[toxic], side="right")
+        some = hits[toxic & (hits > 0)]
+        cuts = np.quantile(some if len(some) else [1], [k / (GRADES - 1) for k in range(1, GRADES - 1)])
+        y[toxic] = 1 + np.searchsorted(cuts, hits[toxic], side="right")
     weight = np.where(toxic, total[True] / n_toxic, total[False] / n_clean)  # as frequent as among all labels
     weight *= len(weight) / weight.sum()
-    w, theta = fit_ordinal(x.astype(np.float64), y, weight, GRADES)
-    return Model(features, w, theta, signs)
+    w, theta = fit_ordinal(x, y, weight, GRADES)
+    return Model(features, tuple(chosen.values()), w, theta)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,16 +193,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def _scorer(model: Model, keep: list[str]):
-    index = {f: i for i, f in enumerate(model.features)}
-    w = model.weights
+    index, chosen = {f: i for i, f in enumerate(model.features)}, dict(zip(model.features, model.telling))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = []
-            for text in b.column(b.num_columns - 1).to_pylist():
-                c, n = counts(text)
-                at, x, density = model.vector(sparse(c, index), n, index)
-                s.append(float(w[at] @ np.array(x)) + w[-1] * density if at else 0.0)
+            s = [model.score(counts(text), chosen, index) for text in b.column(b.num_columns - 1).to_pylist()]
             p = model.probabilities(np.array(s))
             toxic = 1 - p[:, 0]
             yield pa.RecordBatch.from_arrays(
