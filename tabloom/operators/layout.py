@@ -125,3 +125,55 @@ def describe_markdown(df: DataFrame, title: str, notes: dict[str, str] | None =
     notes = notes or {}
     lines = [f"# {title}", "", "| column | type | description |", "|-|-|-|"]
     return "\n".join(lines + [f"| {f.name} | {f.dataType.simpleString()} | {notes.get(f.name, '')} |" for f in df.schema]) + "\n"
+
+
+def write_staging(records: DataFrame, base: str, kind: str, group: str) -> int:
+    """Append a run's records below base/kind, by group; nothing is written for no rows."""
+    rows = records.count()
+    if rows:
+        write_partitioned_append(records, f"{base.rstrip('/')}/{kind}", [group])
+    return rows
+
+
+def write_partitioned_append(df: DataFrame, path: str, by: list[str]) -> None:
+    df.repartition(*by).write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
+
+
+def merge_partitions(staged: DataFrame, path: str, by: list[str], keys: list[str], version: str, sort: list | None = None) -> list[dict]:
+    """Merge staged rows into a partitioned table, newest version of each key, touching only
+    the partitions that staged rows fall into; returns those, with their rows.
+
+    Old rows of those partitions are pruned to at the scan. The merged rows are written
+    beside the table first, as a table isn't overwritten while it is read.
+    """
+    from tabloom.session import materialise
+
+    from .merge import merge_latest
+
+    spark = staged.sparkSession
+    staged = staged.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in by))
+    changed = staged.select(*by).distinct().collect()  # as many as there are partitions in a run
+    if not changed:
+        return []
+    old = None
+    if exists(spark, path):
+        old = spark.read.parquet(path)
+        hit = F.lit(False)
+        for row in changed:
+            one = F.lit(True)
+            for c in by:
+                one = one & (F.col(c) == row[c])
+            hit = hit | one
+        old = old.filter(hit)
+        old = old.select(*(F.col(f.name).cast(staged.schema[f.name].dataType) if f.name in staged.columns else F.col(f.name) for f in old.schema))
+    merged = materialise(merge_latest(old, staged, [*by, *keys], version), "merged")
+    write_partitioned(merged, path, by, sort)
+    return [r.asDict() for r in merged.groupBy(*by).agg(F.count("*").alias("row_count")).collect()]
+
+
+def export_snapshot(df: DataFrame, path: str, by: list, tree: str | None = None, tree_by: list[str] | None = None, least_rows: int = 0, least_ratio: float = 0.5) -> int:
+    """Publish a table: clustered and swapped in behind its guards, then as a tree of partitions."""
+    rows = swap(df, path, by, least_ratio, least_rows)
+    if tree:
+        write_partitioned(df.sparkSession.read.parquet(path), tree, tree_by or [], by)
+    return rows

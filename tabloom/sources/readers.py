@@ -109,3 +109,37 @@ def day_windows(spark: SparkSession, first: str, last: str, days: int) -> DataFr
     """Date windows of so many days between two days, both included: (since, until)."""
     start: Column = F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr(f"INTERVAL {days} DAYS")))
     return spark.range(1).select(start.alias("since")).withColumn("until", F.least(F.date_add("since", days - 1), F.lit(last).cast("date")))
+
+
+def dump(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFrame:
+    """Texts of a dump, a row each (value): the lines of NDJSON files, plain, gzipped or
+    zipped, and the elements of a JSON array that stands on one line."""
+    from tabloom.session import ship
+
+    plain = spark.read.option("recursiveFileLookup", True).text(path).filter("NOT endswith(lower(_metadata.file_name), '.zip')").select("value")
+    ship(spark)
+    zipped = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path).select("content")
+
+    def lines(frames):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for f in frames:
+            for content in f["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in z.namelist():
+                        held, size = [], 0
+                        for line in z.open(name):
+                            held.append(line.decode("utf-8", "replace").rstrip("\r\n"))
+                            size += len(line)
+                            if size > chunk:
+                                yield pd.DataFrame({"value": held})
+                                held, size = [], 0
+                        if held:
+                            yield pd.DataFrame({"value": held})
+
+    rows = plain.union(zipped.mapInPandas(lines, "value string")).filter("trim(value) <> ''")
+    items = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
+    return rows.select(F.explode(items).alias("value"))
