@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm import decontaminate, packing, quality, simhash, toxicity
+from tabloom.llm import decontaminate, packing, quality, toxicity, widehash
 from tabloom.llm.common import shared_dir, table
 
 
@@ -25,8 +25,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate class."""
-    return simhash.one_of_each(docs)
+    """One row of each near-duplicate class, by SimHash of five-word shingles at a similarity of about 0.8."""
+    return widehash.one_of_each(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
