@@ -23,8 +23,8 @@ from .simhash import _forest
 
 WORDS = 4
 SHINGLE = 5
-#: Of 256 bits; measured on near copies, this separates shingle similarities at about 0.8.
-RADIUS = 40
+#: Of 256 bits. Texts at a similarity of 0.8 differ in 39 on average, with a deviation of 6; at 0.87 in 30; at 0.65 in 54.
+RADIUS = 46
 TILE, BLOCK = 4096, 512
 NAMES = [f"w{i}" for i in range(WORDS)]
 MOST_PARTITIONS = 4096

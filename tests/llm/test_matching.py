@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tabloom.llm import chat, decontaminate, simhash, warc
+from tabloom.llm import chat, decontaminate, simhash, warc, widehash
 
 from .helpers import EDGE, edge, empty
 
@@ -75,6 +75,57 @@ def test_tiles_give_a_forest_of_all_links(same):
     assert len(u) < len(every)
 
 
+def slow_wide(text):
+    import xxhash
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    if not w:
+        return 0
+    parts = [" ".join(w[i : i + 5]).encode() for i in range(max(1, len(w) - 4))]
+    h = [int.from_bytes(xxhash.xxh3_128_digest(p, 42) + xxhash.xxh3_128_digest(p, 43), "little") for p in parts]
+    return sum(1 << b for b in range(256) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_wide_classes(spark, monkeypatch):
+    rows = list(EDGE) + [(50 + i, t, "z") for i, t in enumerate(texts(300, 12))] + [(None, "one", "z")]
+    fp = {d: slow_wide(t) for d, t, _ in rows if d is not None}
+    ids = sorted(fp)
+    roots = union_find(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if (fp[ids[i]] ^ fp[ids[j]]).bit_count() <= widehash.RADIUS])
+    want = Counter({ids[r]: 1 for r in set(roots)}) + Counter(d for d, _, _ in rows if d is None)
+    for tile in (widehash.TILE, 16):  # one tile, and many
+        monkeypatch.setattr(widehash.links, "__defaults__", (widehash.RADIUS, tile))
+        kept = widehash.one_of_each(edge(spark, rows))
+        assert kept.columns == edge(spark).columns and Counter(r.doc_id for r in kept.collect()) == want
+    assert widehash.one_of_each(empty(spark)).count() == 0
+
+
+def test_near_copies_share_a_class_and_others_do_not(spark):
+    rng = random.Random(3)
+    base = [[f"{rng.randrange(10**6)}" for _ in range(300)] for _ in range(40)]
+    rows = [(i, " ".join(w), "s") for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        w = [*w]
+        for k in range(4):  # five-word shingles alike at 0.87
+            w[40 + 60 * k] = "changed"
+        rows.append((100 + i, " ".join(w), "s"))
+        rows.append((200 + i, " ".join(w[:150] + [f"{rng.randrange(10**6)}" for _ in range(150)]), "s"))  # half alike: another text
+    kept = {r.doc_id for r in widehash.one_of_each(edge(spark, rows)).collect()}
+    assert len(kept & set(range(40))) == 40 and len(kept & set(range(100, 140))) <= 1 and len(kept & set(range(200, 240))) >= 39
+
+
+@pytest.mark.parametrize("count, tile", [({}, 4), ({128: 3}, 4), ({10: 2, 11: 2, 12: 1, 60: 9, 61: 1, 200: 4}, 4), ({b: 7 for b in range(257)}, 16)])
+def test_tiling_meets_all_within_the_radius(count, tile):
+    first, parts, low, high, n = widehash.tiling(count, 10, tile)
+    tiles = lambda b: range(first[b], first[b] + parts[b])
+    assert n == len({t for b in count for t in tiles(b)})
+    for a in count:
+        assert count[a] <= tile * parts[a] and all(0 <= t < n for t in tiles(a))
+        for b in count:
+            meets = all(low[a] <= t <= high[a] for t in tiles(b)) and all(low[b] <= t <= high[b] for t in tiles(a))
+            assert meets or abs(a - b) > 10
+    assert all(sum(c for b, c in count.items() if parts[b] == 1 and first[b] == t) <= tile for t in range(n))
+
+
 def test_contamination(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("abcdefghij", k=4))
