@@ -1,9 +1,10 @@
 """License scans with a positional index of rare words, built-in functions only.
 
-Every licence template is indexed by word and position. Of the licence words in a file
-those of the highest IDF, counted over all files, are looked up; their postings give
-the places where a template would start, and a start counts if the template's rare
-words stand at the same relative positions and its key phrases word by word.
+Every licence template is indexed by word and position. A notice holds its template's
+key phrases word by word, so wherever the key word of the highest IDF, counted over all
+files, stands, the template would start so many words before; all such places of all
+templates are tried. A start counts if the template's rare words stand at the same
+relative positions and its key phrases word by word.
 """
 
 from __future__ import annotations
@@ -61,8 +62,8 @@ TEMPLATES = (
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 )
 
-#: So many of a file's licence words are looked up, so many of a template's are its rare ones, and so great a share of those must match.
-LOOKED_UP, RARE_WORDS, SHARE = 8, 6, 0.6
+#: So many of a template's words are its rare ones, and so great a share of those must match.
+RARE_WORDS, SHARE = 6, 0.6
 
 
 def scan_words(text: Column) -> Column:
@@ -94,10 +95,12 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
     by_idf = sorted(vocabulary, key=lambda w: (-weight[w], w))
     rank = {w: i for i, w in enumerate(by_idf)}
     rare = [sorted(((i, w) for i, w in enumerate(t.words)), key=lambda x: (rank[x[1]], x[0]))[:RARE_WORDS] for t in templates]
-    searched = [w for w in by_idf if any(w == x for r in rare for _, x in r)]
+    # one key word of each template is looked up, as a match has them all; without keys any rare word may be the one that stands
+    sought = [sorted(t.key_words(), key=lambda x: (rank[x[1]], x[0]))[:1] or r for t, r in zip(templates, rare)]
+    searched = sorted({w for s in sought for _, w in s})
     places = lambda at: "array(" + ", ".join(f"struct({i} AS i, '{w}' AS w)" for i, w in at) + ")"
     index = "array(" + ", ".join(f"struct('{t.label}' AS label, {places(r)} AS rare, {places(t.key_words())} AS keys)" for t, r in zip(templates, rare)) + ")"
-    postings = "array(" + ", ".join(f"struct({k} AS t, {i} AS i, '{w}' AS w)" for k, r in enumerate(rare) for i, w in r) + ")"
+    postings = "array(" + ", ".join(f"struct({k} AS t, {i} AS i, '{w}' AS w)" for k, s in enumerate(sought) for i, w in s) + ")"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = docs.select(F.col(id_col), F.inline(let(scan_words(text), lambda w: F.array(F.struct(w.alias("__w"))))))
     at = lambda offset, i: f"get(__w, {offset} + {i})"
@@ -106,14 +109,11 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
         p = phrase.split()
         rest = " AND ".join(f"{at('i', j)} <=> '{w}'" for j, w in enumerate(p))
         base.append(f"transform(CASE WHEN array_contains(__w, '{p[-2]}') AND size(__w) >= {len(p)} THEN filter(sequence(0, size(__w) - 1), i -> {rest}) ELSE array() END, i -> struct(i AS at, '{label}' AS label))")
-    # the file's licence words that are looked up, and where they stand
+    # where the words that are looked up stand in the file
     known = ", ".join(f"'{w}'" for w in searched)
     hits = f"filter(transform(__w, (w, i) -> CASE WHEN w IN ({known}) THEN struct(w AS w, i AS i) END), x -> x IS NOT NULL)"
     found = words.select(id_col, "__w", F.expr(f"concat({', '.join(base)})").alias("__base"), F.expr(hits).alias("__hits"))
-    found = found.select("*", F.inline(F.expr(f"array(struct(CASE WHEN size(__hits) > 0 THEN slice(filter(array({known}), v -> exists(__hits, h -> h.w = v)), 1, {LOOKED_UP}) END AS __top))")))
-    starts = (
-        f"array_distinct(flatten(transform(filter(__hits, h -> array_contains(__top, h.w)), h -> transform(filter({postings}, p -> p.w = h.w), p -> struct(p.t AS t, h.i - p.i AS o)))))"
-    )
+    starts = f"array_distinct(flatten(transform(__hits, h -> transform(filter({postings}, p -> p.w = h.w), p -> struct(p.t AS t, h.i - p.i AS o)))))"
     share = f"transform({starts}, s -> transform(array(element_at({index}, s.t + 1)), x -> struct(x.label AS label, size(filter(x.rare, r -> {at('s.o', 'r.i')} <=> r.w)) / size(x.rare) AS share, forall(x.keys, k -> {at('s.o', 'k.i')} <=> k.w) AS keys))[0])"
     matched = found.select(id_col, F.size("__w").cast("long").alias("n_words"), "__base", F.inline(F.expr(f"array(struct(CASE WHEN size(__hits) > 0 THEN filter({share}, m -> m.keys AND m.share >= {SHARE}D) ELSE NULL END AS __m))")))
     some = F.coalesce(F.col("__m.label"), F.array().cast("array<string>"))

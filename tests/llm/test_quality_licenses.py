@@ -75,3 +75,12 @@ def test_each_template_finds_itself(spark):
     rows = [(i, "Before, " + t.text.upper() + ". After", "s") for i, t in enumerate(licenses.TEMPLATES)]
     got = {r.doc_id: r.labels for r in licenses.scan(edge(spark, rows)).collect()}
     assert all(t.label in got[i].split(",") for i, t in enumerate(licenses.TEMPLATES))
+
+
+def test_no_notice_hides_another(spark):
+    text = {t.label: t.text for t in licenses.TEMPLATES}
+    mixes = [("bsd", "mpl-2", "cc-by-sa"), ("isc", "unlicense"), ("bsd", "isc"), tuple(text)]
+    rows = [(i, ". And: ".join(text[x] for x in mix), "s") for i, mix in enumerate(mixes)]
+    rows += [(100 + i, text["cc-by-sa"] + " free and unencumbered", "hot") for i in range(40)]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(edge(spark, rows)).collect()}
+    assert all(set(mix) <= set(got[i]) for i, mix in enumerate(mixes))
