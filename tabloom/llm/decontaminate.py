@@ -1,8 +1,9 @@
 """Benchmark decontamination with SimHash windows, built-in functions only.
 
-A window of a document has an item's number of words. Windows without a word shingle
-of the benchmark have similarity zero with every item, so only those that an item's
-shingle anchors are fingerprinted. Fingerprints meet through Hamming blocks: two that
+A window of a document has an item's number of words. Shingles of a document that stand
+in the benchmark are its anchors; a window reaches the similarity only with enough of
+them, so all windows that hold so many, wherever in them these stand, are fingerprinted,
+and no others. Fingerprints meet through Hamming blocks: two that
 differ in at most RADIUS of 64 bits agree in one of RADIUS + 1 blocks, so a join on
 blocks misses none. Candidates are then verified by their exact shingle weights.
 """
@@ -77,17 +78,20 @@ def _search(docs: DataFrame, items: list[tuple], radius: int, similarity: float,
     """Verified windows of one block of items: doc_id, item_id, start, n_words, hamming, similarity."""
     spark = docs.sparkSession
     item = spark.createDataFrame(items, "item_id long, n int, item_hashes array<bigint>")
-    postings = item.select("n", F.posexplode("item_hashes").alias("at", "h")).distinct()
     known = ",".join(str(h) + "L" for h in sorted({h for _, _, hs in items for h in hs if h != -(1 << 63)}))
     # word arrays and anchors, made once for each document
     w = docs.select("doc_id", F.inline(let(_words(F.col("text")), lambda w: F.array(F.struct(w.alias("w"))))))
     short = f"transform(filter(array(0), i -> size(w) BETWEEN 1 AND {k - 1} AND xxhash64(w) IN ({known})), i -> i)"
     long = f"filter(sequence(0, greatest(size(w) - {k}, 0)), i -> xxhash64(slice(w, i + 1, {k})) IN ({known}))"
-    anchors = w.select("doc_id", "w", F.explode(F.expr(f"CASE WHEN size(w) >= {k} THEN {long} ELSE {short} END")).alias("i"))
-    hashed = anchors.withColumn("h", F.when(F.size("w") < k, F.xxhash64("w")).otherwise(F.expr(f"xxhash64(slice(w, i + 1, {k}))")))
-    # block-bounded: at most BLOCK_SHINGLES postings, unless one item has more
-    start = F.greatest(F.lit(0), F.least(F.col("i") - F.col("at"), F.size("w") - F.col("n")))
-    windows = hashed.join(F.broadcast(postings), "h").withColumn("start", start).select("doc_id", "n", "start", F.slice("w", F.col("start") + 1, F.col("n")).alias("window")).distinct()
+    anchors = w.select("doc_id", "w", F.inline(F.expr(f"array(struct(CASE WHEN size(w) >= {k} THEN {long} ELSE {short} END AS a))"))).filter(F.size("a") > 0)
+    # for each number of words: starts of windows of which `need` anchors in a row lie within; a shorter document is one window
+    lengths = ",".join(map(str, sorted({n for _, n, _ in items})))
+    m = f"greatest(least(n, size(w)) - {k - 1}, 1)"
+    need = f"greatest(CAST(ceil(({m} + greatest(n - {k - 1}, 1)) * {similarity}D / {1 + similarity}D - 1e-9D) AS INT), 1)"
+    runs = "CASE WHEN size(a) >= x.need THEN sequence(0, size(a) - x.need) ELSE array() END"
+    low, high = "greatest(a[j + x.need - 1] - x.m + 1, 0)", "least(a[j], greatest(size(w) - x.n, 0))"
+    starts = f"flatten(transform(array({lengths}), n -> flatten(transform(array(struct(n AS n, {m} AS m, {need} AS need)), x -> flatten(transform({runs}, j -> CASE WHEN {low} <= {high} THEN transform(sequence({low}, {high}), s -> struct(x.n AS n, s AS start)) ELSE array() END))))))"
+    windows = anchors.select("doc_id", "w", F.inline(F.array_distinct(F.expr(starts)))).select("doc_id", "n", "start", F.slice("w", F.col("start") + 1, F.col("n")).alias("window")).distinct()
     windows = windows.select("doc_id", "n", "start", F.inline(let(_shingles(F.col("window"), k), lambda h: F.array(F.struct(h.alias("hashes"))))))
     indexed = simhash(item, "item_hashes").select("item_id", "n", "item_hashes", F.col("fp").alias("item_fp"), F.inline(_blocks("fp", radius)))
     probes = simhash(windows, "hashes").select("*", F.inline(_blocks("fp", radius)))

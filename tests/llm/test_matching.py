@@ -166,6 +166,17 @@ def test_contamination(spark):
     assert decontaminate.contaminated(empty(spark), bench).count() == 0 and decontaminate.contaminated(edge(spark), bench.filter("false")).count() == 0
 
 
+def test_passages_with_moved_parts_are_found(spark):
+    rng = random.Random(7)
+    w, pad = (["".join(rng.choices("abcdefgh", k=7)) for _ in range(n)] for n in (100, 90))
+    swapped, cut = w[50:] + w[:50], w[3:]
+    rows = [(1, " ".join(pad[:60] + swapped + pad[60:]), "z"), (2, " ".join(swapped), "z"), (3, " ".join(cut), "z"), (4, " ".join(pad + w[:50]), "z")]
+    bench = spark.createDataFrame([(0, " ".join(w))], "item_id long, text string")
+    got = {r.doc_id: (r.start, round(r.similarity, 9)) for r in decontaminate.contaminated(edge(spark, rows), bench).collect()}
+    assert got == {1: (60, round(92 / 100, 9)), 2: (0, round(92 / 100, 9)), 3: (0, round(93 / 96, 9))}
+    assert {r.doc_id for r in decontaminate.decontaminate(edge(spark, rows), bench).collect()} == {4}
+
+
 def test_block_bounds_of_the_benchmark_change_nothing(spark, monkeypatch):
     rng = random.Random(1)
     items = [" ".join("".join(rng.choices("abc", k=5)) for _ in range(20)) for _ in range(9)]
