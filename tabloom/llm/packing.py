@@ -9,6 +9,7 @@ finds its bin from its length and its rank among the pieces of that length.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import struct
 import zlib
@@ -38,10 +39,12 @@ class TokenBytes:
 
     Splits at single spaces and newlines, where the tokeniser always splits too, and
     keeps the ids of words already seen; a text with two adjacent white-space
-    characters goes to the tokeniser whole.
+    characters goes to the tokeniser whole. An added token's content in a text is that
+    token, wherever it stands, as in the tokenizers file; the texts around it are
+    tokenised by themselves.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
@@ -49,6 +52,9 @@ class TokenBytes:
         self.encode = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.adjacent, self.inner = re.compile(r"\s\s|\x00"), re.compile(r".\s", re.S)
         self.known: dict[str, bytes] = {}
+        self.added = {t: struct.pack("<I", i) for t, i in added}
+        # the longest first, as in the tokenizers file
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
 
     def whole(self, text: str) -> bytes:
         return np.array(self.encode(text), "<u4").tobytes()
@@ -74,23 +80,39 @@ class TokenBytes:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            if self.adjacent.search(text):
-                yield self.whole(text)
-                continue
-            parts = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-            try:
-                yield b"".join(map(self.known.__getitem__, parts))
-            except KeyError:
-                if len(self.known) > CACHE_WORDS:
-                    self.known.clear()
-                self.learn([w for w in set(parts) if w not in self.known])
-                yield b"".join(map(self.known.__getitem__, parts))
+            if self.split and any(t in text for t in self.added):
+                yield b"".join(self.added[p] if p in self.added else self.plain(p) for p in self.split.split(text))
+            else:
+                yield self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """The ids of a text without an added token."""
+        if self.adjacent.search(text):
+            return self.whole(text)
+        parts = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+        try:
+            return b"".join(map(self.known.__getitem__, parts))
+        except KeyError:
+            if len(self.known) > CACHE_WORDS:
+                self.known.clear()
+            self.learn([w for w in set(parts) if w not in self.known])
+            return b"".join(map(self.known.__getitem__, parts))
 
 
 @lru_cache(1)
-def token_bytes(ranks_path: str, pattern: str) -> TokenBytes:
+def token_bytes(ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> TokenBytes:
     """One for each worker process, whatever the number of its tasks."""
-    return TokenBytes(ranks_path, pattern)
+    return TokenBytes(ranks_path, pattern, added)
+
+
+def added_tokens(tokenizer_path: str) -> tuple[tuple[str, int], ...]:
+    """The added tokens of a tokenizers file, with their ids."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in found if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]
+    if odd:
+        raise ValueError(f"added tokens that take white space or whole words only aren't supported: {odd}")
+    return tuple((t["content"], t["id"]) for t in found)
 
 
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
@@ -99,13 +121,14 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_i
     import public_tokenizers
 
     path, pattern = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
     bounded_batches(docs.sparkSession)
     end = struct.pack("<I", END_ID)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = token_bytes(path, pattern)
+        encode = token_bytes(path, pattern, added)
         for batch in batches:
             of, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encode(batch.column(1).to_pylist())):

@@ -101,3 +101,18 @@ def test_packing_round_trip(spark):
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
     assert packing.pack(empty(spark)).count() == 0
     assert json.dumps(sorted(bins)) == json.dumps(list(range(len(bins))))
+
+
+def test_added_tokens_have_the_ids_of_the_tokenizers_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer, e = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = [f"a {e} b", e, e + e, f"x\n\n  {e}\t y  z {e}", f"<{e}>", "<|endoftext|", f"word{e}word's {e}\n", "a " * 1500 + e + " b" * 1500]
+    want = {}
+    for i, t in enumerate(texts):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [2]
+        cut = [0, *range(len(ids) % 1024 or 1024, len(ids), 1024), len(ids)] if len(ids) > 1024 else [0, len(ids)]
+        want |= {(i, k): (b - a, zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b]))) for k, (a, b) in enumerate(zip(cut, cut[1:]))}
+    got = packing.pack(edge(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.piece): (r.length, r.ids_crc32) for r in got} == want
