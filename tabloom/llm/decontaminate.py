@@ -1,30 +1,30 @@
 """Benchmark decontamination with SimHash windows, built-in functions only.
 
-A window of a document has an item's number of words. Shingles of a document that stand
-in the benchmark are its anchors; a window reaches the similarity only with enough of
-them, so all windows that hold so many, wherever in them these stand, are fingerprinted,
-and no others. Fingerprints meet through Hamming blocks: two that
-differ in at most RADIUS of 64 bits agree in one of RADIUS + 1 blocks, so a join on
-blocks misses none. Candidates are then verified by their exact shingle weights.
+A window of a document has an item's number of words. Which items a document may hold
+comes from an index of each item's rarest shingles: a window that reaches the
+similarity lacks so few of the item's shingles that it has one of these. The document's
+shingles that stand in such an item are anchors; a window reaches the similarity only
+with enough of them, so all windows that hold so many, wherever in them these stand,
+are fingerprinted, and no others. A window is then looked up in the item's Hamming
+blocks: fingerprints that differ in at most RADIUS of 64 bits agree in one of
+RADIUS + 1 blocks, so none within the radius is missed. What is found is verified by
+exact shingle weights.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import let, table
+from .common import let, materialise, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: At a similarity of 0.8 fingerprints differ in 9.7 bits of 64 on average, with a deviation of 2.9.
 RADIUS = 19
-#: The benchmark is taken in blocks of so many shingles; each is a set of constants in one pass over the documents.
-BLOCK_SHINGLES = 50_000
-
-_SPREAD, _LANES = 0x0000200040008001, 0x0001000100010001
+#: The index of rare shingles is broadcast up to so many rows (24 bytes each); a longer one is joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 def _words(text: Column) -> Column:
@@ -38,100 +38,114 @@ def _shingles(w: Column, k: int) -> Column:
     return F.when(n == 0, F.array().cast("array<bigint>")).when(n <= k, F.array(F.xxhash64(w))).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, k))))
 
 
-def simhash(df: DataFrame, hashes: str) -> DataFrame:
-    """df with fp, the 64-bit SimHash of an array of hashes, each as often as it stands there.
+def simhash(df: DataFrame, hashes: str, most: int) -> DataFrame:
+    """df with fp, the 64-bit SimHash of an array of at most `most` hashes, each as often as it stands there.
 
-    Four bits are counted at once, in the 16-bit lanes of a long: good for 65,535 shingles.
+    Several bits are counted at once, in the lanes of a long, which are as wide as `most` needs.
     """
+    lane = 16 if most < 1 << 16 else 32
+    per = 64 // lane
+    ones = sum(1 << lane * i for i in range(per))
+    spread = sum(1 << (lane - 1) * i for i in range(per))  # puts bit i of a few into lane i
+
     def lanes(j: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + (F.shiftrightunsigned(h, 4 * j).bitwiseAND(15) * F.lit(_SPREAD)).bitwiseAND(F.lit(_LANES)))
+        few = lambda h: F.shiftrightunsigned(h, per * j).bitwiseAND((1 << per) - 1)
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + (few(h) * F.lit(spread)).bitwiseAND(F.lit(ones)))
 
-    counted = df.select("*", F.inline(F.array(F.struct(*(lanes(j).alias(f"__n{j}") for j in range(16)), F.size(hashes).alias("__m")))))
-    bits = [
-        F.when(2 * F.shiftrightunsigned(f"__n{j}", 16 * k).bitwiseAND(65535) > F.col("__m"), F.shiftleft(F.lit(1).cast("long"), 4 * j + k)).otherwise(F.lit(0).cast("long"))
-        for j in range(16)
-        for k in range(4)
-    ]
-    return counted.withColumn("fp", reduce(lambda a, b: a.bitwiseOR(b), bits)).drop("__m", *(f"__n{j}" for j in range(16)))
+    counts = F.array(*(lanes(j) for j in range(64 // per)))
+    one = f"shiftrightunsigned(__c[b DIV {per}], {lane} * (b % {per})) & {(1 << lane) - 1}L"
+    fp = F.expr(f"aggregate(sequence(0, 63), 0L, (a, b) -> a | CASE WHEN 2 * ({one}) > size(`{hashes}`) THEN shiftleft(1L, b) ELSE 0L END)")
+    # both generated, so that what names fp computes nothing again
+    return df.select("*", F.inline(F.array(F.struct(counts.alias("__c"))))).select(*df.columns, F.inline(F.array(F.struct(fp.alias("fp")))))
 
 
 def _blocks(fp: str, radius: int) -> Column:
+    """Of each of radius + 1 runs of bits: its number and value."""
     m = radius + 1
-    cut = [64 * b // m for b in range(m + 1)]
-    return F.array(*(F.struct(F.lit(b).alias("block"), F.shiftrightunsigned(fp, lo).bitwiseAND((1 << (hi - lo)) - 1).alias("value")) for b, (lo, hi) in enumerate(zip(cut, cut[1:]))))
-
-
-def _item_blocks(items: DataFrame, size: int):
-    """The items in runs of at most `size` shingles (a longer item alone)."""
-    held, n = [], 0
-    for r in items.select("item_id", "n", "hashes").toLocalIterator():
-        if held and n + len(r.hashes) > size:
-            yield held
-            held, n = [], 0
-        held.append((r.item_id, r.n, r.hashes))
-        n += len(r.hashes)
-    if held:
-        yield held
-
-
-def _search(docs: DataFrame, items: list[tuple], radius: int, similarity: float, k: int) -> DataFrame:
-    """Verified windows of one block of items: doc_id, item_id, start, n_words, hamming, similarity."""
-    spark = docs.sparkSession
-    item = spark.createDataFrame(items, "item_id long, n int, item_hashes array<bigint>")
-    known = ",".join(str(h) + "L" for h in sorted({h for _, _, hs in items for h in hs if h != -(1 << 63)}))
-    # word arrays and anchors, made once for each document
-    w = docs.select("doc_id", F.inline(let(_words(F.col("text")), lambda w: F.array(F.struct(w.alias("w"))))))
-    short = f"transform(filter(array(0), i -> size(w) BETWEEN 1 AND {k - 1} AND xxhash64(w) IN ({known})), i -> i)"
-    long = f"filter(sequence(0, greatest(size(w) - {k}, 0)), i -> xxhash64(slice(w, i + 1, {k})) IN ({known}))"
-    anchors = w.select("doc_id", "w", F.inline(F.expr(f"array(struct(CASE WHEN size(w) >= {k} THEN {long} ELSE {short} END AS a))"))).filter(F.size("a") > 0)
-    # for each number of words: starts of windows of which `need` anchors in a row lie within; a shorter document is one window
-    lengths = ",".join(map(str, sorted({n for _, n, _ in items})))
-    m = f"greatest(least(n, size(w)) - {k - 1}, 1)"
-    need = f"greatest(CAST(ceil(({m} + greatest(n - {k - 1}, 1)) * {similarity}D / {1 + similarity}D - 1e-9D) AS INT), 1)"
-    runs = "CASE WHEN size(a) >= x.need THEN sequence(0, size(a) - x.need) ELSE array() END"
-    low, high = "greatest(a[j + x.need - 1] - x.m + 1, 0)", "least(a[j], greatest(size(w) - x.n, 0))"
-    starts = f"flatten(transform(array({lengths}), n -> flatten(transform(array(struct(n AS n, {m} AS m, {need} AS need)), x -> flatten(transform({runs}, j -> CASE WHEN {low} <= {high} THEN transform(sequence({low}, {high}), s -> struct(x.n AS n, s AS start)) ELSE array() END))))))"
-    windows = anchors.select("doc_id", "w", F.inline(F.array_distinct(F.expr(starts)))).select("doc_id", "n", "start", F.slice("w", F.col("start") + 1, F.col("n")).alias("window")).distinct()
-    windows = windows.select("doc_id", "n", "start", F.inline(let(_shingles(F.col("window"), k), lambda h: F.array(F.struct(h.alias("hashes"))))))
-    indexed = simhash(item, "item_hashes").select("item_id", "n", "item_hashes", F.col("fp").alias("item_fp"), F.inline(_blocks("fp", radius)))
-    probes = simhash(windows, "hashes").select("*", F.inline(_blocks("fp", radius)))
-    hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = probes.join(F.broadcast(indexed), ["n", "block", "value"]).withColumn("hamming", hamming).filter(F.col("hamming") <= radius)
-    # a pair is verified where its first equal block is
-    first = F.array_min(F.filter(F.zip_with(_blocks("fp", radius), _blocks("item_fp", radius), lambda a, b: F.when(a["value"] == b["value"], a["block"])), lambda x: x.isNotNull()))
-    near = near.filter(F.col("block") == first)
+    at, size = f"(64 * b DIV {m})", f"(64 * (b + 1) DIV {m} - 64 * b DIV {m})"
+    return F.expr(f"transform(sequence(0, {radius}), b -> struct(b, shiftrightunsigned({fp}, CAST({at} AS INT)) & (shiftleft(1L, CAST({size} AS INT)) - 1)))")
+
+
+def _text_key(text: Column) -> list[Column]:
+    """128 bits of a text: rows of one text are contaminated alike, whatever their ids."""
+    return [F.xxhash64(text).alias("__k1"), F.xxhash64(F.lit("k"), text).alias("__k2")]
+
+
+def _index(items: DataFrame, similarity: float) -> DataFrame:
+    """The rarest shingles of each item (item, h): as many as a window may lack, and one."""
+    each = items.select("item", "m", F.explode("hashes").alias("h")).groupBy("item", "m", "h").agg(F.count("*").alias("times"))
+    held = each.groupBy("h").agg(F.count("*").alias("items"))
+    upto = F.sum("times").over(Window.partitionBy("item").orderBy("items", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    lack = F.col("m") - F.ceil(F.lit(similarity) * F.col("m") - 1e-9)
+    return each.join(held, "h").withColumn("before", upto - F.col("times")).filter(F.col("before") <= lack).select("item", "h")
+
+
+def _verified(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float, k: int, broadcast_rows: int) -> DataFrame:
+    """Verified windows of each text: __k1, __k2 (its key), item_id, start, n_words, hamming, similarity."""
+    keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", *_text_key(F.col("text")))
+    item = benchmark.select("item_id", F.inline(let(_words(F.col("text").cast("string")), lambda w: F.array(F.struct(F.size(w).alias("n"), _shingles(w, k).alias("hashes")))))).filter("n > 0").distinct()
+    item = materialise(item.select(F.xxhash64("item_id", "n", "hashes").alias("item"), "item_id", "n", F.size("hashes").alias("m"), "hashes"), "benchmark_items")
+    most = item.agg(F.max("m")).first()[0] or 0
+    index = materialise(_index(item, similarity), "benchmark_index")
+    rows = F.broadcast(index) if index.count() <= broadcast_rows else index
+    # which items each text may hold, and where their rare shingles stand
+    shingled = keyed.select("__k1", "__k2", F.posexplode(let(_words(F.col("text")), lambda w: _shingles(w, k))).alias("i", "h"))
+    may = shingled.join(rows, "h").groupBy("__k1", "__k2", "item").agg(F.collect_set("i").alias("rare"))  # as long as a text at most
+    may = materialise(may, "benchmark_candidates")
+    # those texts, each once however many rows have it, with their shingles beside each of their items
+    hashed = keyed.join(may.select("__k1", "__k2").distinct(), ["__k1", "__k2"], "left_semi").groupBy("__k1", "__k2").agg(F.first("text").alias("text"))
+    hashed = hashed.select("__k1", "__k2", F.inline(let(_words(F.col("text")), lambda w: F.array(F.struct(_shingles(w, k).alias("all"))))))
+    fingerprint = simhash(item, "hashes", most).select("item", "item_id", "n", F.col("m").alias("item_m"), F.col("hashes").alias("item_hashes"), F.col("fp").alias("item_fp"), _blocks("fp", radius).alias("item_blocks"))
+    pairs = hashed.join(may, ["__k1", "__k2"]).join(fingerprint, "item")
+    # starts of windows of which `need` anchors in a row lie within; a text no longer than the item is one window
+    m = f"least(size(all), greatest(n - {k - 1}, 1))"
+    near = f"array_sort(array_distinct(flatten(transform(rare, i -> sequence(greatest(i - {m} + 1, 0), least(i + {m} - 1, size(all) - 1))))))"
+    pairs = pairs.select("*", F.inline(F.expr(f"array(struct({m} AS m, greatest(CAST(ceil(({m} + item_m) * {similarity}D / {1 + similarity}D - 1e-9D) AS INT), 1) AS need, {near} AS near))"))).select("*", F.inline(F.expr("array(struct(filter(near, i -> array_contains(item_hashes, all[i])) AS a))")))
+    low, high = "greatest(a[j + need - 1] - m + 1, 0)", "least(a[j], size(all) - m)"
+    starts = f"array_distinct(flatten(transform(sequence(0, size(a) - need), j -> CASE WHEN {low} <= {high} THEN sequence({low}, {high}) ELSE array() END)))"
+    windows = pairs.filter("size(a) >= need").select("*", F.explode(F.expr(starts)).alias("start"))
+    windows = windows.select("__k1", "__k2", "item_id", "n", "start", "item_hashes", "item_fp", "item_blocks", F.expr("slice(all, start + 1, m)").alias("hashes"))
+    near = simhash(windows, "hashes", most).filter(F.arrays_overlap(_blocks("fp", radius), F.col("item_blocks")))
+    near = near.withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).filter(F.col("hamming") <= radius)
+    once = lambda a: F.size(F.array_distinct(a)) == F.size(a)
     count = lambda side, h: F.size(F.filter(side, lambda x: x == h))
-    shared = F.aggregate(F.array_distinct("item_hashes"), F.lit(0), lambda a, h: a + F.least(count(F.col("item_hashes"), h), count(F.col("hashes"), h)))
-    near = near.select("doc_id", "item_id", "start", F.col("n").alias("n_words"), "hamming", F.inline(F.array(F.struct(shared.alias("shared"), (F.size("hashes") + F.size("item_hashes")).alias("all")))))
-    return near.withColumn("similarity", F.col("shared") / (F.col("all") - F.col("shared"))).filter(F.col("similarity") >= similarity).drop("shared", "all")
+    weighed = F.aggregate(F.array_distinct("item_hashes"), F.lit(0), lambda a, h: a + F.least(count(F.col("item_hashes"), h), count(F.col("hashes"), h)))
+    shared = F.when(once("hashes") | once("item_hashes"), F.size(F.array_intersect("item_hashes", "hashes"))).otherwise(weighed)
+    near = near.select("__k1", "__k2", "item_id", "start", F.col("n").alias("n_words"), "hamming", F.inline(F.array(F.struct(shared.alias("shared"), (F.size("hashes") + F.size("item_hashes")).alias("both")))))
+    return near.withColumn("similarity", F.col("shared") / (F.col("both") - F.col("shared"))).filter(F.col("similarity") >= similarity).drop("shared", "both")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Passages of docs that are near copies of benchmark items.
 
     Returns, for each document and item, the best window: doc_id, item_id, start (its
-    first word, from 0), n_words, hamming, similarity (shared shingles over all, each as
-    often as it stands in either) and windows (how many were verified). Ties go to the
-    first window. Words are runs of letters and digits, lower case; an item of fewer
-    than k words is one shingle and matches only a whole document; null or wordless
-    texts and items match nothing; rows of one id count as one document; equal items are
-    all returned; empty tables give no rows; other columns are ignored.
+    first word, from 0), n_words (the item's), hamming, similarity (shared shingles over
+    all, each as often as it stands in either) and windows (how many of its text were verified). Ties
+    go to the first window. Words are runs of letters and digits, lower case; an item of
+    fewer than k words is one shingle and matches only a whole document; null or wordless
+    texts and items match nothing; rows of one id, and rows without an id, count as one
+    document, by the best of their texts; equal items are all returned, and an item id may be null or stand for
+    several texts; empty tables give no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    item = benchmark.select(F.col("item_id").cast("long"), _words(F.col("text").cast("string")).alias("w")).filter(F.size("w") > 0)
-    item = item.select("item_id", F.size("w").alias("n"), _shingles(F.col("w"), k).alias("hashes")).distinct()
-    found = [_search(texts, block, radius, similarity, k) for block in _item_blocks(item, BLOCK_SHINGLES)]
-    if not found:
-        return spark.createDataFrame([], f"doc_id {texts.schema[0].dataType.simpleString()}, item_id long, start int, n_words int, hamming int, similarity double, windows long")
     best = F.max_by(F.struct("start", "n_words", "hamming", "similarity"), F.struct(F.col("similarity"), -F.col("start")))
-    return reduce(DataFrame.union, found).groupBy("doc_id", "item_id").agg(best.alias("b"), F.count("*").alias("windows")).select("doc_id", "item_id", "b.*", "windows")
+    found = _verified(texts, benchmark, radius, similarity, k, broadcast_rows).groupBy("__k1", "__k2", "item_id").agg(best.alias("b"), F.count("*").alias("windows"))
+    rows = texts.filter(F.col("text").isNotNull()).select("doc_id", *_text_key(F.col("text"))).join(materialise(found, "leaks"), ["__k1", "__k2"])
+    return rows.groupBy("doc_id", "item_id").agg(F.max_by("b", F.struct(F.col("b.similarity"), -F.col("b.start"))).alias("b"), F.max_by("windows", F.struct(F.col("b.similarity"), -F.col("b.start"), "windows")).alias("windows")).select("doc_id", "item_id", "b.*", "windows")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without such a passage, with their own columns only."""
-    leaks = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs[id_col].eqNullSafe(F.col("__leak")), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of docs without such a passage, with their own columns only.
+
+    Each row goes or stays by its own text, whatever its id: ids may be null, repeated or
+    missing. Rows of equal texts share their fate; a null, empty or wordless text stays;
+    an empty docs gives no rows, an empty benchmark keeps all; any other column stays as
+    it is, whatever its name.
+    """
+    texts = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    leaks = materialise(_verified(texts, benchmark, RADIUS, SIMILARITY, SHINGLE, BROADCAST_ROWS).select("__k1", "__k2").distinct(), "leaks")
+    a, b = _text_key(docs[text_col].cast("string"))
+    return docs.join(leaks, (a == leaks["__k1"]) & (b == leaks["__k2"]), "left_anti")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,19 +177,39 @@ def test_passages_with_moved_parts_are_found(spark):
     assert {r.doc_id for r in decontaminate.decontaminate(edge(spark, rows), bench).collect()} == {4}
 
 
-def test_block_bounds_of_the_benchmark_change_nothing(spark, monkeypatch):
+def test_a_longer_benchmark_and_a_shuffled_index_change_nothing(spark):
     rng = random.Random(1)
     items = [" ".join("".join(rng.choices("abc", k=5)) for _ in range(20)) for _ in range(9)]
-    docs, bench = spark.createDataFrame([(i, f"x y {t} z") for i, t in enumerate(items)], "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    whole = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
-    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 40)
-    assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == whole and len(whole) == 9
-
-
-def test_simhash_in_sql_counts_bits(spark):
+    common = " ".join("".join(rng.choices("xyz", k=5)) for _ in range(12))  # all the other items share most of their words
+    more = [f"{common} {' '.join(''.join(rng.choices('uvw', k=6)) for _ in range(6))}" for _ in range(400)]
+    docs = spark.createDataFrame([(i, f"x y {t} z") for i, t in enumerate(items)] + [(50, f"a b {more[7]} c"), (51, common)], "doc_id long, text string")
+    bench = lambda rows: spark.createDataFrame(list(enumerate(rows)), "item_id long, text string")
+    found = lambda b, **o: sorted(map(tuple, decontaminate.contaminated(docs, b, **o).collect()))
+    whole = found(bench(items))
+    assert len(whole) == 9 and found(bench(items), broadcast_rows=0) == whole
+    grown = found(bench(items + more))
+    assert [r for r in grown if r[0] < 9] == whole and [r[:2] for r in grown if r[0] >= 9] == [(50, 16)] and found(bench(items + more), broadcast_rows=10) == grown
+
+
+def test_rows_go_by_their_own_text(spark):
+    leak, fine = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30))
+    rows = [(None, f"a {leak} b"), (None, fine), (None, "another one"), (7, fine), (7, leak), (8, leak), (8, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 AS __k1", "2 AS item")
+    bench = spark.createDataFrame([(0, leak), (0, "other words stand in this text"), (None, leak)], "item_id long, text string")
+    left = decontaminate.decontaminate(docs, bench)
+    assert left.columns == docs.columns and Counter((r.doc_id, r.text) for r in left.collect()) == Counter(r for r in rows if leak not in (r[1] or ""))
+    got = Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == Counter((d, i) for d in (None, 7, 8) for i in (0, None))
+    assert decontaminate.decontaminate(docs, bench.filter("false")).count() == len(rows) and decontaminate.decontaminate(docs.filter("false"), bench).count() == 0
+
+
+@pytest.mark.parametrize("most", [300, 70_000])
+def test_simhash_in_sql_counts_bits(spark, most):
     rng = random.Random(9)
     rows = [(i, [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)]) for i, n in enumerate((1, 2, 7, 300))]
-    got = {r.i: r.fp & (1 << 64) - 1 for r in decontaminate.simhash(spark.createDataFrame(rows, "i int, h array<bigint>"), "h").collect()}
+    if most > 300:
+        rows.append((9, [5] * 40_000 + [3] * 29_000))
+    got = {r.i: r.fp & (1 << 64) - 1 for r in decontaminate.simhash(spark.createDataFrame(rows, "i int, h array<bigint>"), "h", most).collect()}
     for i, h in rows:
         assert got[i] == sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in h) > len(h))
 
