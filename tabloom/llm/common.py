@@ -33,10 +33,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Make ready for Python workers: they get this package, and long texts in small Arrow
-    batches, unless the session has its own setting."""
+#: Bytes of an Arrow batch that goes to a Python worker, about.
+BATCH_BYTES, DEFAULT_BYTES = 16 << 20, "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Make ready for Python workers: they get this package, and batches bounded by bytes, so
+    that long texts and wide cells come in small ones; a session's own setting stays."""
     ship(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == DEFAULT_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))

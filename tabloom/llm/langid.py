@@ -11,6 +11,7 @@ that of one exact pass.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,24 +19,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import bounded_batches, table
 
-#: The bounds of the training sample: rows of each language, and words taken of a row.
-ROWS_PER_LANGUAGE, WORDS_PER_ROW = 800, 120
-MAX_LANGUAGES = 200
+#: The bounds of the training sample: rows of each language, rows of all (shared evenly), and words taken of a row.
+ROWS_PER_LANGUAGE, SAMPLE_ROWS, WORDS_PER_ROW = 800, 160_000, 120
 BUCKETS = 1 << 17
+#: Up to so many languages chains are cut anywhere, which costs the cube of their number.
+FEW = 16
+#: A run of more letters is taken as several words, one after the other.
 WIDTH = 24
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Numerals that aren't letters, though regular expressions take them as word characters and not as digits.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]{{1,{WIDTH}}}")
 HELD_OUT = 2
 
 
 def feature_ids(words: list[str]) -> np.ndarray:
-    """Hashed features of each word, padded with BUCKETS: identity, prefixes of 1 to 3
-    letters, suffixes of 1 to 4, bigrams and trigrams with word ends. Of words over 24
-    letters the first and last twelve count."""
-    half = WIDTH // 2
-    text = np.array([w if len(w) <= WIDTH else w[:half] + w[-half:] for w in words], f"U{WIDTH}")
+    """Hashed features of each word of at most WIDTH letters, padded with BUCKETS: identity,
+    prefixes of 1 to 3 letters, suffixes of 1 to 4, bigrams and trigrams with word ends."""
+    text = np.array(words, f"U{WIDTH}")
     code = np.zeros((len(words), WIDTH + 2), np.uint32)
     code[:, 1:-1] = text.view(np.uint32).reshape(len(words), WIDTH)
     size = (code != 0).sum(axis=1)
@@ -77,9 +81,13 @@ class Crf:
     def marginals(self, emissions: np.ndarray, first: np.ndarray) -> np.ndarray:
         """P(language) of each word; first marks the words that begin a sequence.
 
-        Vectors are rescaled at every step, as only their directions matter.
+        Vectors are rescaled at every step, as only their directions matter. Chains cut
+        anywhere cost the cube of the number of languages, so with many of them each
+        sequence is a chain.
         """
         n, k = emissions.shape
+        if k > FEW:
+            return self._by_sequence(emissions, first)
         steps = max(1, int(np.sqrt(n)))
         chains = -(-n // steps)
         pad = steps * chains - n
@@ -122,6 +130,29 @@ class Crf:
         return out / out.sum(axis=1, keepdims=True)
 
 
+    def _by_sequence(self, emissions: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The same with a chain for each sequence, the longest first, so that at every step a run of them goes on."""
+        at = np.flatnonzero(first)
+        size = np.diff(np.append(at, len(emissions)))
+        order = np.argsort(-size, kind="stable")
+        at, size = at[order], size[order]
+        b = np.exp(emissions - emissions.max(axis=1, keepdims=True)).astype(np.float64) + 1e-12
+        a, pi = np.exp(self.transitions), np.exp(self.start)
+        going = np.searchsorted(-size, -np.arange(size.max()), side="left")  # chains longer than each step
+        out = np.empty_like(b)
+        for t, m in enumerate(going):
+            v = (pi if t == 0 else v[:m] @ a) * b[at[:m] + t]
+            v /= v.max(axis=1, keepdims=True)
+            out[at[:m] + t] = v
+        back = np.ones((len(at), b.shape[1]))
+        for t in range(len(going) - 1, -1, -1):
+            m, rows = going[t], at[: going[t]] + t
+            out[rows] *= back[:m]
+            v = (b[rows] * back[:m]) @ a.T
+            back[:m] = v / v.max(axis=1, keepdims=True)
+        return out / out.sum(axis=1, keepdims=True)
+
+
 def train(texts: list[list[str]], label: list[int], languages: tuple[str, ...], steps: int = 160, batch: int = 48, length: int = 96, seed: int = 7) -> Crf:
     """Fit on sequences that switch between texts every 4 to 40 words (Adagrad on the likelihood)."""
     k = len(languages)
@@ -147,11 +178,13 @@ def train(texts: list[list[str]], label: list[int], languages: tuple[str, ...],
                 word[r, at : at + len(part)], gold[r, at : at + len(part)] = part, j
                 at += len(part)
         f = ids[word.ravel()]
-        crf = Crf(languages, w, start, trans)
         e = w[f].sum(axis=1)
-        first = np.zeros(batch * length, bool)
-        first[::length] = True
-        p = crf.marginals(e, first)
+        q = np.exp(e - e.max(axis=1, keepdims=True)).astype(np.float64).reshape(batch, length, k) + 1e-12
+        a = np.exp(trans)
+        forward, back = _forward(q, a, np.exp(start)), _backward(q, a)
+        pm = forward * back
+        pm /= pm.sum(axis=2, keepdims=True)
+        p = pm.reshape(-1, k)
         one = np.zeros_like(p)
         one[np.arange(len(p)), gold.ravel()] = 1
         g = (p - one).astype(np.float32) / batch
@@ -161,15 +194,9 @@ def train(texts: list[list[str]], label: list[int], languages: tuple[str, ...],
         grad[-1] = 0
         w2 += grad * grad
         w -= 0.1 * grad / np.sqrt(w2)
-        # pairs of neighbours, expected less observed; a marginal over its backward vector is the forward one
-        q = np.exp(e - e.max(axis=1, keepdims=True)).reshape(batch, length, k) + 1e-12
-        pm = p.reshape(batch, length, k)
-        a = np.exp(trans)
-        back = _backward(q, a)
-        forward = pm[:, :-1] / np.maximum(back[:, :-1], 1e-300)
-        joint = forward[:, :, :, None] * a * (q * back)[:, 1:, None, :]
-        joint /= joint.sum(axis=(2, 3), keepdims=True)
-        expected = joint.sum(axis=(0, 1))
+        # pairs of neighbours, expected less observed
+        x, z = forward[:, :-1].reshape(-1, k), (q * back)[:, 1:].reshape(-1, k)
+        expected = a * ((x / ((x @ a) * z).sum(axis=1, keepdims=True)).T @ z)
         seen = np.zeros((k, k))
         y = gold
         np.add.at(seen, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
@@ -182,6 +209,15 @@ def train(texts: list[list[str]], label: list[int], languages: tuple[str, ...],
     return Crf(languages, w, start, trans)
 
 
+def _forward(q: np.ndarray, a: np.ndarray, pi: np.ndarray) -> np.ndarray:
+    """Forward vectors of a batch, each scaled."""
+    out = np.empty_like(q)
+    for t in range(q.shape[1]):
+        v = (pi if t == 0 else out[:, t - 1] @ a) * q[:, t]
+        out[:, t] = v / v.max(axis=1, keepdims=True)
+    return out
+
+
 def _backward(q: np.ndarray, a: np.ndarray) -> np.ndarray:
     """Backward vectors of a batch, each scaled."""
     out = np.ones_like(q)
@@ -192,20 +228,22 @@ def _backward(q: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Crf:
-    """Train on at most ROWS_PER_LANGUAGE rows of each language, by hash of their ids, among
-    those that aren't held out (nor without an id); languages beyond the MAX_LANGUAGES most
-    frequent are not learned."""
-    bounded_batches(docs.sparkSession)
+    """Train on at most ROWS_PER_LANGUAGE rows of each language (fewer where that makes more
+    than SAMPLE_ROWS in all), by hash, among those that aren't held out nor without an id.
+    Every language that has such a row is learned; ties in the hash take any of the rows."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
     usable = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     usable = usable.filter(~held_out("id") & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = tuple(sorted(r.lang for r in top))
+    count = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}  # a row for each language
+    languages = tuple(sorted(count))
     if not languages:
         return Crf((), np.zeros((BUCKETS + 1, 0)), np.zeros(0), np.zeros((0, 0)))
-    ids = [usable.filter(F.col("lang") == x).select("id", "lang").orderBy(F.xxhash64("id"), "id").limit(ROWS_PER_LANGUAGE) for x in languages]
-    chosen = ids[0]
-    for more in ids[1:]:
-        chosen = chosen.union(more)
+    each = max(1, min(ROWS_PER_LANGUAGE, SAMPLE_ROWS // len(languages)))
+    # hashes under a language's threshold are a few more rows than are needed, in one scan; the least of them are taken
+    whole = 1 << 30
+    share = [(x, min(whole, int(whole * (each + 6 * each**0.5 + 20) / n) + 1)) for x, n in count.items()]
+    some = usable.withColumn("k", F.xxhash64("id", "text")).join(F.broadcast(spark.createDataFrame(share, "lang string, upto long")), "lang").filter(F.pmod("k", F.lit(whole)) < F.col("upto"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -213,8 +251,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             spread = [w if len(w) <= WORDS_PER_ROW else _parts(w) for w in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spread, pa.list_(pa.string()))], ["lang", "words"])
 
-    rows = usable.join(F.broadcast(chosen.distinct()), ["id", "lang"]).select("lang", "text", F.xxhash64("id", "text").alias("k"))
-    rows = rows.orderBy("k").limit(len(languages) * ROWS_PER_LANGUAGE).select("lang", "text").mapInArrow(cut, "lang string, words array<string>").collect()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("k"))
+    rows = some.withColumn("place", place).filter(F.col("place") <= each).select("lang", "text").mapInArrow(cut, "lang string, words array<string>").collect()
+    rows.sort(key=lambda r: (r.lang, r.words))
     number = {x: i for i, x in enumerate(languages)}
     return train([r.words for r in rows], [number[r.lang] for r in rows], languages)
 
@@ -234,7 +273,7 @@ def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str =
     """The language of every whole text: the id column, held_out, lang_pred and score.
 
     lang_pred has the greatest mean probability over the words (runs of letters, lower
-    case), score is that mean; a null text, one without a letter, or an untrained model
+    case; a run of over WIDTH letters is several words), score is that mean; a null text, one without a letter, or an untrained model
     gives 'und' and 0. Null ids and repeated rows stay; an empty table gives no rows;
     other columns are ignored. Ties go to the first language of the alphabet.
     """
@@ -264,7 +303,7 @@ def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str =
                 if ws:
                     held.append((i, ws))
                     size += len(ws)
-                if size > 250_000:
+                if size * len(crf.languages) > 1_000_000:
                     label()
                     held, size = [], 0
             if held:

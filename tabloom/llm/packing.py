@@ -27,8 +27,9 @@ from .common import bounded_batches, materialise, table
 
 CAPACITY = 1024
 END_ID = 2
-#: Ranks are counted within so many parts of each length, so that no length is one group.
-SALT = 64
+#: Ranks are counted within parts of each length, so that no length is one group: one for so
+#: many pieces, this many parts at least and at most.
+ROWS_PER_PART, PARTS = 1_000_000, (64, 4096)
 #: Words whose ids a worker keeps before it starts anew.
 CACHE_WORDS = 150_000
 NEWLINE_ID = 198
@@ -231,32 +232,41 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text
     ids and repeated rows are packed like others (equal rows get places of their own);
     an empty table gives no rows; other columns are ignored.
     """
-    pieces = materialise(
-        token_pieces(docs, capacity, id_col, text_col).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALT)).cast("int")), "pieces"
-    )
-    count = np.zeros((capacity + 1, SALT), np.int64)  # the bound of what comes to the driver
-    for r in pieces.groupBy("length", "salt").count().toLocalIterator():
+    pieces = materialise(token_pieces(docs, capacity, id_col, text_col), "pieces")
+    parts = max(PARTS[0], min(PARTS[1], pieces.count() // ROWS_PER_PART))
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
+    count = np.zeros((capacity + 1, parts), np.int64)  # the bound of what comes to the driver
+    for r in pieces.groupBy("length", "part").count().toLocalIterator():
         count[r[0], r[1]] = r[2]
+    full = int(count[capacity].sum())
+    count[capacity] = 0  # a piece as long as a sequence is one, and needs no place among others
     before = np.cumsum(count, axis=1) - count
     where = intervals(plan(count.sum(axis=1).tolist(), capacity))
     key = where[:, 0] << 40 | where[:, 1] if len(where) else np.zeros(0, np.int64)
-    ranked = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")).cast("long"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "salt") + ", sequence_id long, offset long"
+    bins = int((where[:, 2] + 1).max()) if len(where) else 0
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    schema = ", ".join(f"{n} {pieces.schema[n].dataType.simpleString()}" for n in names) + ", sequence_id long, offset long"
+    ranked = pieces.filter(F.col("length") < capacity).withColumn("rank", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start", "ids_crc32")).cast("long"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            col = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("length", "salt", "rank")}
-            rank = before[col["length"], col["salt"]] + col["rank"] - 1
+            col = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("length", "part", "rank")}
+            rank = before[col["length"], col["part"]] + col["rank"] - 1
             k = np.searchsorted(key, col["length"] << 40 | rank, side="right") - 1
             at, copies = rank - where[k, 1], where[k, 3]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(where[k, 2] + at // copies), pa.array(where[k, 4] + at % copies * col["length"])],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+                [*(batch.column(n) for n in names), pa.array(where[k, 2] + at // copies), pa.array(where[k, 4] + at % copies * col["length"])],
+                [*names, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, schema)
+    packed = ranked.mapInArrow(place, schema)
+    if not full:
+        return packed
+    # the pieces are a written table, so a task that is run again gives the same numbers
+    alone = pieces.filter(F.col("length") == capacity).select(*names, (F.monotonically_increasing_id() + bins).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.unionByName(alone)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,17 +57,19 @@ class SlotMap:
     def rebalanced(self, slot_bytes: list[int], n_shards: int | None = None) -> SlotMap:
         """The next version, with nearly equal bytes in all shards.
 
-        Shards over the mean give up slots (the largest that still fits the excess
+        Slots of shards that are no more, if there are to be fewer, go first. Shards over the mean give up slots (the largest that still fits the excess
         first); those go, largest first, to whichever shard is lightest; single slots
         then move from the heaviest to the lightest shard while that narrows the gap.
         """
         n = n_shards or self.n_shards
+        if len(slot_bytes) != len(self.shard_of):
+            raise ValueError(f"{len(slot_bytes)} slots, but the map has {len(self.shard_of)}")
         held: list[list[int]] = [[] for _ in range(n)]
+        pool: list[int] = []  # at first, the slots of shards that are given up
         for slot, shard in enumerate(self.shard_of):
-            held[shard].append(slot)
+            (held[shard] if shard < n else pool).append(slot)
         load = [sum(slot_bytes[i] for i in h) for h in held]
-        mean = sum(load) / n
-        pool: list[int] = []
+        mean = sum(slot_bytes) / n
         for s in range(n):
             held[s].sort(key=lambda i: (-slot_bytes[i], i))
             kept = []
@@ -130,7 +132,8 @@ def shard(docs: DataFrame, map_dir: str, n_shards: int = N_SHARDS, n_slots: int
     """Put all rows of docs into shards of nearly equal bytes and number the places of each shard.
 
     map_dir keeps the versions of the slot map; where there is none, version 0 deals
-    the slots out in turn, and the version made here follows the latest one.
+    the slots out in turn, and the version made here follows the latest one, which must
+    be of as many slots; shards may become more or fewer.
 
     Returns the id column, size (UTF-8 bytes of the text plus 8), text_crc32, law
     ('bytes'), shard, slot (a row's place in its shard, gapless from 0), grown_shard

@@ -112,8 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     """Fit on at most sample_rows toxic and as many other labelled texts, by hash of their ids.
 
     A label above 0 is toxic; labels that are null, or of ids without a document, don't
-    count; an id with several labels counts with the largest. Without both classes the
-    model grades everything 0.
+    count; an id with several labels counts with the largest, an id with several texts
+    with the least of them. Without both classes the model grades everything 0.
     """
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).alias("toxic"))
@@ -123,7 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
         return never
     parts = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(sample_rows) for t in (True, False)]
     sample = parts[0].union(parts[1])  # at most 2 * sample_rows ids
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id").filter(F.col("text").isNotNull())
+    rows = rows.groupBy("id", "toxic").agg(F.min("text").alias("text"))  # as few as the sample has ids, however often they repeat
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
                 ["toxic", "at", "n", "telling", "other"],
             )
 
-    # at most 2 * sample_rows sparse rows, or as many as share those ids
+    # at most 2 * sample_rows sparse rows
     data = rows.select("toxic", "text").mapInArrow(vectors, "toxic boolean, at array<int>, n array<int>, telling long, other long").collect()
     if not data:
         return never
@@ -185,6 +186,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     A null or empty text has no features and gets what the thresholds alone give; null
     ids and repeated rows stay; an empty table gives no rows; other columns are ignored.
+    Of grades that are equally likely the lowest is given.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
@@ -209,7 +211,12 @@ def _scorer(model: Model, keep: list[str]):
 
 
 def clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs that aren't toxic, with their own columns only."""
+    """The rows of docs that aren't toxic, with their own columns only.
+
+    Each row goes or stays by its own text; null ids and repeated rows are rows like
+    others; a null or empty text has no features and stays, unless the thresholds alone
+    say toxic; an empty table gives no rows; columns of any name stay as they are.
+    """
     bounded_batches(docs.sparkSession)
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names)

@@ -278,7 +278,9 @@ def test_chats_round_trip(spark):
     assert said == turns and loss == {c: "".join(x for r, x in t if r == "assistant") for c, t in turns.items()} | {}
     for w in windows.collect():
         own = said and w.n_turns
-        assert w.n_tokens <= chat.BUDGET - chat.HISTORY or own == 1
+        said_tokens = sum(-(-len(b.split("\n", 1)[1].replace("&l", "<|").replace("&a", "&").encode()) // 4) + 4 for b in w.formatted.split(chat.END)[:-1]) if w.conv_id == 2 else None
+        assert said_tokens in (None, w.n_tokens) and w.oversized == (w.n_tokens > chat.BUDGET)
+        assert not w.oversized or (own == 1 and w.n_context <= 1)
         body = w.formatted.split(chat.END)
         assert len(body) == w.n_context + w.n_turns + 1 and "</s>" not in w.formatted and "[INST]" not in w.formatted
         assert w.n_context <= 1 + chat.HISTORY_TURNS
@@ -288,6 +290,22 @@ def test_chats_round_trip(spark):
     windows.unpersist()
 
 
+def test_windows_stay_within_their_budget(spark):
+    rng = random.Random(8)
+    rows = [(n, 0, "system", "s" * (4 * n - 16)) for n in (40, 400, 900, 1000, 1100)]  # so many tokens
+    rows += [(n, i, rng.choice(["user", "assistant"]), "w" * rng.choice([5, 60, 300, 1200])) for n in (40, 400, 900, 1000, 1100) for i in range(1, 60)]
+    windows = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    size = {(c, t): -(-len(x) // 4) + 4 for c, t, _, x in rows}
+    for w in windows:
+        tokens = [-(-len(x.split("\n", 1)[1]) // 4) + 4 for x in w.formatted.split(chat.END)[:-1]]
+        assert sum(tokens) == w.n_tokens and len(tokens) == w.n_context + w.n_turns and w.formatted.startswith("<|im_start|>system\ns")
+        assert w.n_tokens <= chat.BUDGET or (w.oversized and w.n_turns + w.n_context <= 2)
+    for n in (40, 400):  # nothing is too long there, and windows are filled
+        mine = [w for w in windows if w.conv_id == n]
+        assert not any(w.oversized for w in mine) and len(mine) < 60 and sum(w.n_turns for w in mine) == 60
+        assert any(w.n_context > 1 for w in mine) and max(size[n, t] for t in range(60)) <= chat.BUDGET
+
+
 def test_chat_digests(spark, tmp_path):
     from tabloom.llm.queries import queries
 

@@ -32,14 +32,41 @@ def test_forward_backward_is_exact(seed):
             first[i] = True
     crf = langid.Crf(tuple("abc"[:k]), np.zeros((1, k)), rng.normal(size=k), rng.normal(size=(k, k)))
     e = rng.normal(size=(n, k)) * 2
+    assert np.allclose(crf._by_sequence(e, first), brute_marginals(e, first, crf.start, crf.transitions))
     assert np.allclose(crf.marginals(e, first), brute_marginals(e, first, crf.start, crf.transitions))
 
 
 def test_word_features():
-    a, b = langid.feature_ids(["straße", "x" * 60]), langid.feature_ids(["straße"])
+    a, b = langid.feature_ids(["straße", "x" * 24]), langid.feature_ids(["straße"])
     assert set(a[0]) - {langid.BUCKETS} == set(b[0]) - {langid.BUCKETS} and len(set(b[0])) == 1 + 3 + 4 + 7 + 6
 
 
+@pytest.mark.parametrize("text, words", [("² ½ Ⅳ ① 12 _", []), ("a½b x²", ["a", "b", "x"]), ("l" * 60, ["l" * 24, "l" * 24, "l" * 12]), ("一二 ｑ ª", ["一二", "ｑ", "ª"]), ("", [])])
+def test_words_are_runs_of_letters(text, words):
+    assert langid.LETTERS.findall(text) == words and all(w.isalpha() for w in words)
+
+
+def test_scores_are_those_of_plain_forward_backward(spark):
+    rng = np.random.default_rng(3)
+    crf = langid.Crf(("aa", "bb", "cc"), np.vstack([rng.normal(size=(langid.BUCKETS, 3)), np.zeros((1, 3))]).astype(np.float32), rng.normal(size=3), rng.normal(size=(3, 3)))
+    rows = [(1, "one two three four"), (2, "½ ²"), (3, None), (4, "x"), (None, "five six"), (5, "a" * 50 + " b"), (5, "Ein Wort")]
+    got = sorted(((r.doc_id or 0, r.lang_pred, round(r.score, 6)) for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), crf).collect()))
+    want = []
+    for i, t in rows:
+        ws = [w[k : k + 24] for w in "".join(c if c.isalpha() else " " for c in (t or "").lower()).split() for k in range(0, len(w), 24)]
+        if ws:
+            e = np.stack([crf.weights[langid.feature_ids([w])[0]].sum(axis=0) for w in ws])
+            m = brute_marginals(e.astype(float), np.arange(len(ws)) == 0, crf.start, crf.transitions).mean(axis=0)
+        want.append((i or 0, crf.languages[m.argmax()], round(m.max(), 6)) if ws else (i or 0, "und", 0.0))
+    assert got == sorted(want)
+
+
+def test_every_language_is_learned_from_one_scan(spark):
+    rows = [(i, f"word{i} same", f"l{i % 30:02d}") for i in range(350)] + [(7000, "repeated text", "l01")] * 2000
+    crf = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(crf.languages) >= 29
+
+
 def corpus(n, seed=5):
     rng = random.Random(seed)
     parts = {"aa": ["the", "ing", "sh", "wor", "th"], "bb": ["über", "sch", "keit", "und", "ver"], "cc": ["ción", "que", "lla", "os", "ñe"]}
@@ -115,6 +142,30 @@ def test_toxic_texts_are_found(spark):
     assert len(seen) == len(EDGE) and not any(r.toxic for r in seen) and toxicity.score(empty(spark), model).count() == 0 and toxicity.clean(empty(spark), model).count() == 0
 
 
+def test_scores_follow_their_definition(spark):
+    chosen = {"w moron": True, "4 moro": True, "5 moron": False, "4 tras": False}
+    w, theta = np.array([0.7, -0.2, 0.4, 0.9, 1.3, 0.5]), np.array([0.5, 1.5, 3.0])
+    model = toxicity.Model(tuple(chosen), tuple(chosen.values()), w, theta)
+    texts = {1: "Moron, moron! a TRASHED thing", 2: "morose trash", 3: "fine words", 4: None, 5: "", 6: "moron " * 5000}
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()}
+    for i, t in texts.items():
+        words = "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()
+        n = [sum(x == "moron" for x in words), sum(x[:4] == "moro" for x in words), sum(x[:5] == "moron" for x in words), sum(x[:4] == "tras" for x in words)]
+        telling, other = n[1], n[3]  # every word with a telling feature begins with moro
+        z = sum(a * np.log1p(b) for a, b in zip(w, [*n, telling, other]))
+        upto = [1 / (1 + np.exp(z - t)) for t in theta]
+        p = np.diff([0, *upto, 1])
+        assert got[i].grade == int(p.argmax()) and abs(got[i].expected_severity - p @ np.arange(4)) < 1e-9 and abs(got[i].p_toxic - (1 - p[0])) < 1e-9
+
+
+def test_repeated_ids_count_once_in_the_sample(spark):
+    rows, labels = toxic_corpus(300)
+    y = spark.createDataFrame(labels, "doc_id long, toxic int")
+    one = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), y)
+    many = toxicity.fit(spark.createDataFrame(rows + rows[:3] * 200, "doc_id long, text string"), y)
+    assert one.features == many.features and np.allclose(one.weights, many.weights)
+
+
 def test_one_class_finds_nothing(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "scum")], "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int"))
