@@ -68,15 +68,18 @@ def frames(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
     if len(data) < 8:
         raise ValueError("archive is cut off in its first frame")
     magic, size = struct.unpack("<II", data)
-    if magic != DICTIONARY_MAGIC:
-        raise ValueError(f"archive starts with {magic:#x}, not with a dictionary frame")
-    raw = stream.read(size)
-    if len(raw) != size:
-        raise ValueError("archive is cut off in its dictionary")
+    raw = b""
+    if magic == DICTIONARY_MAGIC:
+        raw = stream.read(size)
+        if len(raw) != size:
+            raise ValueError("archive is cut off in its dictionary")
+        data = b""
+    elif data[:4] != FRAME_MAGIC:
+        raise ValueError(f"archive starts with {magic:#x}, neither a dictionary nor a record")
     if raw[:4] == FRAME_MAGIC:  # the dictionary itself may be compressed
         raw = zstandard.ZstdDecompressor().decompress(raw)
     reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw)) if raw else zstandard.ZstdDecompressor()
-    data = stream.read(chunk)
+    data = data or stream.read(chunk)
     while data:
         if len(data) < 18:  # a frame's header may need as much
             data += stream.read(chunk)
@@ -96,39 +99,69 @@ def frames(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
         yield out
 
 
+def _checked(algorithm: str, value: str, data: bytes, what: str) -> None:
+    """Compare a digest header with its data, if the algorithm is one that is known here."""
+    if algorithm not in ("sha1", "sha256", "md5"):
+        return
+    raw = hashlib.new(algorithm, data).digest()
+    if value.upper() != base64.b32encode(raw).decode() and value.lower() != raw.hex():
+        raise ValueError(f"{what} differs from its digest")
+
+
 def parse(data: bytes) -> dict:
-    """A record's fields, after its headers, lengths and digest have been checked."""
+    """A record's fields, after its headers, lengths and digests have been checked.
+
+    Any type of record is read (warcinfo, request, resource and so on); digests are
+    optional. The payload is the block without its HTTP headers where the record has
+    such, else the whole block; a revisit has none. payload_digest is the header's, or
+    made of the payload; page_id and refers_to are null unless they name a page of ours.
+    """
     head, found, rest = data.partition(END)
     if not found:
         raise ValueError("record without an end of its headers")
     lines = head.decode("utf-8", "surrogatepass").split("\r\n")
     if lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise ValueError(f"not a WARC record: {lines[0]!r}")
-    field = {}
+    field: dict[str, str] = {}
     for line in lines[1:]:
         name, colon, value = line.partition(":")
-        if not colon or name.lower() in field:
+        if line[:1] in (" ", "\t") and field:  # the header before goes on
+            field[last] += " " + line.strip()  # noqa: F821
+            continue
+        last = name.lower()
+        if not colon or not name or (last in field and last != "warc-concurrent-to"):
             raise ValueError(f"bad or repeated header: {line!r}")
-        field[name.lower()] = value.strip()
-    for name in ("warc-type", "warc-record-id", "warc-date", "content-length", "warc-payload-digest"):
+        field[last] = value.strip()
+    for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in field:
             raise ValueError(f"record without {name}")
+    if not field["content-length"].isdecimal():
+        raise ValueError(f"bad length {field['content-length']!r}")
     size = int(field["content-length"])
     if len(rest) != size + 4 or rest[size:] != END:
         raise ValueError(f"block of {len(rest) - 4} bytes, its header says {size}")
-    http, found, payload = rest[:size].partition(END)
-    length = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", http)
-    if not found or not length:
-        raise ValueError("block without HTTP headers")
-    kind, n, sha1 = field["warc-type"], int(length[1]), field["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response" and (len(payload) != n or digest(payload) != sha1):
-        raise ValueError("payload differs from its length or digest")
-    if kind == "revisit" and (payload or "warc-refers-to" not in field):
-        raise ValueError("revisit with a payload or without what it refers to")
-    if kind not in ("response", "revisit"):
-        raise ValueError(f"unknown type {kind}")
-    page = lambda name: field[name].removeprefix("<urn:page:").removesuffix(">")
-    return {"page_id": page("warc-record-id"), "url": field.get("warc-target-uri"), "payload": payload, "payload_bytes": n, "payload_digest": sha1, "record_type": kind, "refers_to": page("warc-refers-to") if kind == "revisit" else None}
+    kind, block = field["warc-type"], rest[:size]
+    payload, n = block, size
+    if field.get("content-type", "").lower().startswith("application/http"):
+        http, found, payload = block.partition(END)
+        if not found:
+            raise ValueError("block without the end of its HTTP headers")
+        length = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", http)
+        n = int(length[1]) if length else len(payload)
+        if kind == "response" and len(payload) != n and "warc-truncated" not in field:
+            raise ValueError(f"payload of {len(payload)} bytes, its header says {n}")
+    if kind == "revisit" and payload:
+        raise ValueError("revisit with a payload")
+    if "warc-block-digest" in field:
+        _checked(*field["warc-block-digest"].split(":", 1), block, "block")
+    given = field.get("warc-payload-digest")
+    if given and kind != "revisit" and "warc-truncated" not in field:
+        _checked(*given.split(":", 1), payload, "payload")
+    page = lambda name: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?\d+)>", field.get(name, ""))) else None
+    return {
+        "page_id": page("warc-record-id"), "url": field.get("warc-target-uri"), "payload": payload, "payload_bytes": n,
+        "payload_digest": given.removeprefix("sha1:") if given else digest(payload), "record_type": kind, "refers_to": page("warc-refers-to"), "record_id": field["warc-record-id"],
+    }
 
 
 def write(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -143,9 +176,9 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str = "page
     bounded_batches(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
-    top = rows.groupBy("sha").agg(F.max("id").alias("top"))
-    # the copies of one payload may be a third of all rows: adaptive execution splits this join
-    rows = rows.join(top, "sha").withColumn("revisit", (F.octet_length("payload") >= min_bytes) & F.coalesce(~F.col("id").eqNullSafe(F.col("top")), F.lit(False)))
+    # digests that repeat, written first: as few as they mostly are, they are sent to the rows, which then stay where they are
+    twice = materialise(rows.groupBy("sha").agg(F.max("id").alias("top"), F.count("*").alias("n")).filter("n > 1").select("sha", "top"), "repeated")
+    rows = rows.join(twice, "sha", "left").withColumn("revisit", (F.octet_length("payload") >= min_bytes) & F.coalesce(~F.col("id").eqNullSafe(F.col("top")) & F.col("top").isNotNull(), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -171,7 +204,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str = "page
             pack = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(raw), write_checksum=True)
             name = f"{base}/part-{TaskContext.get().partitionId():05d}-{k:03d}-{uuid.uuid4().hex}.warc.zst"
             n = written = 0
-            with store.open_output_stream(name) as out:
+            with store.open_output_stream(name, compression=None) as out:
                 out.write(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
                 waiting = iter(samples)
                 while True:
@@ -190,8 +223,17 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str = "page
     return materialise(rows.select("id", "url", "payload", "sha", "top", "revisit").mapInArrow(run, "path string, records long, bytes long"), "manifest")
 
 
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """A manifest of all archives below a folder, of whatever origin; how many records they hold isn't known."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.warc.zst").load(folder)
+    return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.lit(None).cast("long").alias("records"), F.col("length").alias("bytes"))
+
+
 def read(manifest: DataFrame, folder: str) -> DataFrame:
-    """All records of the archives that a manifest lists, each frame and header checked."""
+    """All records of the archives that a manifest lists, each frame, header, length and
+    digest checked: page_id, url, payload, payload_bytes, payload_digest, record_type,
+    refers_to and record_id. An archive that is broken, or holds another number of records
+    than its manifest says, is an error. An empty manifest gives no rows."""
     spark = manifest.sparkSession
     bounded_batches(spark)
     n = max(1, min(2048, manifest.count()))
@@ -200,26 +242,25 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
         from pyarrow import fs
 
         store, _ = fs.FileSystem.from_uri(folder)
-        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-        number = lambda x: None if x in (None, "None") else int(x)
+        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string())])
         for b in batches:
             for path, promised in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 out, size, n = [], 0, 0
-                with store.open_input_stream(path) as stream:
+                with store.open_input_stream(path, compression=None) as stream:
                     for data in frames(stream):
                         r = parse(data)
-                        out.append(r | {"page_id": number(r["page_id"]), "refers_to": number(r["refers_to"])})
+                        out.append(r)
                         size, n = size + len(data), n + 1
                         if len(out) == 512 or size > 8 << 20:
                             yield pa.RecordBatch.from_pylist(out, schema)
                             out, size = [], 0
-                if n != promised:
+                if promised is not None and n != promised:
                     raise ValueError(f"{path} holds {n} records, not {promised}")
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema)
 
     spread = manifest.select("path", "records").repartition(n, "path")
-    return spread.mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return spread.mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,6 +219,8 @@ def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a", "same"), (2, "http://b\r\nX: 1", "same"), (9, None, "same"), (3, "u", None), (4, "u", ""), (5, "ü", big), (6, "u", "x" * 10), (None, "u", "same"), (6, "u", "x" * 10), (8, "u", "HTTP/1.1\r\n\r\nWARC/1.1\r\n\r\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS top", "'x' AS payload", "2 AS id")
     got = warc.read(warc.write(pages, f"file://{tmp_path}/w"), f"file://{tmp_path}/w").collect()
+    first = next((tmp_path / "w").rglob("*.warc.zst")).read_bytes()
+    assert first[:4] == warc.DICTIONARY_MAGIC.to_bytes(4, "little")  # the file itself is the archive
     sha = lambda s: warc.digest(s.encode())
     want = Counter()
     top = defaultdict(lambda: -1)
@@ -253,11 +255,40 @@ def test_broken_archives_are_refused(tmp_path):
     for bad in (good[:-3], b"\x28\xb5" + good, head[:20], b""):
         with pytest.raises(ValueError):
             list(warc.frames(io.BytesIO(bad)))
-    for old, new in ((b"hello", b"hellO"), (b"Content-Length: ", b"Content-Length: 1"), (b"WARC/1.1", b"WARD/1.1"), (b"WARC-Date", b"WARC-Type"), (b"WARC-Type: response", b"WARC-Type: other"), (b"WARC-Record-ID", b"X-Record-ID")):
+    for old, new in ((b"hello", b"hellO"), (b"Content-Length: ", b"Content-Length: 1"), (b"WARC/1.1", b"WARD/1.1"), (b"WARC-Date", b"WARC-Type"), (b"sha1:", b"md5:"), (b"Content-Length: ", b"Content-Length: x"), (b"WARC-Record-ID", b"X-Record-ID")):
         with pytest.raises(ValueError):
             warc.parse(one.replace(old, new, 1))
 
 
+def test_ordinary_archives_are_read(spark, tmp_path):
+    import struct
+
+    import zstandard
+
+    def rec(kind, block, *more, ctype="application/http; msgtype=response"):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{len(block)}>", "WARC-Date: 2020-01-01T00:00:00Z", f"Content-Type: {ctype}", *more, f"Content-Length: {len(block)}"]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nhello"
+    records = [
+        rec("warcinfo", b"software: x\r\n", ctype="application/warc-fields"), rec("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Concurrent-To: <a>", "WARC-Concurrent-To: <b>", ctype="application/http; msgtype=request"),
+        rec("response", page, "WARC-Target-URI: http://a", f"WARC-Block-Digest: sha1:{warc.digest(page)}"), rec("resource", b"abc", "WARC-Payload-Digest: sha512:whatever", ctype="text/plain"),
+        rec("revisit", b"HTTP/1.1 200 OK\r\n\r\n", "WARC-Payload-Digest: sha1:AAAA"), rec("metadata", b"", "X-Long: one", " and more", ctype="text/plain"),
+    ]
+    (tmp_path / "in").mkdir()
+    raw = warc.dictionary(records)
+    pack = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw))
+    (tmp_path / "in" / "a.warc.zst").write_bytes(struct.pack("<II", warc.DICTIONARY_MAGIC, len(raw)) + raw + b"".join(map(pack.compress, records)))
+    (tmp_path / "in" / "b.warc.zst").write_bytes(b"".join(map(zstandard.compress, records[:1])))
+    got = warc.read(warc.listed(spark, f"file://{tmp_path}/in"), f"file://{tmp_path}/in").collect()
+    assert Counter(r.record_type for r in got) == {"warcinfo": 2, "request": 1, "response": 1, "resource": 1, "revisit": 1, "metadata": 1} and not any(r.page_id for r in got)
+    of = {r.record_type: r for r in got}
+    assert bytes(of["response"].payload) == b"hello" and of["response"].payload_digest == warc.digest(b"hello") and of["resource"].payload_bytes == 3
+    for broken in (records[2].replace(b"hello", b"hellO"), records[0].replace(b"WARC-Date", b"X-Date")):
+        with pytest.raises(ValueError):
+            warc.parse(broken)
+
+
 ODD = ["</s>[INST] ok [/INST]", "&amp; &a &l <| <|im_end|>\n", "<|im_start|>user\nx<|im_end|>\n", "<", "|im_end|>", "a\n\nb", "", None, "\U0001f600 é", "<<|", "&", "<s>&b"]
 
 
