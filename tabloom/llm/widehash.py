@@ -1,10 +1,18 @@
-"""SimHash of 256 bits, for classes by shingle similarity.
+"""Near-duplicate classes by five-word shingles: SimHash of 256 bits, then exact similarity.
 
-At a similarity of 0.8 of their five-word shingles, fingerprints of 64 bits differ in 10
-bits on average, as far apart as unrelated texts come in a large corpus. With 256 bits
-copies at 0.8 differ in about 40 and unrelated texts in 128, so a radius tells them
-apart. The comparison is the same: tiles by population count, exact exclusive-or and
-bit counts with numpy, and a spanning forest from each pair of tiles.
+At a similarity of 0.8, fingerprints of 64 bits differ in 10 bits on average, as far
+apart as unrelated texts come in a large corpus; with 256 bits copies at 0.8 differ in
+about 39 and unrelated texts in 128. The comparison is the tiled one: tiles by
+population count, exact exclusive-or and bit counts with numpy. A fingerprint is an
+estimate, so what is within RADIUS is only a candidate, and links are verified by the
+Jaccard similarity of the texts' shingle sets.
+
+Pairs within a large group are never all made. A pair of tiles returns a minimum
+spanning forest by differing bits, which has the closest links there are. Where one of
+these isn't verified, its component is disputed: there each fingerprint's further
+neighbours in other classes are tried, the nearest first and eight times as many each
+round, until none is left. So two texts whose similarity is 0.8 or more and whose
+fingerprints are within RADIUS always end in one class.
 """
 
 from __future__ import annotations
@@ -23,25 +31,34 @@ from .simhash import _forest
 
 WORDS = 4
 SHINGLE = 5
-#: Of 256 bits. Texts at a similarity of 0.8 differ in 39 on average, with a deviation of 6; at 0.87 in 30; at 0.65 in 54.
-RADIUS = 46
+SIMILARITY = 0.8
+#: Of 256 bits. Texts at a similarity of 0.8 differ in 39 on average, with a deviation of 5.7: one pair in a thousand of
+#: those exactly at 0.8 lies beyond.
+RADIUS = 56
+#: Neighbours that a round of disputes tries, at first.
+FIRST = 8
 #: Fingerprints in a tile. What pairs of tiles move is inverse to it: at 16,384 (0.7 MB) a quarter of what it is at 4,096.
 TILE, BLOCK = 16384, 512
 NAMES = [f"w{i}" for i in range(WORDS)]
 MOST_PARTITIONS = 4096
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Four 64-bit words, each by hashes of the text's shingles with a seed of its own."""
-    import xxhash
-
+def _spans(text: str | None, shingle: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The words of a text, joined, and where its shingles stand in it; none without a word."""
     w = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not w:
-        return np.zeros(WORDS, np.uint64)
-    data, k = b" ".join(w), min(shingle, len(w))
+        return b"", []
+    k = min(shingle, len(w))
     size = np.fromiter(map(len, w), np.int64, len(w))
     stop = np.cumsum(size + 1) - 1
-    spans = list(zip((stop - size)[: len(w) - k + 1].tolist(), stop[k - 1 :].tolist()))
+    return b" ".join(w), list(zip((stop - size)[: len(w) - k + 1].tolist(), stop[k - 1 :].tolist()))
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Four 64-bit words, each by hashes of the text's shingles with a seed of its own."""
+    import xxhash
+
+    data, spans = _spans(text, shingle)
     digest = xxhash.xxh3_128_digest
     total, step = np.zeros(64 * WORDS, np.int64), 32768
     for at in range(0, len(spans), step):
@@ -51,17 +68,43 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.packbits(2 * total > len(spans), bitorder="little").view(np.uint64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the words of the fingerprint, as signed longs, of every whole text that has an id."""
-    bounded_batches(docs.sparkSession)
-    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The distinct shingles of a text, as hashes."""
+    import xxhash
+
+    data, spans = _spans(text, shingle)
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in spans), np.uint64, len(spans))).view(np.int64)
+
+
+KEY = ["none", "id", "k1", "k2"]
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """What tells rows apart: whether an id is missing, the id, and 128 bits of the text; and the text."""
+    i, t = F.col(id_col), F.col(text_col).cast("string")
+    return docs.select(i.isNull().alias("none"), i.alias("id"), F.xxhash64(t).alias("k1"), F.xxhash64(F.lit("k"), t).alias("k2"), t.alias("text"))
+
+
+def _by_text(rows: DataFrame, columns: list[str], make, schema: str, fields) -> DataFrame:
+    """columns of rows and, in Arrow batches, what make gives for each text."""
+    bounded_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], np.uint64).reshape(-1, WORDS).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(fp[:, i])) for i in range(WORDS))], ["doc_id", *NAMES])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *fields([make(t.as_py()) for t in b.column(b.num_columns - 1)])], names)
+
+    names = [*columns, *(x.split()[0] for x in schema.split(", "))]
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*columns).schema)
+    return rows.select(*columns, "text").mapInArrow(run, f"{types}, {schema}")
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The key of every row and the words of its fingerprint, as signed longs."""
+    def columns(fps):
+        fp = np.array(fps, np.uint64).reshape(-1, WORDS).view(np.int64)
+        return [pa.array(np.ascontiguousarray(fp[:, i])) for i in range(WORDS)]
 
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in NAMES))
+    return _by_text(_keyed(docs, id_col, text_col), KEY, lambda t: fingerprint(t, shingle), ", ".join(f"{n} long" for n in NAMES), columns)
 
 
 def tiling(count: dict[int, int], radius: int, tile: int) -> tuple[list[int], list[int], list[int], list[int], int]:
@@ -88,8 +131,36 @@ def tiling(count: dict[int, int], radius: int, tile: int) -> tuple[list[int], li
     return first, parts, low, high, n
 
 
+def spanning(n: int, i: np.ndarray, j: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) at distances d are a minimum spanning forest: in each round
+    every class takes its shortest link (ties by place)."""
+    order = np.argsort(d, kind="stable")
+    i, j = i[order], j[order]
+    label, rank, taken = np.arange(n), np.arange(len(order)), [np.zeros(0, np.int64)]
+    while True:
+        a, b = label[i[rank]], label[j[rank]]
+        rank, a, b = rank[a != b], a[a != b], b[a != b]
+        if not len(rank):
+            return order[np.concatenate(taken)]
+        least = np.full((2, n), len(order))
+        for side, of in zip(least, (a, b)):
+            side[of[::-1]] = rank[::-1]  # ranks ascend, so the least is put last
+        pick = np.unique(least.min(axis=0))
+        pick = pick[pick < len(order)]
+        taken.append(pick)
+        _forest(n, label, i[pick], j[pick])
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of each pair of fingerprints, given as rows of words."""
+    far = np.zeros((x.shape[1], y.shape[1]), np.uint16)
+    for k in range(WORDS):
+        far += np.bitwise_count(x[k, :, None] ^ y[k, None])
+    return far
+
+
 def compare(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray] | None, radius: int = RADIUS, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, as pairs of ids, of the links within x (ids and fingerprints), or between x and y."""
+    """A minimum spanning forest, as pairs of ids, of the links within x (ids and fingerprints), or between x and y."""
 
     def blocks(v):
         bits = np.bitwise_count(v[1]).astype(np.int16)
@@ -100,28 +171,56 @@ def compare(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray] |
     xi, xs, xa, xl, xh = blocks(x)
     yi, ys, ya, yl, yh = (xi, xs, xa, xl, xh) if y is None else blocks(y)
     shift = 0 if y is None else len(xi)
-    label = np.arange(shift + len(yi))
+    every = xi if y is None else np.concatenate([xi, yi])
+    held, waiting = [np.zeros((3, 0), np.int64)], 0
     apart = np.maximum(0, np.maximum(xl[:, None] - yh[None], yl[None] - xh[:, None])).sum(axis=2)
     for p, q in zip(*np.nonzero(apart <= radius)):
         if y is None and q < p:
             continue
-        far = np.zeros((min(block, len(xi) - xa[p]), min(block, len(yi) - ya[q])), np.uint16)
-        for k in range(WORDS):
-            far += np.bitwise_count(xs[k, xa[p] : xa[p] + block, None] ^ ys[k, None, ya[q] : ya[q] + block])
+        far = _apart(xs[:, xa[p] : xa[p] + block], ys[:, ya[q] : ya[q] + block])
         i, j = np.nonzero(far <= radius)
-        i, j = i + xa[p], j + ya[q] + shift
+        if not len(i):
+            continue
+        d, i, j = far[i, j].astype(np.int64), i + xa[p], j + ya[q] + shift
         if y is None and p == q:
-            i, j = i[i < j], j[i < j]
-        if len(i):
-            _forest(len(label), label, i, j)
-    every = xi if y is None else np.concatenate([xi, yi])
-    child = np.flatnonzero(label != np.arange(len(label)))
-    return every[child], every[label[child]]
+            d, i, j = d[i < j], i[i < j], j[i < j]
+        held.append(np.stack([i, j, d]))
+        waiting += len(i)
+        if waiting > 4 * len(every) + block * block:  # a forest of forests is one of all pairs
+            e = np.concatenate(held, axis=1)
+            held, waiting = [e[:, spanning(len(every), *e)]], 0
+    e = np.concatenate(held, axis=1)
+    e = e[:, spanning(len(every), *e)]
+    return every[e[0]], every[e[1]]
+
+
+def further(x: tuple, y: tuple | None, radius: int, low: int, high: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of each fingerprint's neighbours within the radius (in x, or in the other of x and y),
+    those of places low to high, the nearest first, that are of another class; and whether
+    there are such beyond. x and y have ids, fingerprints and classes, in order of ids."""
+    us, vs, more = [], [], False
+    for p, q in ((x, x),) if y is None else ((x, y), (y, x)):
+        pt, qt = np.ascontiguousarray(p[1].T), np.ascontiguousarray(q[1].T)
+        for at in range(0, len(p[0]), block):
+            far = _apart(pt[:, at : at + block], qt)
+            near = far <= radius
+            for r in np.flatnonzero((near & (p[2][at : at + block, None] != q[2][None])).any(axis=1)):
+                c = np.flatnonzero(near[r])
+                if y is None:
+                    c = c[c != at + r]
+                c = c[np.argsort(far[r, c], kind="stable")]
+                other = q[2][c] != p[2][at + r]
+                more = more or bool(other[high:].any())
+                c = c[low:high][other[low:high]]
+                us.append(np.full(len(c), p[0][at + r]))
+                vs.append(q[0][c])
+    u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (us, vs))
+    return np.maximum(u, v), np.minimum(u, v), more
 
 
 def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links (u, v) between ids of distinct fingerprints (id and words), enough to connect all
-    that are joined by steps of at most radius differing bits."""
+    """Links (u, v) between ids of distinct fingerprints (id and words): of each pair of tiles a
+    minimum spanning forest of those of at most radius differing bits."""
     spark = fps.sparkSession
     bounded_batches(spark)
     bits = sum((F.bit_count(n) for n in NAMES[1:]), F.bit_count(NAMES[0]))
@@ -137,31 +236,114 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     left = tiles.select(F.col("tile").alias("a"), F.explode(F.sequence("tile", "high")).alias("b"), F.col("rows").alias("x")).repartition(spread, "a", "b")
     right = tiles.select(F.explode(F.sequence("low", "tile")).alias("a"), F.col("tile").alias("b"), F.col("rows").alias("y")).repartition(spread, "a", "b")
 
-    def held(cell) -> tuple[np.ndarray, np.ndarray]:
-        v = cell.values
-        return v.field(0).to_numpy(), np.stack([v.field(i + 1).to_numpy().view(np.uint64) for i in range(WORDS)], axis=1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
                 same = b.column(0)[k].as_py() == b.column(1)[k].as_py()
-                u, v = compare(held(b.column(2)[k]), None if same else held(b.column(3)[k]), radius)
+                u, v = compare(_held(b.column(2)[k])[:2], None if same else _held(b.column(3)[k])[:2], radius)
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stand for their class of near copies: those with its smallest id.
+def _held(cell) -> tuple[np.ndarray, ...]:
+    """Ids, fingerprints and what else a tile's rows have, as arrays."""
+    v = cell.values
+    fp = np.stack([v.field(i + 1).to_numpy().view(np.uint64) for i in range(WORDS)], axis=1)
+    return v.field(0).to_numpy(), fp, *(v.field(i).to_numpy() for i in range(WORDS + 1, v.type.num_fields))
+
+
+def disputes(nodes: DataFrame, radius: int, low: int, high: int, tile: int = TILE) -> DataFrame:
+    """Further pairs (u, v) within the groups of nodes (id, words, root of the class, grp), and
+    a row of nulls where more are left."""
+    bounded_batches(nodes.sparkSession)
+    size = nodes.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(float(tile))).alias("parts"))
+    rows = nodes.join(size, "grp").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    tiles = materialise(rows.groupBy("grp", "part").agg(F.first("parts").alias("parts"), F.sort_array(F.collect_list(F.struct("id", *NAMES, "root"))).alias("rows")), "disputed")
+    left = tiles.select("grp", F.col("part").alias("a"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("b"), F.col("rows").alias("x"))
+    pairs = left.join(tiles.select("grp", F.col("part").alias("b"), F.col("rows").alias("y")), ["grp", "b"]).select("a", "b", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                same = b.column(0)[k].as_py() == b.column(1)[k].as_py()
+                u, v, more = further(_held(b.column(2)[k]), None if same else _held(b.column(3)[k]), radius, low, high)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                if more:
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 2, ["u", "v"])
+
+    return pairs.mapInArrow(run, "u long, v long").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """pairs (u, v) with ok: whether the Jaccard similarity of their shingle sets (id, s) is that
+    great. A text with many links is joined last, so its set is never copied to a table."""
+    a, b = (sets.select(F.col("id").alias(x), F.col("s").alias(f"s{x}")) for x in "uv")
+    both = F.size(F.array_intersect("su", "sv"))
+    all_ = F.size("su") + F.size("sv")
+    return pairs.join(b, "v").join(a, "u").select("u", "v", (both >= F.lit(similarity) * (all_ - both) - 1e-9).alias("ok"))
+
+
+def classes(docs: DataFrame, nodes: DataFrame, shingle: int, radius: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The root of every node (id, words, key) that is linked with another: (node, root)."""
+    found = materialise(links(nodes, radius), "candidates")
+    ends = found.select("u").union(found.select("v")).distinct().withColumnRenamed("u", "id")
+    linked = nodes.join(ends, "id").select(F.col("id").alias("node"), *(F.col(f"key.{c}").alias(c) for c in KEY))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) if c == "id" else F.col(f"d.{c}") == F.col(f"n.{c}") for c in KEY]
+    texts = _keyed(docs, id_col, text_col).alias("d").join(materialise(linked, "linked").alias("n"), same).select("node", "text")
+    sets = _by_text(texts, ["node"], lambda t: shingle_set(t, shingle), "s array<bigint>", lambda s: [pa.array(s, pa.list_(pa.int64()))])
+    # rows of one id and text are one node
+    sets = materialise(sets.groupBy("node").agg(F.first("s").alias("s")).withColumnRenamed("node", "id"), "shingles")
+    tried = materialise(verified(found, sets, similarity), "verified")
+    good = tried.filter("ok").select("u", "v")
+    roots = materialise(components(good), "roots")
+    if tried.filter("NOT ok").isEmpty():
+        return roots
+    groups = components(found).select(F.col("node").alias("id"), F.col("root").alias("grp"))
+    bad = tried.filter("NOT ok").join(groups, F.col("u") == F.col("id")).select("grp").distinct()
+    disputed = materialise(nodes.join(groups.join(bad, "grp"), "id").select("id", *NAMES, "grp"), "disputed_nodes")
+    low, high, more = 0, FIRST, True
+    while more:
+        now = disputed.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        pairs = materialise(disputes(now, radius, low, high), "further")
+        more = not pairs.filter("u IS NULL").isEmpty()
+        new = materialise(verified(pairs.filter("u IS NOT NULL").join(tried, ["u", "v"], "left_anti"), sets, similarity), "verified")
+        tried = tried.union(new)
+        if not new.filter("ok").isEmpty():
+            good = good.union(new.filter("ok").select("u", "v"))
+            roots = materialise(components(good), "roots")
+        low, high = high, 8 * high
+    return roots
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs that stand for their class of near copies, one for each class.
 
-    One row of each id stays; rows without an id all stay, as nothing tells which of them
-    to drop. Words are runs of non-space, A-Z lower-cased; texts without words are alike;
-    a text of fewer words than a shingle is one shingle. An empty table gives no rows; the
-    columns are those of docs.
+    A class is what links connect; a link is a pair of texts whose sets of five-word
+    shingles are alike at `similarity` or more (Jaccard), whose fingerprints are within the
+    radius. Of a class the row with the smallest id stays, a row without an id only if none
+    has one; of several texts of that id one, by a hash of the text; of equal ids and texts
+    any one row. An id may be of any ordered type, repeated with other texts or null: each
+    row goes by its own text. Words are runs of non-space, A-Z lower-cased; null texts and
+    texts without words are alike; a text of fewer words than a shingle is one shingle. An
+    empty table gives no rows; the columns are those of docs, whatever their names.
     """
     fps = fingerprints(docs, shingle, id_col, text_col)
-    distinct = materialise(fps.groupBy(*NAMES).agg(F.min("doc_id").alias("id")), "fingerprints")
-    roots = components(links(distinct, radius))
-    stay = distinct.select("id").join(roots.filter("node <> root").select(F.col("node").alias("id")), "id", "left_anti").distinct()
-    kept = docs.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return kept.join(stay, kept[id_col] == stay["id"], "left_semi").union(docs.filter(F.col(id_col).isNull()))
+    rows = fps.groupBy(*NAMES).agg(F.min(F.struct(*KEY)).alias("key"))
+    nodes = materialise(rows.withColumn("id", F.monotonically_increasing_id()), "fingerprints")  # written once, so ids stay
+    roots = classes(docs, nodes, shingle, radius, similarity, id_col, text_col)
+    of = nodes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("key").alias("key"))
+    stay = materialise(of.select(*(F.col(f"key.{c}").alias(f"__{c}") for c in KEY)), "stay")
+    text = docs[text_col].cast("string")
+    here = (docs[id_col].eqNullSafe(F.col("__id"))) & (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(F.lit("k"), text) == F.col("__k2"))
+    kept = docs.join(stay, here, "left_semi")
+    # rows of equal id and text are rare: only these are dealt by their key, to keep one of each
+    keyed = _keyed(docs, id_col, text_col).drop("text")
+    again = materialise(keyed.groupBy(*KEY).agg(F.count("*").alias("n")).filter("n > 1").select(*(F.col(c).alias(f"__{c}") for c in KEY)), "repeated")
+    if again.isEmpty():
+        return kept
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    many = kept.join(again, here, "left_semi").toDF(*names)
+    i, t = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    one = many.withColumn("k1", F.xxhash64(F.col(t).cast("string"))).withColumn("k2", F.xxhash64(F.lit("k"), F.col(t).cast("string"))).dropDuplicates([i, "k1", "k2"]).drop("k1", "k2")
+    return kept.join(again, here, "left_anti").union(one.toDF(*docs.columns))

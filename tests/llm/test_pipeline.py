@@ -4,10 +4,9 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
 import pytest
 
-from tabloom.llm import toxicity, widehash
+from tabloom.llm import toxicity
 
 pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -62,11 +61,12 @@ def test_pipeline_matches_plain_python(spark, tmp_path):
     assert {r.doc_id for r in kept["quality_rules"]} == good and all(r.text == of[r.doc_id] for r in kept["quality_rules"])
     polite = {i for i in good if "moron" not in of[i]}
     assert {r.doc_id for r in kept["toxicity"]} == polite
-    left, fp = sorted(polite), {i: widehash.fingerprint(of[i]) for i in polite}
+    left = sorted(polite)
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i in left for w in [of[i].lower().split()]}
     root = {i: i for i in left}
     for i in left:
         for j in left:
-            if j < i and np.bitwise_count(fp[i] ^ fp[j]).sum() <= widehash.RADIUS:
+            if j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = root[i], root[j]
                 root = {x: min(a, b) if r in (a, b) else r for x, r in root.items()}
     single = set(root.values())
