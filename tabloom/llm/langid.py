@@ -11,7 +11,6 @@ that of one exact pass.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,12 +29,21 @@ BUCKETS = 1 << 17
 FEW = 16
 #: A run of more letters is taken as several words, one after the other.
 WIDTH = 24
-#: Numerals that aren't letters, though regular expressions take them as word characters and not as digits.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]{{1,{WIDTH}}}")
+#: Runs of letters, and of numerals that aren't digits.
+RUNS = re.compile(r"[^\W\d_]+")
 HELD_OUT = 2
 
 
+def letter_runs(text: str) -> list[str]:
+    """The words of a text: runs of letters (numerals such as a half sign are none), in
+    pieces of at most WIDTH."""
+    found = RUNS.findall(text)
+    if all(map(str.isalpha, found)) and max(map(len, found), default=0) <= WIDTH:
+        return found
+    runs = (r for w in found for r in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split()))
+    return [r[k : k + WIDTH] for r in runs for k in range(0, len(r), WIDTH)]
+
+
 def feature_ids(words: list[str]) -> np.ndarray:
     """Hashed features of each word of at most WIDTH letters, padded with BUCKETS: identity,
     prefixes of 1 to 3 letters, suffixes of 1 to 4, bigrams and trigrams with word ends."""
@@ -247,7 +255,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [LETTERS.findall(t.lower()) for t in b.column(1).to_pylist()]
+            found = [letter_runs(t.lower()) for t in b.column(1).to_pylist()]
             spread = [w if len(w) <= WORDS_PER_ROW else _parts(w) for w in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spread, pa.list_(pa.string()))], ["lang", "words"])
 
@@ -299,7 +307,7 @@ def identify(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str =
                     pred[i], score[i] = crf.languages[m.argmax()], min(1.0, m.max())
 
             for i, text in enumerate(b.column(2).to_pylist()):
-                ws = LETTERS.findall(text.lower()) if text and crf.languages else []
+                ws = letter_runs(text.lower()) if text and crf.languages else []
                 if ws:
                     held.append((i, ws))
                     size += len(ws)
