@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import html
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Named character references that are decoded without Python; &amp; comes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", " "), ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&amp;", "&"))
-
 #: Words that carry no information in a record's title.
 TITLE_STOP_WORDS = (
     "a an and as at by for from in into of on or the to with under using act acts agency agencies federal rule "
@@ -63,7 +62,14 @@ def strip_quotes(c: Column | str) -> Column:
 
 
 def unescape_html(c: Column | str) -> Column:
-    return reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), ENTITIES, col(c))
+    """Character references decoded, named ones by the full HTML table and numeric ones; in
+    Arrow batches, to which only texts with an ampersand are sent."""
+    @F.pandas_udf("string")
+    def unescaped(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    has = col(c).contains("&")
+    return F.when(has, unescaped(F.when(has, col(c)))).otherwise(col(c))
 
 
 def clean_html(c: Column | str) -> Column:

@@ -40,6 +40,11 @@ def freshness(latest: DataFrame, budgets: list[Budget], today: str) -> DataFrame
     return out.withColumn("ok", F.coalesce(F.col("lag_days") <= F.col("budget_days"), F.lit(False)))
 
 
+def counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name and row_count of each table."""
+    return reduce(DataFrame.union, (t.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, t in tables.items()))
+
+
 def count_changes(now: DataFrame, before: DataFrame, key: str = "table_name", least_ratio: float = 0.5) -> DataFrame:
     """Row counts against those of an earlier run; a table new since then is fine."""
     b = before.select(F.col(key).alias("__k"), F.col("row_count").alias("before"))
@@ -47,6 +52,21 @@ def count_changes(now: DataFrame, before: DataFrame, key: str = "table_name", le
     return out.withColumn("ok", F.coalesce(F.col("row_count") >= least_ratio * F.col("before"), F.lit(True)))
 
 
+def checked_counts(now: DataFrame, path: str, least_ratio: float = 0.5) -> DataFrame:
+    """count_changes against the counts that the last good run stored at path; counts of
+    tables that pass are stored for the next one, the others keep what they had."""
+    from tabloom.operators.layout import exists, swap
+    from tabloom.session import materialise
+
+    spark = now.sparkSession
+    now = now.select("table_name", "row_count")
+    before = materialise(spark.read.parquet(path), "counts") if exists(spark, path) else spark.createDataFrame([], now.schema)
+    out = materialise(count_changes(now, before, least_ratio=least_ratio), "counts")
+    good = out.filter("ok").select("table_name", "row_count")
+    swap(good.unionByName(before.join(good, "table_name", "left_anti")), path)
+    return out
+
+
 def lagging(rows: DataFrame, index: DataFrame, by: list[str]) -> DataFrame:
     """Groups whose newest month in the rows is after that of their index (or has none)."""
     a = rows.groupBy(*by).agg(F.max(F.col("year") * 100 + F.col("month")).alias("rows_month"))

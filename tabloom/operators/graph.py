@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.session import materialise
+from tabloom.session import delete, materialise
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -34,7 +34,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
         small = large.join(low, "u").select(F.explode(ends).alias("e")).select("e.*")
-        edges = materialise(small.filter("u <> v").distinct(), "links")
+        before, edges = edges, materialise(small.filter("u <> v").distinct(), "links")
+        for path in before.inputFiles()[:1]:  # the round before is read no more
+            delete(edges.sparkSession, path.rsplit("/", 1)[0])
         now = _measure(edges)
         if now == state:
             break

@@ -5,11 +5,16 @@ from __future__ import annotations
 import gzip
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Up to so many partitions are named in a scan's predicates.
+MOST_PREDICATES = 200
+
+
 class Shrunk(ValueError):
     """A table would lose more rows than its guard allows."""
 
@@ -135,15 +140,18 @@ def write_staging(records: DataFrame, base: str, kind: str, group: str) -> int:
     return rows
 
 
-def write_partitioned_append(df: DataFrame, path: str, by: list[str]) -> None:
-    df.repartition(*by).write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
+def write_partitioned_append(df: DataFrame, path: str, by: list[str], spread: int = 8) -> None:
+    """Append by group; a large group is spread over several tasks."""
+    dealt = df.repartition(*(F.col(c) for c in by), F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    dealt.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
 def merge_partitions(staged: DataFrame, path: str, by: list[str], keys: list[str], version: str, sort: list | None = None) -> list[dict]:
     """Merge staged rows into a partitioned table, newest version of each key, touching only
     the partitions that staged rows fall into; returns those, with their rows.
 
-    Old rows of those partitions are pruned to at the scan. The merged rows are written
+    Old rows of those partitions are pruned to at the scan: by predicates if they are few, else by a
+    semi join on the partition columns. The merged rows are written
     beside the table first, as a table isn't overwritten while it is read.
     """
     from tabloom.session import materialise
@@ -152,25 +160,76 @@ def merge_partitions(staged: DataFrame, path: str, by: list[str], keys: list[str
 
     spark = staged.sparkSession
     staged = staged.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in by))
-    changed = staged.select(*by).distinct().collect()  # as many as there are partitions in a run
+    touched = materialise(staged.select(*by).distinct(), "touched")
+    changed = touched.limit(MOST_PREDICATES + 1).collect()
     if not changed:
         return []
     old = None
     if exists(spark, path):
         old = spark.read.parquet(path)
-        hit = F.lit(False)
-        for row in changed:
-            one = F.lit(True)
-            for c in by:
-                one = one & (F.col(c) == row[c])
-            hit = hit | one
-        old = old.filter(hit)
+        if len(changed) <= MOST_PREDICATES:
+            old = old.filter(reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (F.col(c) == row[c] for c in by)) for row in changed)))
+        else:
+            old = old.join(touched, by, "left_semi")
         old = old.select(*(F.col(f.name).cast(staged.schema[f.name].dataType) if f.name in staged.columns else F.col(f.name) for f in old.schema))
     merged = materialise(merge_latest(old, staged, [*by, *keys], version), "merged")
     write_partitioned(merged, path, by, sort)
     return [r.asDict() for r in merged.groupBy(*by).agg(F.count("*").alias("row_count")).collect()]
 
 
+def seed_partitions(spark: SparkSession, source: str, path: str, columns: list[str], by: str, ledger: str, groups: list | None = None) -> list:
+    """Load a published tree into a partitioned table, one group after the other, each
+    replacing what the table has of it; returns the groups loaded now.
+
+    Groups that are done stand in a ledger, so a run that was broken off goes on where it
+    stopped and no group is doubled. Columns that older files lack are null; all are text.
+    """
+    from .state import load, record
+
+    old = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(source)
+    rows = old.select(*((F.col(c) if c in old.columns else F.lit(None)).cast("string").alias(c) for c in columns))
+    if groups is None:
+        groups = [r[0] for r in rows.select(by).filter(F.col(by).isNotNull()).distinct().orderBy(by).collect()]  # as many as there are groups
+    done = {r.key for r in load(spark, ledger).collect()}
+    loaded = [g for g in groups if str(g) not in done]
+    for g in loaded:
+        write_partitioned(rows.filter(F.col(by) == g), path, [by])
+        record(spark.createDataFrame([(str(g),)], "key string"), ledger)
+    return loaded
+
+
+def merge_and_index(staged: DataFrame, path: str, index_path: str, by: list[str], keys: list[str], version: str, sort: list | None = None) -> list[dict]:
+    """Merge staged rows into their partitions and replace those partitions' rows of the index."""
+    from .merge import replace_partitions
+
+    spark = staged.sparkSession
+    counts = merge_partitions(staged, path, by, keys, version, sort)
+    if counts:
+        types = {f.name: f.dataType.simpleString() for f in staged.schema}
+        fresh = spark.createDataFrame([tuple(r[c] for c in [*by, "row_count"]) for r in counts], ", ".join([*(f"`{c}` {types[c]}" for c in by), "row_count long"]))
+        swap(replace_partitions(spark.read.parquet(index_path), fresh, by) if exists(spark, index_path) else fresh, index_path, by)
+    return counts
+
+
+def dedupe_table(spark: SparkSession, path: str, key: str, version: str, by: list | None = None, apply: bool = False) -> dict:
+    """How many rows of a table repeat a key; with apply, the table of the newest rows is
+    swapped in, unless it would lose more than those rows, and counted again."""
+    from .merge import latest
+
+    table = spark.read.parquet(path)
+    count = lambda t: t.agg(F.count("*"), F.countDistinct(key), F.count_if(F.col(key).isNull())).first()
+    rows, keys, none = count(table)
+    out = {"rows": rows, "keys": keys, "excess": rows - none - keys, "applied": False}
+    if apply and out["excess"]:
+        kept = latest(table.filter(F.col(key).isNotNull()), [key], version).unionByName(table.filter(F.col(key).isNull()))
+        swap(kept, path, by, least_rows=keys + none)
+        rows, keys, none = count(spark.read.parquet(path))
+        if rows - none != keys:
+            raise ValueError(f"{path} still repeats keys: {rows - none} rows, {keys} keys")
+        out |= {"rows_after": rows, "applied": True}
+    return out
+
+
 def export_snapshot(df: DataFrame, path: str, by: list, tree: str | None = None, tree_by: list[str] | None = None, least_rows: int = 0, least_ratio: float = 0.5) -> int:
     """Publish a table: clustered and swapped in behind its guards, then as a tree of partitions."""
     rows = swap(df, path, by, least_ratio, least_rows)

@@ -59,16 +59,17 @@ def spike_signals(df: DataFrame, key: str, when: Column, as_of: str, least_prior
     return out.filter((F.col("prior") >= least_prior) & (F.col("ratio") >= least_ratio))
 
 
-def lifecycles(proposed: DataFrame, final: DataFrame, key: str, group: str, when: str, floor: str = "2010-01-01") -> DataFrame:
+def lifecycles(proposed: DataFrame, final: DataFrame, key: str, group: str, when: str, floor: str = "2010-01-01", title: str | None = None) -> DataFrame:
     """Earliest proposal of each key and group with the key's earliest final on or after it
-    (kind 'pair'), or without any final at all (kind 'stuck')."""
-    first = proposed.filter(F.col(when) >= F.lit(floor).cast("date")).groupBy(key, group).agg(F.min(when).alias("proposed_date"))
-    last = final.groupBy(key).agg(F.min(when).alias("final_date"))
-    joined = first.join(last, key, "left")
-    known = final.select(F.col(key).alias("__k")).distinct()
-    pair = joined.filter("final_date >= proposed_date").select(key, group, F.lit("pair").alias("kind"), "proposed_date", "final_date", days_between("proposed_date", "final_date").alias("days"))
-    stuck = first.join(known, first[key] == F.col("__k"), "left_anti").select(key, group, F.lit("stuck").alias("kind"), "proposed_date", F.lit(None).cast("date").alias("final_date"), F.lit(None).cast("bigint").alias("days"))
-    return pair.union(stuck)
+    (kind 'pair'), or without any final at all (kind 'stuck'). The floor is of the earliest
+    proposal: one from before it leaves the key out, whatever came later. A title is any of
+    the group's proposals' (the least that isn't null)."""
+    titles = [F.min(title).alias("title")] if title else []
+    first = proposed.groupBy(key, group).agg(F.min(when).alias("proposed_date"), *titles).filter(F.col("proposed_date") >= F.lit(floor).cast("date"))
+    last = final.groupBy(key).agg(F.min(when).alias("final_date"), F.lit(True).alias("__final"))
+    kind = F.when(F.col("final_date") >= F.col("proposed_date"), "pair").when(F.col("__final").isNull(), "stuck")
+    joined = first.join(last, key, "left").withColumn("kind", kind).filter("kind IS NOT NULL")
+    return joined.select(key, group, *(["title"] if title else []), "kind", "proposed_date", "final_date", days_between("proposed_date", "final_date").alias("days"))
 
 
 def exploded_links(df: DataFrame, items: Column, name: str, keep: list[str]) -> DataFrame:
@@ -131,6 +132,30 @@ def shares(df: DataFrame, by: Column, name: str) -> DataFrame:
     return counted.crossJoin(F.broadcast(whole)).select(name, "rows", F.round(F.lit(100.0) * F.col("rows") / F.col("__all"), 1).alias("percent"))  # a single row beside each class
 
 
+def dataset_statistics(tables: dict[str, DataFrame], top_of: str, by: str) -> DataFrame:
+    """One row: the rows of each table (total_<name>), and the most frequent value of a column
+    in one of them with its rows (ties by the value; null only if there is none)."""
+    counts = reduce(DataFrame.crossJoin, (t.agg(F.count("*").alias(f"total_{n}")) for n, t in tables.items()))  # of one row each
+    most = tables[top_of].filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), by).limit(1)
+    return counts.join(F.broadcast(most.select(F.col(by).alias(f"top_{by}"), F.col("n").alias(f"top_{by}_{top_of}"))), F.lit(True), "left")
+
+
+def organizations(df: DataFrame, title: str, across: str, least: int = 50, top_n: int | None = 15, not_like: tuple[str, ...] = ("Comment%", "Anonymous%"), least_length: int = 6) -> DataFrame:
+    """Titles that name someone who writes in many places: those of no stock form and not too
+    short, with more than `least` distinct values of another column, by their number."""
+    named = df.filter(F.col(title).isNotNull() & (F.length(title) >= least_length))
+    for pattern in not_like:
+        named = named.filter(~F.col(title).like(pattern))
+    out = named.groupBy(title).agg(F.count("*").alias("comment_count"), F.countDistinct(across).alias("docket_count")).filter(F.col("docket_count") > least)
+    return out.orderBy(F.desc("docket_count"), F.asc(title)).limit(top_n) if top_n else out
+
+
+def activity(df: DataFrame, by: str, across: str, when: str, top_n: int | None = None) -> DataFrame:
+    """Rows, distinct values of another column, and first and last date of each group, the most active first."""
+    out = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("rows"), F.countDistinct(across).alias("distinct_values"), F.min(when).alias("first"), F.max(when).alias("last"))
+    return out.orderBy(F.desc("rows"), F.asc(by)).limit(top_n) if top_n else out
+
+
 def word_counts(df: DataFrame, text: str, least: int = 4, stop=ENGLISH_STOP_WORDS) -> DataFrame:
     words = df.select(F.explode(letters(text, least)).alias("word"))
     return words.filter(~F.col("word").isin(*stop)).groupBy("word").agg(F.count("*").alias("n"))

@@ -37,11 +37,9 @@ def bm25(df: DataFrame, id_col: str, text: str, query: str, limit: int | None =
     terms = list(dict.fromkeys(re.findall(r"[a-z0-9]+", query.lower())))
     if not terms:
         raise ValueError("the query has no word")
-    w = F.col("__w")
-    count = lambda t: F.size(F.filter(w, lambda x: x == t))
-    counted = df.select(F.col(id_col), tokens(text).alias("__w")).select(
-        id_col, F.size(w).alias("__len"), *(count(t).alias(f"__tf{i}") for i, t in enumerate(terms))
-    )
+    count = lambda w, t: F.size(F.filter(w, lambda x: x == t))
+    # generated, so that the words are made once a row, whatever names the counts
+    counted = df.select(id_col, F.inline(F.transform(F.array(tokens(text)), lambda w: F.struct(F.size(w).alias("__len"), *(count(w, t).alias(f"__tf{i}") for i, t in enumerate(terms))))))
     stats = counted.agg(F.count("*").alias("__n"), F.avg("__len").alias("__avg"), *(F.count_if(F.col(f"__tf{i}") > 0).alias(f"__df{i}") for i in range(len(terms))))
     joined = counted.filter(" OR ".join(f"__tf{i} > 0" for i in range(len(terms)))).crossJoin(F.broadcast(stats))  # one row of statistics
     score = F.lit(0.0)

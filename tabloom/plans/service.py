@@ -1,7 +1,8 @@
 """A read-only SQL service over registered views.
 
-A statement is analysed before it runs, and only plans that read are let through:
-commands, writes and tables named by a file path are refused. Rows, time and the values'
+A statement is parsed before it runs, and only plans that read are let through:
+commands, writes and tables named by a file path are refused, and so is every function
+that isn't one of the groups of built-in functions that compute from their arguments. Rows, time and the values'
 JSON form are bounded.
 """
 
@@ -23,6 +24,15 @@ DEFAULT_ROWS, MOST_ROWS = 25, 500
 DEFAULT_TIMEOUT_S = 790.0
 
 
+#: Groups of built-in functions that only compute from their arguments, and single ones of other groups.
+FUNCTION_GROUPS = (
+    "agg_funcs array_funcs bitwise_funcs collection_funcs conditional_funcs conversion_funcs csv_funcs datetime_funcs generator_funcs hash_funcs json_funcs "
+    "lambda_funcs map_funcs math_funcs predicate_funcs string_funcs struct_funcs url_funcs variant_funcs window_funcs xml_funcs"
+).split()
+FUNCTIONS = ("typeof", "equal_null")
+TABLE_FUNCTIONS = ("range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack", "json_tuple")
+
+
 class Refused(ValueError):
     """The statement isn't a query over the registered views."""
 
@@ -108,10 +118,43 @@ class Service:
                 parts = [node.multipartIdentifier().apply(i) for i in range(node.multipartIdentifier().size())]
                 if len(parts) > 1 or parts[0].lower() not in known:
                     raise Refused(f"no such table: {'.'.join(parts)}")
+            elif kind == "UnresolvedTableValuedFunction":
+                self._allow(node.name(), TABLE_FUNCTIONS, ())
             elif "command" in name.lower() or kind.startswith(("Insert", "Create", "Drop", "Set", "Alter", "Truncate", "Delete", "Update", "Merge", "Cache", "Uncache", "Refresh", "Replace", "Rename", "Load", "Add", "Use", "Call", "Show", "Describe", "Explain")):
                 raise Refused(f"only queries are allowed, not {kind}")
+            found = node.expressions()
+            for i in range(found.size()):
+                self._walk_expression(found.apply(i))
         del logical
 
+    def _walk_expression(self, e) -> None:
+        """Refuse functions that aren't allowed, wherever in an expression they stand."""
+        kind = e.getClass().getSimpleName()
+        if kind == "UnresolvedFunction":
+            self._allow(e.nameParts(), FUNCTIONS, FUNCTION_GROUPS)
+        elif kind == "UnresolvedGenerator":
+            name = e.name()
+            self._allow([*( [name.database().get()] if name.database().isDefined() else []), name.funcName()], TABLE_FUNCTIONS, FUNCTION_GROUPS)
+        elif kind in ("CallMethodViaReflection", "PythonUDF", "ScalaUDF"):
+            raise Refused(f"{kind} isn't allowed")
+        kids = e.children()
+        for i in range(kids.size()):
+            self._walk_expression(kids.apply(i))
+
+    def _allow(self, parts, names: tuple[str, ...], groups) -> None:
+        parts = parts if isinstance(parts, list) else [parts.apply(i) for i in range(parts.size())]
+        name = ".".join(parts).lower()
+        if name in names:
+            return
+        if len(parts) == 1:
+            state, jvm = self.spark._jsparkSession.sessionState(), self.spark.sparkContext._jvm
+            try:
+                if state.catalog().lookupFunctionInfo(jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(name)).getGroup() in groups:
+                    return
+            except Exception:  # there is none of that name
+                pass
+        raise Refused(f"the function {name} isn't allowed")
+
     def _walk_with(self, plan, known: set[str]) -> None:
         views, self.views = self.views, [*self.views, *known]
         try:

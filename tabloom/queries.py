@@ -96,10 +96,9 @@ def update_where_present(spark, t):
     return merge.update_where_present(c, updates, "c_custkey", ["c_name", "c_mktsegment"])
 
 
-@query("SELECT o_orderkey, CAST(o_totalprice AS VARCHAR) IS NULL AS no_price, CAST(NULL AS VARCHAR) AS note FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT o_orderkey, true, 'staged' FROM orders WHERE o_orderkey % 4 = 1")
+@query("SELECT o_orderkey, CAST(o_totalprice AS VARCHAR) IS NULL AS no_price, CAST(NULL AS VARCHAR) AS note FROM orders UNION ALL SELECT l_orderkey, true, 'staged' FROM lineitem")
 def schema_evolution_union(spark, t):
-    o = t("orders")
-    old, new = o.filter("o_orderkey % 4 = 0").select("o_orderkey", "o_totalprice"), o.filter("o_orderkey % 4 = 1").select("o_orderkey", F.lit("staged").alias("note"))
+    old, new = t("orders").select("o_orderkey", "o_totalprice"), t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.lit("staged").alias("note"))
     both = merge.conform(merge.union_by_name(old, new), {"o_orderkey": "bigint", "o_totalprice": "string", "note": "string"})
     return both.select("o_orderkey", F.col("o_totalprice").isNull().alias("no_price"), "note")
 
@@ -136,15 +135,16 @@ def spike_signal(spark, t):
     return out.withColumn("baseline", F.round("baseline", 4)).withColumn("ratio", F.round("ratio", 4))
 
 
-_LIFE = """WITH p AS (SELECT user_id, event_type AS kind, min(CAST(ts AS DATE)) AS d FROM events WHERE event_type = 'signup' AND ts >= TIMESTAMP '2024-01-05' GROUP BY ALL),
-    f AS (SELECT user_id, min(CAST(ts AS DATE)) AS d FROM events WHERE event_type = 'purchase' AND event_id % 7 = 0 GROUP BY 1)"""
+_LIFE = """WITH p AS (SELECT l_orderkey AS k, l_returnflag AS grp, min(l_linestatus) AS title, min(CAST(l_shipdate AS DATE)) AS d FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL),
+    f AS (SELECT l_orderkey AS k, min(CAST(l_shipdate AS DATE)) AS d FROM lineitem WHERE l_linenumber = 3 GROUP BY 1)"""
 
 
-@query(_LIFE + """ SELECT user_id, p.kind AS grp, 'pair' AS kind, CAST(p.d AS VARCHAR) AS proposed_date, CAST(f.d AS VARCHAR) AS final_date, date_diff('day', p.d, f.d) AS days FROM p JOIN f USING (user_id) WHERE f.d >= p.d
-    UNION ALL SELECT user_id, p.kind, 'stuck', CAST(p.d AS VARCHAR), NULL, -1 FROM p WHERE user_id NOT IN (SELECT user_id FROM f)""")
+@query(_LIFE + """ SELECT p.k, p.grp, p.title, 'pair' AS kind, CAST(p.d AS VARCHAR) AS proposed_date, CAST(f.d AS VARCHAR) AS final_date, date_diff('day', p.d, f.d) AS days FROM p JOIN f ON p.k = f.k WHERE f.d >= p.d AND p.d >= DATE '1996-01-01'
+    UNION ALL SELECT p.k, p.grp, p.title, 'stuck', CAST(p.d AS VARCHAR), NULL, -1 FROM p LEFT JOIN f ON p.k = f.k WHERE f.k IS NULL AND p.d >= DATE '1996-01-01'""")
 def lifecycles_pairs_stuck(spark, t):
-    e = t("events").withColumn("day", F.to_date("ts")).withColumn("grp", F.col("event_type"))
-    return rollups.lifecycles(e.filter("event_type = 'signup'"), e.filter("event_type = 'purchase' AND event_id % 7 = 0"), "user_id", "grp", "day", "2024-01-05").withColumns({c: F.col(c).cast("string") for c in ("proposed_date", "final_date")}).fillna(-1, "days")
+    li = t("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("grp"), F.col("l_linestatus").alias("name"), "l_linenumber", F.to_date("l_shipdate").alias("day"))
+    out = rollups.lifecycles(li.filter("l_linenumber <= 2"), li.filter("l_linenumber = 3"), "k", "grp", "day", "1996-01-01", "name")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("proposed_date", "final_date")}).fillna(-1, "days")
 
 
 @query("SELECT unnest(list_distinct(string_split(lower(text), ' '))[1:5]) AS w, doc_id FROM documents WHERE false UNION ALL SELECT w, doc_id FROM (SELECT doc_id, unnest(string_split(source || ',' || lang || ', ', ',')) AS w FROM documents) WHERE trim(w) <> ''")
@@ -248,16 +248,26 @@ def overview(spark, t):
 _STOP = ", ".join(f"'{w}'" for w in tx.ENGLISH_STOP_WORDS)
 
 
-@query(rf"SELECT w AS word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\b[a-z]{{4,}}\b')) AS w FROM conversations WHERE regexp_matches(text, '^[\x00-\x7f]*$')) WHERE w NOT IN ({_STOP}) GROUP BY 1")
+# runs of letters a-z between boundaries, where word characters are a-z, A-Z, 0-9 and _ for either engine
+_ASCII_WORDS = r"regexp_extract_all(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x7f]', '-', 'g'), '\b[a-z]{%d,}\b')"
+
+
+def _ascii(t):
+    """Conversations with any other character as a hyphen, as both engines disagree on which of those are letters."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return t("conversations").select(F.regexp_replace(lower, r"[^\x00-\x7f]", "-").alias("text"))
+
+
+@query(f"SELECT w AS word, count(*) AS n FROM (SELECT unnest({_ASCII_WORDS % 4}) AS w FROM conversations) WHERE w NOT IN ({_STOP}) GROUP BY 1")
 def word_frequency(spark, t):
-    return rollups.word_counts(t("conversations").filter(r"text RLIKE '^[\\x00-\\x7f]*$'"), "text")
+    return rollups.word_counts(_ascii(t), "text")
 
 
-@query(r"""WITH w AS (SELECT regexp_extract_all(lower(text), '\b[a-z]{3,}\b') AS w FROM conversations WHERE regexp_matches(text, '^[\x00-\x7f]*$')),
+@query(f"""WITH w AS (SELECT {_ASCII_WORDS % 3} AS w FROM conversations),
     b AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigram FROM w)
     SELECT bigram, count(*) AS n FROM b WHERE bigram NOT IN ('the the', 'of the', 'in the', 'to the', 'and the', 'for the', 'this is', 'that the') GROUP BY 1""")
 def bigram_frequency(spark, t):
-    return rollups.bigram_counts(t("conversations").filter(r"text RLIKE '^[\\x00-\\x7f]*$'"), "text")
+    return rollups.bigram_counts(_ascii(t), "text")
 
 
 @query("""SELECT event_id, ts, 'early' AS \"end\", CAST(row_number() OVER (ORDER BY ts, event_id) AS INTEGER) AS rank FROM events QUALIFY rank <= 10
@@ -277,9 +287,12 @@ def search_index(spark, t):
     return rollups.search_documents(t("documents"), "doc_id", tx.preview("text", 30), F.col("lang"), "n_chars")
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '<[^>]+>', ' ', 'g'), '[\s ]+', ' ', 'g')) AS body FROM pages""")
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(html || ' &lt;caf&eacute;&gt; &#167;&sect;&#x2014;',
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&eacute;', 'é'), '&#167;', '§'), '&sect;', '§'), '&#x2014;', '—'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '<[^>]+>', ' ', 'g'), '[\s\x{00a0}]+', ' ', 'g')) AS body
+    FROM (SELECT page_id, html FROM pages)""")
 def clean_html(spark, t):
-    return t("pages").select("page_id", tx.clean_html("html").alias("body"))
+    page = F.concat("html", F.lit(" &lt;caf&eacute;&gt; &#167;&sect;&#x2014;"))
+    return t("pages").select("page_id", tx.clean_html(page).alias("body"))
 
 
 @query("SELECT lang, count(*) AS n, count(DISTINCT source) AS sources FROM documents GROUP BY 1")
@@ -326,9 +339,10 @@ def intersect_keys(spark, t):
     return o.filter("o_orderstatus = 'O'").select("o_custkey").intersect(o.filter("o_orderstatus = 'F'").select("o_custkey"))
 
 
-@query("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey % 2 = 0")
+@query("SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'O' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def except_keys(spark, t):
-    return t("customer").select(F.col("c_nationkey").alias("k")).subtract(t("supplier").filter("s_suppkey % 2 = 0").select("s_nationkey"))
+    o = t("orders")
+    return o.filter("o_orderstatus = 'O'").select(F.col("o_custkey").alias("k")).subtract(o.filter("o_orderstatus = 'P'").select("o_custkey"))
 
 
 @query("SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS start, count(*) AS \"rows\" FROM events GROUP BY ALL")
@@ -387,11 +401,17 @@ def similar_vectors(spark, t):
     return search.similar_to(t("embeddings"), "vec_id", "embedding", 3, 10).withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(rf"""WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM documents),
+    c AS (SELECT doc_id, CAST(len(w) AS DOUBLE) AS n, CAST(len(list_filter(w, lambda x: x = 'worthless')) AS DOUBLE) AS a, CAST(len(list_filter(w, lambda x: x = 'idiot')) AS DOUBLE) AS b FROM w),
+    s AS (SELECT CAST(count(*) AS DOUBLE) AS docs, avg(n) AS mean, CAST(count(*) FILTER (a > 0) AS DOUBLE) AS da, CAST(count(*) FILTER (b > 0) AS DOUBLE) AS db FROM c),
+    k AS (SELECT doc_id, ln(1 + (docs - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * n / mean)) + ln(1 + (docs - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * n / mean)) AS score FROM c, s WHERE a > 0 OR b > 0),
+    v AS (SELECT vec_id AS doc_id, list_cosine_similarity(embedding::DOUBLE[], {_QSQL}) AS score FROM embeddings),
+    r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM k QUALIFY r <= 50 UNION ALL SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM v QUALIFY r <= 50)
+    SELECT doc_id, round(sum(1.0 / (60 + r)), 6) AS score, count(*) AS found_by FROM r GROUP BY doc_id ORDER BY sum(1.0 / (60 + r)) DESC, doc_id LIMIT 20""")
 def hybrid_rrf(spark, t):
     d = t("documents").select(F.col("doc_id"), "text")
     e = t("embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return search.fused([search.bm25(d, "doc_id", "text", "worthless idiot", 50), search.vector_search(e, "doc_id", "embedding", _Q, 50)], "doc_id", 20)
+    return search.fused([search.bm25(d, "doc_id", "text", "worthless idiot", 50), search.vector_search(e, "doc_id", "embedding", _Q, 50)], "doc_id", 20).withColumn("score", F.round("score", 6))
 
 
 @query("SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'second' WHEN b.doc_id IS NULL THEN 'first' ELSE 'both' END AS found_in FROM (SELECT doc_id FROM documents WHERE contains(lower(text), 'worthless')) a FULL JOIN (SELECT doc_id FROM documents WHERE contains(lower(text), 'idiot')) b ON a.doc_id = b.doc_id")
@@ -404,7 +424,8 @@ def search_overlap(spark, t):
 
 
 def _titles(t):
-    return nearmatch.records(t("documents").withColumn("title", F.left("text", F.lit(90))), "doc_id", "source", "title")
+    """Whole names of parts as titles, brands as the groups between which they are paired."""
+    return nearmatch.records(t("part").withColumn("title", F.concat_ws(" ", "p_name", "p_type", "p_brand")), "p_partkey", "p_brand", "title")
 
 
 @query()
@@ -419,12 +440,11 @@ def near_title_clusters(spark, t):
     return nearmatch.clusters(nearmatch.scored(nearmatch.candidates(recs), recs), recs, 0.6).select("cluster", "records", "groups", "pair_count")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS u, o_orderkey % 97 + 1000000 AS v FROM orders WHERE o_orderkey % 40 = 0),
-    b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r AS (SELECT u AS node, u AS root FROM b UNION SELECT b.v, r.root FROM r JOIN b ON b.u = r.node)
-    SELECT node, min(root) AS root FROM r GROUP BY 1""")
+@query()
 def connected_components(spark, t):
-    e = t("orders").filter("o_orderkey % 40 = 0").select(F.col("o_custkey").alias("u"), (F.col("o_orderkey") % 97 + 1000000).alias("v"))
-    return graph.components(e)
+    """Customers linked by the parts that they order."""
+    o, li = t("orders").select("o_orderkey", "o_custkey"), t("lineitem").select("l_orderkey", "l_partkey")
+    return graph.components(o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("u"), (-F.col("l_partkey")).alias("v")))
 
 
 # --- checks
@@ -459,3 +479,54 @@ def joined_parts(spark, t):
 @query("SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS d, CAST(date_diff('day', CAST(ts AS DATE), DATE '2024-02-01') AS BIGINT) AS days FROM events")
 def date_parsing(spark, t):
     return t("events").select("event_id", dates.day(F.col("ts").cast("string")).cast("string").alias("d"), dates.days_between(dates.day(F.col("ts").cast("string")), F.lit("2024-02-01").cast("date")).alias("days"))
+
+
+# --- what the tables can show of other operators
+
+
+@query("""SELECT (SELECT count(*) FROM orders) AS total_orders, (SELECT count(*) FROM lineitem) AS total_lineitem, (SELECT count(*) FROM customer) AS total_customer, l_partkey AS top_l_partkey, n AS top_l_partkey_lineitem
+    FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 1)""")
+def dataset_statistics(spark, t):
+    return rollups.dataset_statistics({n: t(n) for n in ("orders", "lineitem", "customer")}, "lineitem", "l_partkey")
+
+
+@query("SELECT p_type, count(*) AS comment_count, count(DISTINCT p_brand) AS docket_count FROM part WHERE p_type NOT LIKE 'S%' AND length(p_type) > 5 GROUP BY 1 HAVING count(DISTINCT p_brand) > 5 ORDER BY docket_count DESC, p_type LIMIT 15")
+def organizations(spark, t):
+    return rollups.organizations(t("part"), "p_type", "p_brand", 5, 15, ("S%",))
+
+
+@query("SELECT user_id, count(*) AS \"rows\", count(DISTINCT event_type) AS distinct_values, min(ts) AS first, max(ts) AS last FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30")
+def activity(spark, t):
+    return rollups.activity(t("events"), "user_id", "event_type", "ts", 30)
+
+
+@query("SELECT 'orders' AS table_name, count(*) AS row_count, 100 AS before, true AS ok FROM orders UNION ALL SELECT 'customer', count(*), 1000000000, false FROM customer UNION ALL SELECT 'part', count(*), NULL, true FROM part")
+def row_count_changes(spark, t):
+    now = governance.counts({n: t(n) for n in ("orders", "customer", "part")})
+    return governance.count_changes(now, spark.createDataFrame([("orders", 100), ("customer", 1000000000)], "table_name string, row_count int"))
+
+
+@query("SELECT c_custkey AS key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def unseen_keys(spark, t):
+    from tabloom.operators import state
+
+    return state.unseen(t("customer").select(F.col("c_custkey").alias("key")), t("orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key")).distinct())
+
+
+@query("SELECT DISTINCT c_mktsegment FROM customer ORDER BY 1 LIMIT 2 OFFSET 2")
+def key_slices(spark, t):
+    from tabloom.operators import state
+
+    return state.slices(t("customer"), "c_mktsegment", 1, 2)
+
+
+@query("SELECT p_partkey, trim(p_name || ' ' || p_brand) AS joined, CAST(p_partkey AS VARCHAR) || '-' || p_brand AS composed FROM part")
+def joined_names(spark, t):
+    return t("part").select("p_partkey", tx.joined_text("p_name", "p_brand").alias("joined"), F.concat_ws("-", F.col("p_partkey").cast("string"), "p_brand").alias("composed"))
+
+
+@query(r"""WITH w AS (SELECT p_partkey, list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(p_name || ' ' || p_type || ' ' || p_brand), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> ''))) AS w FROM part)
+    SELECT p_partkey, CAST(len(w) AS INTEGER) AS n, array_to_string(w, ' ') AS words FROM w""")
+def normalised_tokens(spark, t):
+    w = F.array_sort(F.array_distinct(tx.tokens(F.concat_ws(" ", "p_name", "p_type", "p_brand"))))
+    return t("part").select("p_partkey", F.size(w).alias("n"), F.array_join(w, " ").alias("words"))

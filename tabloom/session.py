@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,22 +36,42 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tabloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+#: Folders of intermediate tables that this process has written, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts its lineage and keeps
     what follows from computing it twice. Survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def discard(spark: SparkSession) -> int:
+    """Delete all intermediate tables of this session, once no result that was made from
+    them is read any more; returns how many."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, wherever they run; once for a context."""
     import zipfile

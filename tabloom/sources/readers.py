@@ -61,6 +61,19 @@ def json_text_records(kind: RecordType, df: DataFrame, column: str) -> tuple[Dat
     return kind.extract(parsed.filter(ok).select("__r.*")), parsed.filter(~ok).drop("__r")
 
 
+def has_doctype(spark: SparkSession, path: str) -> bool:
+    """Whether any XML file below path declares a document type, where expanding entities live."""
+    return not spark.read.option("recursiveFileLookup", True).text(path).filter("upper(value) LIKE '%<!DOCTYPE%'").isEmpty()
+
+
+def feed(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
+    """Rows of an XML feed; none, with a logged error, if it has a DOCTYPE, as a proper feed has not."""
+    if has_doctype(spark, path):
+        log.error("%s has a DOCTYPE declaration and isn't parsed", path)
+        return spark.createDataFrame([], schema)
+    return xml(spark, path, row_tag, schema)
+
+
 def xml(spark: SparkSession, path: str, row_tag: str, schema: str | None = None) -> DataFrame:
     """Rows of an XML dump, one for each element of the tag, without reading a file whole."""
     reader = spark.read.format("xml").option("rowTag", row_tag)
@@ -111,35 +124,68 @@ def day_windows(spark: SparkSession, first: str, last: str, days: int) -> DataFr
     return spark.range(1).select(start.alias("since")).withColumn("until", F.least(F.date_add("since", days - 1), F.lit(last).cast("date")))
 
 
-def dump(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFrame:
-    """Texts of a dump, a row each (value): the lines of NDJSON files, plain, gzipped or
-    zipped, and the elements of a JSON array that stands on one line."""
+def dump(spark: SparkSession, path: str, envelope: str = "entityData") -> DataFrame:
+    """Texts of a dump, a row each (value): the lines of NDJSON files, the elements of a JSON
+    array, and those under a key of a JSON object (the envelope), on one line or several;
+    plain, gzipped or zipped.
+
+    Files whose lines are JSON are read line by line, however long. Only others, and zips,
+    are read whole, each by one task; of those that are no JSON either, lines that are
+    JSON objects count and the rest is skipped.
+    """
     from tabloom.session import ship
 
-    plain = spark.read.option("recursiveFileLookup", True).text(path).filter("NOT endswith(lower(_metadata.file_name), '.zip')").select("value")
+    read = lambda: spark.read.option("recursiveFileLookup", True)
+    lines = read().text(path).filter("NOT endswith(lower(_metadata.file_name), '.zip') AND trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("file"))
+    other = lines.filter(F.try_parse_json("value").isNull()).select("file").distinct()
+    schema = f"`{envelope}` array<string>"
+    first = F.substring(F.ltrim("value"), 1, 1)
+    held = F.from_json("value", schema)[envelope]
+    items = F.when(first == "[", F.from_json("value", "array<string>")).when((first == "{") & held.isNotNull(), held).otherwise(F.array("value"))
+    plain = lines.join(other, "file", "left_anti").select(F.explode(items).alias("value"))
     ship(spark)
-    zipped = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path).select("content")
-
-    def lines(frames):
-        import io
-        import zipfile
+    whole = read().format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
+    whole = whole.join(other, "file", "left_semi").unionByName(whole.filter("lower(file) LIKE '%.zip'"))
 
+    def parsed(frames):
         import pandas as pd
 
         for f in frames:
             for content in f["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        held, size = [], 0
-                        for line in z.open(name):
-                            held.append(line.decode("utf-8", "replace").rstrip("\r\n"))
-                            size += len(line)
-                            if size > chunk:
-                                yield pd.DataFrame({"value": held})
-                                held, size = [], 0
-                        if held:
-                            yield pd.DataFrame({"value": held})
-
-    rows = plain.union(zipped.mapInPandas(lines, "value string")).filter("trim(value) <> ''")
-    items = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
-    return rows.select(F.explode(items).alias("value"))
+                rows = dump_records(content, envelope)
+                for k in range(0, len(rows), 1000):
+                    yield pd.DataFrame({"value": rows[k : k + 1000]})
+
+    return plain.union(whole.select("content").mapInPandas(parsed, "value string")).filter("trim(value) <> ''")
+
+
+def dump_records(content: bytes, envelope: str) -> list[str]:
+    """The JSON objects of one file's bytes, as texts; none if it can't be unpacked."""
+    import gzip
+    import io
+    import json
+    import zipfile
+
+    try:
+        if content[:2] == b"\x1f\x8b":
+            content = gzip.decompress(content)
+        elif content[:2] == b"PK":
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                content = b"\n".join(z.read(n) for n in z.namelist()[:1])
+    except (OSError, zipfile.BadZipFile):
+        return []
+    text = content.decode("utf-8", "replace")
+    try:
+        found = [json.loads(text)]
+    except ValueError:
+        found = []
+        for line in text.splitlines():
+            try:
+                found.append(json.loads(line))
+            except ValueError:
+                continue
+    if len(found) == 1 and isinstance(found[0], dict) and isinstance(found[0].get(envelope), list):
+        found = found[0][envelope]
+    elif len(found) == 1 and isinstance(found[0], list):
+        found = found[0]
+    return [json.dumps(r, ensure_ascii=False) for r in found if isinstance(r, dict)]

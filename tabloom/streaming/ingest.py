@@ -1,64 +1,100 @@
 """Micro-batch ingestion: files arrive, batches are merged into a keyed table.
 
-A batch's number is written with the table it made, in one rename: a batch that is
-replayed after a failure finds its number and does nothing. Each version of the table is
-a folder of its own, and a small pointer file names the one in force.
+A table is dealt into buckets by its keys. A batch rewrites only the buckets that it
+falls into, below a folder of its own number; a small log file of that number then says
+in which folder each bucket is. The log file appears whole by one rename and none is
+ever changed, so the table is, at every moment, what the highest log file says: a crash
+between any two steps leaves the table as it was, and a batch that is replayed finds
+its number and does nothing, or does its work again.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tabloom.operators.layout import _fs
+from tabloom.operators.layout import _fs, write_partitioned
 from tabloom.operators.merge import merge_latest
 
+BUCKETS = 64
+
 
 class MergedTable:
     """A table of the newest version of each key, kept by micro-batches."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str):
-        self.spark, self.path, self.keys, self.version = spark, path.rstrip("/"), keys, version
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.keys, self.version, self.buckets = spark, path.rstrip("/"), keys, version, buckets
+
+    def _log(self) -> list[int]:
+        """The numbers of all log files, in order."""
+        fs, p, _ = _fs(self.spark, f"{self.path}/_log")
+        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n.removesuffix(".json")) for n in names if n[:1].isdigit() and n.endswith(".json"))
 
-    def _pointer(self) -> dict | None:
-        fs, p, _ = _fs(self.spark, f"{self.path}/_current")
-        if not fs.exists(p):
-            return None
+    def _entry(self, number: int) -> dict:
+        fs, p, _ = _fs(self.spark, f"{self.path}/_log/{number:012d}.json")
         stream = fs.open(p)
         try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return json.loads(text)
 
-    def _point(self, batch: int) -> None:
-        fs, p, Path = _fs(self.spark, f"{self.path}/_current")
-        new = Path(f"{self.path}/_next")
-        out = fs.create(new, True)
+    def _now(self) -> dict | None:
+        log = self._log()
+        return self._entry(log[-1]) if log else None
+
+    def _commit(self, entry: dict) -> None:
+        fs, waiting, Path = _fs(self.spark, f"{self.path}/_log/_{uuid.uuid4().hex}")
+        out = fs.create(waiting, True)
         try:
-            out.write(json.dumps({"batch": batch, "folder": f"v{batch}"}).encode())
+            out.write(json.dumps(entry).encode())
         finally:
             out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(new, p)
+        if not fs.rename(waiting, Path(f"{self.path}/_log/{entry['batch']:012d}.json")):
+            raise OSError(f"batch {entry['batch']} couldn't be committed")
+
+    def _rows(self, folders: dict[str, str]) -> DataFrame | None:
+        """The rows of some buckets (number: folder)."""
+        paths = [f"{self.path}/{folder}/__bucket={b}" for b, folder in sorted(folders.items())]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
 
     def read(self) -> DataFrame | None:
-        now = self._pointer()
-        return self.spark.read.parquet(f"{self.path}/{now['folder']}") if now else None
+        now = self._now()
+        return self._rows(now["folders"]) if now else None
 
     def merge(self, batch: DataFrame, number: int) -> None:
-        now = self._pointer()
-        if now and now["batch"] >= number:
+        now = self._now() or {"batch": -1, "buckets": self.buckets, "folders": {}}
+        if now["batch"] >= number:
             return
-        merge_latest(self.read(), batch, self.keys, self.version).write.mode("overwrite").parquet(f"{self.path}/v{number}")
-        self._point(number)
-        if now:
-            fs, old, _ = _fs(self.spark, f"{self.path}/v{now['batch'] - 1}")  # one version back stays for readers
-            fs.delete(old, True)
+        bucket = F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in self.keys)), F.lit(now["buckets"])).cast("int").alias("__bucket")
+        changed = [str(r[0]) for r in batch.select(bucket).distinct().collect()]  # as many as there are buckets
+        if changed:
+            old = self._rows({b: now["folders"][b] for b in changed if b in now["folders"]})
+            merged = merge_latest(old, batch, self.keys, self.version)
+            fs, folder, _ = _fs(self.spark, f"{self.path}/v{number}")
+            fs.delete(folder, True)  # what a crashed run of this batch left
+            write_partitioned(merged.select("*", bucket), f"{self.path}/v{number}", ["__bucket"])
+        self._commit({"batch": number, "buckets": now["buckets"], "folders": now["folders"] | {b: f"v{number}" for b in changed}})
+        self._clean()
+
+    def _clean(self) -> None:
+        """Delete what neither the last log file nor the one before it, kept for readers, refers to."""
+        log = self._log()
+        used = {f"{folder}/__bucket={b}" for n in log[-2:] for b, folder in self._entry(n)["folders"].items()}
+        fs, base, Path = _fs(self.spark, self.path)
+        for version in fs.listStatus(base):
+            name = version.getPath().getName()
+            if name.startswith("v") and name[1:].isdigit():
+                parts = [p.getPath() for p in fs.listStatus(version.getPath()) if p.isDirectory()]
+                gone = [p for p in parts if f"{name}/{p.getName()}" not in used]
+                for p in [version.getPath()] if len(gone) == len(parts) else gone:
+                    fs.delete(p, True)
+        for n in log[:-2]:
+            fs.delete(Path(f"{self.path}/_log/{n:012d}.json"), False)
 
 
 def ingest(spark: SparkSession, source: str, schema, target: MergedTable, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
