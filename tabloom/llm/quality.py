@@ -108,7 +108,12 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc
 
 
 def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """The rows of docs that pass, with their own columns only."""
+    """The rows of docs that pass, with their own columns only.
+
+    Each row is judged by its own text: null, empty and wordless texts have too few words
+    and go; null ids and repeated rows are rows like others; an empty table gives no rows;
+    columns of any name stay as they are.
+    """
     inner = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"))
     passed = " AND ".join([f"n_words >= {MIN_WORDS}", f"100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words", *(r.sql() for r in rules)])
     return measured(inner, "__text").filter(passed).select("__row.*")

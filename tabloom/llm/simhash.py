@@ -174,13 +174,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stand for their class: those with its smallest id, one row of
-    each id; all rows without an id stay, as nothing tells which of them to drop."""
-    classes = near_duplicates(docs, shingle, radius, id_col, text_col)
-    stay = classes.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__stays")).distinct()
-    return docs.dropDuplicates([id_col]).join(stay, F.col(id_col) == F.col("__stays"), "left_semi").union(docs.filter(F.col(id_col).isNull()))
-
-
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

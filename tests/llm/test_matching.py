@@ -55,9 +55,7 @@ def test_simhash_classes(spark):
     roots = union_find(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if (fp[ids[i]] ^ fp[ids[j]]).bit_count() <= 4])
     want = {d: ids[r] for d, r in zip(ids, roots)}
     assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == Counter((d, f"{fp[d]:016x}", want[d]) for d, _, _ in rows)
-    kept = simhash.one_of_each(edge(spark, rows + [(None, "no id", "z")] * 2))
-    assert kept.columns == edge(spark).columns and Counter(r.doc_id for r in kept.collect()) == Counter({**{r: 1 for r in set(want.values())}, None: 2})
-    assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
+    assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
 @pytest.mark.parametrize("same", [True, False])

@@ -84,3 +84,38 @@ def test_no_notice_hides_another(spark):
     rows += [(100 + i, text["cc-by-sa"] + " free and unencumbered", "hot") for i in range(40)]
     got = {r.doc_id: r.labels.split(",") for r in licenses.scan(edge(spark, rows)).collect()}
     assert all(set(mix) <= set(got[i]) for i, mix in enumerate(mixes))
+
+
+def test_labels_and_scores_against_brute_force(spark):
+    """Every start of every template in every text, by the definition."""
+    import math
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(160):
+        parts = []
+        for _ in range(rng.choice([0, 1, 1, 2, 5])):
+            w = rng.choice(licenses.TEMPLATES).words
+            a, b = (0, len(w)) if rng.random() < 0.4 else sorted(rng.sample(range(len(w) + 1), 2))
+            parts += [x if rng.random() > 0.1 else rng.choice(["the", "gnu", "zzz", "free"]) for x in w[a:b]]
+            parts += rng.choices(["license", "the", "a", "any", "other"], k=rng.choice([0, 0, 3]))
+        rows.append((i, rng.choice([" ", "\n", ", "]).join(parts), "s"))
+    rows.append((900, None, "s"))
+    words = {d: SPLIT.findall((t or "").lower()) for d, t, _ in rows}
+    vocabulary = sorted({w for t in licenses.TEMPLATES for w in t.words})
+    idf = {w: math.log((len(rows) + 1) / (sum(w in x for x in words.values()) + 1)) for w in vocabulary}
+    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (-idf[w], w)))}
+    want = {}
+    for d, text, _ in rows:
+        w, found, best = words[d], set(filter(None, base(text)[4].split(","))), 0.0
+        for t in licenses.TEMPLATES:
+            rare = sorted(enumerate(t.words), key=lambda x: (rank[x[1]], x[0]))[: licenses.RARE_WORDS]
+            at = lambda o, i: w[o + i] if 0 <= o + i < len(w) else None  # noqa: B023, E731
+            for o in range(-len(t.words), len(w)):
+                share = sum(at(o, i) == x for i, x in rare) / len(rare)
+                if share >= licenses.SHARE and all(at(o, i) == x for i, x in t.key_words()):
+                    found.add(t.label)
+                    best = max(best, share)
+        want[d] = (",".join(sorted(found)), 1.0 if base(text)[1] else best)
+    assert {r.doc_id: (r.labels, r.score) for r in licenses.scan(edge(spark, rows)).collect()} == want and len({x for x, _ in want.values()}) > 12
