@@ -8,7 +8,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from tabloom.operators import merge, rollups, search
+from tabloom.operators import layout, merge, rollups, search
 from tabloom.plans.service import Service, jsonable
 from tabloom.session import get_session
 from tabloom.sources import readers
@@ -24,6 +24,14 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("table")
         for m in more:
             c.add_argument(m, type=int if m == "-n" else str, default=10 if m == "-n" else None)
+    c = sub.add_parser("dedupe")
+    c.add_argument("table")
+    c.add_argument("--key", required=True)
+    c.add_argument("--version", required=True)
+    c.add_argument("--apply", action="store_true")
+    c = sub.add_parser("download")
+    c.add_argument("table")
+    c.add_argument("target")
     c = sub.add_parser("sql")
     c.add_argument("statement")
     c.add_argument("--max-rows", type=int, default=25)
@@ -40,6 +48,10 @@ def run(argv: list[str], spark=None) -> object:
         names = sorted(n[: -len(".parquet")] for n in (f.getPath().getName() for f in fs.listStatus(base)) if n.endswith(".parquet"))
         service = Service(spark, lambda s: readers.register(s, {n: [f"{a.base}/{n}.parquet"] for n in names}))
         return service.list_sources() if a.command == "list" else service.describe_table(a.table) if a.command == "describe" else service.query_sql(a.statement, a.max_rows)
+    if a.command == "dedupe":
+        return layout.dedupe_table(spark, f"{a.base}/{a.table}.parquet", a.key, a.version, apply=a.apply)
+    if a.command == "download":
+        return readers.copy_if_there(spark, f"{a.base}/{a.table}.parquet", a.target)
     df = readers.parquet(spark, f"{a.base}/{a.table}.parquet")
     if a.command == "stats":
         top = rollups.top(df.groupBy(a.group).count(), 5, F.desc("count"), F.asc_nulls_last(a.group)).collect() if a.group else []

@@ -530,3 +530,54 @@ def joined_names(spark, t):
 def normalised_tokens(spark, t):
     w = F.array_sort(F.array_distinct(tx.tokens(F.concat_ws(" ", "p_name", "p_type", "p_brand"))))
     return t("part").select("p_partkey", F.size(w).alias("n"), F.array_join(w, " ").alias("words"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderdate FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
+def first_wins(spark, t):
+    o = t("orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return merge.first_wins(o, ["o_custkey"], F.struct("o_orderdate", "o_orderkey"))
+
+
+@query("SELECT page_id, nullif(lower(regexp_extract(rtrim(regexp_replace(url, '[?#].*$', ''), '/'), '[^/]*$')), '') AS slug, lower(CAST(page_id AS VARCHAR) || '-' || url) AS composed, nullif(regexp_extract(url, '^https?://([^/]+)', 1), '') AS host FROM pages")
+def url_parts(spark, t):
+    return t("pages").select("page_id", nested.last_segment("url").alias("slug"), nested.composed("page_id", "url").alias("composed"), nested.extracted("url", "^https?://([^/]+)").alias("host"))
+
+
+@query("SELECT doc_id, text IS NULL OR trim(text, ' ') = '' AS blank, CASE WHEN trim(lang, ' ') <> '' THEN lang END AS lang, CASE WHEN n_chars > 500 THEN 'True' WHEN n_chars <= 500 THEN 'False' END AS long FROM documents")
+def scalars_as_text(spark, t):
+    return t("documents").select("doc_id", tx.blank_to_null("text").isNull().alias("blank"), tx.blank_to_null("lang").alias("lang"), tx.as_text(F.col("n_chars") > 500, "boolean").alias("long"))
+
+
+@query("""SELECT n_nationkey, '["' || n_name || '",null,"' || r_name || '"]' AS names, n_name || ',' || r_name AS joined FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def arrays_as_json(spark, t):
+    j = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    names = F.array("n_name", F.lit(None).cast("string"), "r_name")
+    return j.select("n_nationkey", nested.to_json_or(names).alias("names"), nested.joined_or_null(names).alias("joined"))
+
+
+@query("""SELECT doc_id, strftime(d, '%a, %d %b %Y 10:00:00 +0000') AS rfc, CAST(d AS VARCHAR) AS day, CAST(d AS VARCHAR) AS us FROM (SELECT doc_id, DATE '2020-01-01' + CAST(doc_id % 1000 AS INTEGER) AS d FROM documents)""")
+def feed_dates(spark, t):
+    d = t("documents").select("doc_id", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1000).cast("int")).alias("d"))
+    d = d.withColumn("rfc", F.date_format("d", "EEE, dd MMM yyyy '10:00:00 +0000'"))
+    return d.select("doc_id", "rfc", dates.rfc822_day("rfc").alias("day"), dates.us_days(F.array(F.date_format("d", "MM/dd/yyyy")))[0].alias("us"))
+
+
+@query("""SELECT o_orderkey AS k, o_orderstatus AS s, l_linenumber AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1 WHERE l_linenumber IS NOT NULL OR o_orderstatus = 'F'""")
+def rows_with_links(spark, t):
+    first = t("lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"))
+    return t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s")).join(first, "k", "left").filter("n IS NOT NULL OR s = 'F'")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT l_orderkey, 1, 0.0 FROM lineitem WHERE l_linenumber = 2) QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity DESC) = 1")
+def bucketed_dedup(spark, t):
+    li = t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    both = li.filter("l_linenumber = 1").union(li.filter("l_linenumber = 2").select("l_orderkey", F.lit(1), F.lit(0.0)))
+    return merge.bucketed_latest(both.withColumn("k", F.struct("l_orderkey", "l_linenumber")), "k", "l_quantity", 50_000).drop("k")
+
+
+@query("SELECT event_type, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY day) AS BIGINT) AS upto, CAST(day AS VARCHAR) AS day FROM (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL)")
+def running_totals(spark, t):
+    from pyspark.sql.window import Window
+
+    daily = t("events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    return daily.select("event_type", F.sum("n").over(Window.partitionBy("event_type").orderBy("day")).alias("upto"), F.col("day").cast("string").alias("day"))

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.operators.layout import exists
+from tabloom.operators.layout import exists, swap
 from tabloom.operators.state import unseen
 
 from .records import RecordType
@@ -105,10 +105,11 @@ def register(spark: SparkSession, tables: dict[str, list[str]], dedupe: dict[str
 
 
 def copy_if_there(spark: SparkSession, source: str, target: str) -> bool:
-    """Copy a table; False if there is none, an error if it can't be read."""
+    """Copy a table; False if there is none, an error if it can't be read. The copy takes the
+    target's place when it is whole."""
     if not exists(spark, source):
         return False
-    spark.read.parquet(source).write.mode("overwrite").parquet(target)
+    swap(spark.read.parquet(source), target)
     return True
 
 
