@@ -7,7 +7,6 @@ import json
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from tabloom.functions import text as tx
 from tabloom.operators import governance, layout, nearmatch, rollups
@@ -212,4 +211,3 @@ def test_intermediates_are_discarded(spark):
     import os
 
     assert not os.path.exists(path.removeprefix("file://"))
-    assert F is not None
