@@ -9,10 +9,10 @@ Jaccard similarity of the texts' shingle sets.
 
 Pairs within a large group are never all made. A pair of tiles returns a minimum
 spanning forest by differing bits, which has the closest links there are. Where one of
-these isn't verified, its component is disputed: there each fingerprint's further
-neighbours in other classes are tried, the nearest first and eight times as many each
-round, until none is left. So two texts whose similarity is 0.8 or more and whose
-fingerprints are within RADIUS always end in one class.
+these isn't verified, its component is disputed: its texts' shingle sets are compared
+exactly, in tiles too, and a pair of tiles returns a forest of what links classes that
+were apart. So two texts whose similarity is 0.8 or more and whose fingerprints are
+within RADIUS always end in one class.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ SIMILARITY = 0.8
 #: Of 256 bits. Texts at a similarity of 0.8 differ in 39 on average, with a deviation of 5.7: one pair in a thousand of
 #: those exactly at 0.8 lies beyond.
 RADIUS = 56
-#: Neighbours that a round of disputes tries, at first.
-FIRST = 8
+#: Shingles of the texts in a tile of a disputed component: 16 MB.
+TILE_SHINGLES = 2_000_000
 #: Fingerprints in a tile. What pairs of tiles move is inverse to it: at 16,384 (0.7 MB) a quarter of what it is at 4,096.
 TILE, BLOCK = 16384, 512
 NAMES = [f"w{i}" for i in range(WORDS)]
@@ -194,28 +194,36 @@ def compare(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray] |
     return every[e[0]], every[e[1]]
 
 
-def further(x: tuple, y: tuple | None, radius: int, low: int, high: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Of each fingerprint's neighbours within the radius (in x, or in the other of x and y),
-    those of places low to high, the nearest first, that are of another class; and whether
-    there are such beyond. x and y have ids, fingerprints and classes, in order of ids."""
-    us, vs, more = [], [], False
-    for p, q in ((x, x),) if y is None else ((x, y), (y, x)):
-        pt, qt = np.ascontiguousarray(p[1].T), np.ascontiguousarray(q[1].T)
-        for at in range(0, len(p[0]), block):
-            far = _apart(pt[:, at : at + block], qt)
-            near = far <= radius
-            for r in np.flatnonzero((near & (p[2][at : at + block, None] != q[2][None])).any(axis=1)):
-                c = np.flatnonzero(near[r])
-                if y is None:
-                    c = c[c != at + r]
-                c = c[np.argsort(far[r, c], kind="stable")]
-                other = q[2][c] != p[2][at + r]
-                more = more or bool(other[high:].any())
-                c = c[low:high][other[low:high]]
-                us.append(np.full(len(c), p[0][at + r]))
-                vs.append(q[0][c])
-    u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (us, vs))
-    return np.maximum(u, v), np.minimum(u, v), more
+def alike(x: tuple, y: tuple | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids, within x or between x and y, of texts whose sets are alike: a forest that
+    joins the classes which such pairs join. x and y are ids, classes, and the sets, one
+    after the other, with where each begins."""
+    xi, xc, xs, xat = x
+    yi, yc, ys, yat = x if y is None else y
+    names, label = np.unique(np.concatenate([xc, yc]), return_inverse=True)
+    at = np.arange(len(names))  # the class that each class has become
+    if len(names) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lx, ly = label[: len(xi)], label[len(xi) :]
+    owner = np.repeat(np.arange(len(yi)), np.diff(yat))
+    order = np.argsort(ys, kind="stable")
+    found, owner = ys[order], owner[order]  # an index of shingles to texts of y
+    size = np.diff(yat)
+    us, vs = [], []
+    for r in range(len(xi)):
+        own = xs[xat[r] : xat[r + 1]]
+        low, high = np.searchsorted(found, own, "left"), np.searchsorted(found, own, "right")
+        n = high - low
+        places = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        shared = np.bincount(owner[places], minlength=len(yi))
+        near = np.flatnonzero((shared > 0) & (shared >= similarity * (len(own) + size - shared) - 1e-9))
+        for c in np.unique(at[ly[near]], return_index=True)[1]:
+            a, b = at[lx[r]], at[ly[near[c]]]
+            if a != b:
+                at[at == max(a, b)] = min(a, b)
+                us.append(xi[r])
+                vs.append(yi[near[c]])
+    return np.array(us, np.int64), np.array(vs, np.int64)
 
 
 def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -240,39 +248,41 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
         for b in batches:
             for k in range(b.num_rows):
                 same = b.column(0)[k].as_py() == b.column(1)[k].as_py()
-                u, v = compare(_held(b.column(2)[k])[:2], None if same else _held(b.column(3)[k])[:2], radius)
+                u, v = compare(_held(b.column(2)[k]), None if same else _held(b.column(3)[k]), radius)
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return left.join(right, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
 
 
-def _held(cell) -> tuple[np.ndarray, ...]:
-    """Ids, fingerprints and what else a tile's rows have, as arrays."""
+def _held(cell) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and fingerprints of a tile's rows, as arrays."""
     v = cell.values
-    fp = np.stack([v.field(i + 1).to_numpy().view(np.uint64) for i in range(WORDS)], axis=1)
-    return v.field(0).to_numpy(), fp, *(v.field(i).to_numpy() for i in range(WORDS + 1, v.type.num_fields))
+    return v.field(0).to_numpy(), np.stack([v.field(i + 1).to_numpy().view(np.uint64) for i in range(WORDS)], axis=1)
 
 
-def disputes(nodes: DataFrame, radius: int, low: int, high: int, tile: int = TILE) -> DataFrame:
-    """Further pairs (u, v) within the groups of nodes (id, words, root of the class, grp), and
-    a row of nulls where more are left."""
+def disputes(nodes: DataFrame, similarity: float, tile: int = TILE_SHINGLES) -> DataFrame:
+    """Links (u, v) between classes within the groups of nodes (id, root of the class, s, grp)."""
     bounded_batches(nodes.sparkSession)
-    size = nodes.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(float(tile))).alias("parts"))
-    rows = nodes.join(size, "grp").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
-    tiles = materialise(rows.groupBy("grp", "part").agg(F.first("parts").alias("parts"), F.sort_array(F.collect_list(F.struct("id", *NAMES, "root"))).alias("rows")), "disputed")
-    left = tiles.select("grp", F.col("part").alias("a"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("b"), F.col("rows").alias("x"))
+    size = nodes.groupBy("grp").agg(F.ceil(F.sum(F.size("s").cast("long")) / F.lit(float(tile))).alias("parts"))
+    rows = nodes.join(size, "grp").withColumn("part", F.pmod(F.xxhash64("id"), F.greatest("parts", F.lit(1))))
+    tiles = materialise(rows.groupBy("grp", "part").agg(F.first("parts").alias("parts"), F.collect_list(F.struct("id", "root", "s")).alias("rows")), "disputed")
+    left = tiles.select("grp", F.col("part").alias("a"), F.explode(F.sequence("part", F.greatest(F.col("parts") - 1, "part"))).alias("b"), F.col("rows").alias("x"))
     pairs = left.join(tiles.select("grp", F.col("part").alias("b"), F.col("rows").alias("y")), ["grp", "b"]).select("a", "b", "x", "y")
 
+    def held(cell) -> tuple[np.ndarray, ...]:
+        v = cell.values
+        sets = v.field(2)
+        at = sets.offsets.to_numpy()
+        return v.field(0).to_numpy(), v.field(1).to_numpy(), sets.values.to_numpy()[at[0] : at[-1]], at - at[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
                 same = b.column(0)[k].as_py() == b.column(1)[k].as_py()
-                u, v, more = further(_held(b.column(2)[k]), None if same else _held(b.column(3)[k]), radius, low, high)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-                if more:
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 2, ["u", "v"])
+                u, v = alike(held(b.column(2)[k]), None if same else held(b.column(3)[k]), similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return pairs.mapInArrow(run, "u long, v long").distinct()
+    return pairs.mapInArrow(run, "u long, v long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -301,19 +311,9 @@ def classes(docs: DataFrame, nodes: DataFrame, shingle: int, radius: int, simila
         return roots
     groups = components(found).select(F.col("node").alias("id"), F.col("root").alias("grp"))
     bad = tried.filter("NOT ok").join(groups, F.col("u") == F.col("id")).select("grp").distinct()
-    disputed = materialise(nodes.join(groups.join(bad, "grp"), "id").select("id", *NAMES, "grp"), "disputed_nodes")
-    low, high, more = 0, FIRST, True
-    while more:
-        now = disputed.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        pairs = materialise(disputes(now, radius, low, high), "further")
-        more = not pairs.filter("u IS NULL").isEmpty()
-        new = materialise(verified(pairs.filter("u IS NOT NULL").join(tried, ["u", "v"], "left_anti"), sets, similarity), "verified")
-        tried = tried.union(new)
-        if not new.filter("ok").isEmpty():
-            good = good.union(new.filter("ok").select("u", "v"))
-            roots = materialise(components(good), "roots")
-        low, high = high, 8 * high
-    return roots
+    disputed = groups.join(bad, "grp").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "grp", F.coalesce("root", "id").alias("root"))
+    more = disputes(disputed.join(sets, "id"), similarity)
+    return components(good.union(more))
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -104,10 +104,9 @@ def test_wide_classes(spark, monkeypatch):
     want = slow_classes(rows)
     assert want[None] == 2 and want[4] == 1 and 5 not in want
     assert sum(want.values()) > sum(slow_classes(rows, 256).values()) - 3
-    for tile, first in ((widehash.TILE, widehash.FIRST), (16, 1)):  # one tile and few rounds, and many
+    for tile, shingles in ((widehash.TILE, widehash.TILE_SHINGLES), (16, 900)):  # one tile, and many
         monkeypatch.setattr(widehash.links, "__defaults__", (widehash.RADIUS, tile))
-        monkeypatch.setattr(widehash.disputes, "__defaults__", (tile,))
-        monkeypatch.setattr(widehash, "FIRST", first)
+        monkeypatch.setattr(widehash.disputes, "__defaults__", (shingles,))
         kept = widehash.one_of_each(edge(spark, rows))
         assert kept.columns == edge(spark).columns and Counter(r.doc_id for r in kept.collect()) == want
     assert widehash.one_of_each(empty(spark)).count() == 0
@@ -121,6 +120,21 @@ def test_repeated_ids_keep_their_own_texts(spark):
         assert Counter(map(tuple, widehash.one_of_each(docs).collect())) == {(low, b): 1, (high, a): 1}
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_disputed_texts_are_compared_exactly(seed):
+    rng = random.Random(seed)
+    base = [rng.sample(range(1000), 40) for _ in range(3)]
+    sets = [sorted({x if rng.random() > 0.07 else rng.randrange(1000, 2000) for x in rng.choice(base)}) for _ in range(60)] + [[]]
+    root = [rng.randrange(40) for _ in sets]
+    cut = len(sets) if seed % 2 else 25
+    side = lambda a, b: (np.arange(a, b), np.array(root[a:b]), np.array([x for s in sets[a:b] for x in s], np.int64), np.cumsum([0] + [len(s) for s in sets[a:b]]))
+    u, v = widehash.alike(side(0, cut), None if seed % 2 else side(cut, len(sets)), 0.8)
+    like = lambda i, j: len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]}) and (seed % 2 or (i < cut) != (j < cut))
+    same = [(i, j) for i in range(len(sets)) for j in range(i) if root[i] == root[j]]
+    want = union_find(len(sets), same + [(i, j) for i in range(60) for j in range(i) if like(i, j)])
+    assert union_find(len(sets), same + list(zip(u.tolist(), v.tolist()))) == want and all(like(int(i), int(j)) for i, j in zip(u, v)) and len(u) < 40
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_spanning_forests_are_minimal(seed):
     rng = np.random.default_rng(seed)
