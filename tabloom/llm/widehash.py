@@ -264,7 +264,7 @@ def disputes(nodes: DataFrame, similarity: float, tile: int = TILE_SHINGLES) ->
     """Links (u, v) between classes within the groups of nodes (id, root of the class, s, grp)."""
     bounded_batches(nodes.sparkSession)
     size = nodes.groupBy("grp").agg(F.ceil(F.sum(F.size("s").cast("long")) / F.lit(float(tile))).alias("parts"))
-    rows = nodes.join(size, "grp").withColumn("part", F.pmod(F.xxhash64("id"), F.greatest("parts", F.lit(1))))
+    rows = nodes.join(size, "grp").withColumn("part", F.pmod(F.xxhash64("id"), F.greatest("parts", F.lit(1)))).repartition("grp", "part")  # not by group alone
     tiles = materialise(rows.groupBy("grp", "part").agg(F.first("parts").alias("parts"), F.collect_list(F.struct("id", "root", "s")).alias("rows")), "disputed")
     left = tiles.select("grp", F.col("part").alias("a"), F.explode(F.sequence("part", F.greatest(F.col("parts") - 1, "part"))).alias("b"), F.col("rows").alias("x"))
     pairs = left.join(tiles.select("grp", F.col("part").alias("b"), F.col("rows").alias("y")), ["grp", "b"]).select("a", "b", "x", "y")
