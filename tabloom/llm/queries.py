@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .chat import op8_chat
+from .chunkbpe import op13_bpe
+from .codes import op11_codes, op11_sql
 from .decontaminate import op5_decontamination
 from .langid import op4_langid
 from .licenses import op9_licenses
@@ -11,6 +13,7 @@ from .quality import op3_quality, op3_sql
 from .sharding import op1_sharding
 from .simhash import op6_simhash
 from .toxicity import op2_toxicity
+from .trie import op12_trie
 from .warc import op7_warc
 
 
@@ -26,8 +29,11 @@ def queries() -> dict:
         "op8_chat": op8_chat,
         "op9_licenses": op9_licenses,
         "op10_packing": op10_packing,
+        "op11_codes": op11_codes,
+        "op12_trie": op12_trie,
+        "op13_bpe": op13_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality": op3_sql()}
+    return {"op3_quality": op3_sql(), "op11_codes": op11_sql()}
