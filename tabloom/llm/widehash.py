@@ -2,7 +2,9 @@
 
 At a similarity of 0.8, fingerprints of 64 bits differ in 10 bits on average, as far
 apart as unrelated texts come in a large corpus; with 256 bits copies at 0.8 differ in
-about 39 and unrelated texts in 128. The comparison is the tiled one: tiles by
+about 39 and unrelated texts in 128. Fingerprints are of distinct shingles, as the
+similarity is one of sets, and texts with one set of shingles are one node: no others are
+taken as alike without being compared. The comparison is the tiled one: tiles by
 population count, exact exclusive-or and bit counts with numpy. A fingerprint is an
 estimate, so what is within RADIUS is only a candidate, and links are verified by the
 Jaccard similarity of the texts' shingle sets.
@@ -54,18 +56,32 @@ def _spans(text: str | None, shingle: int) -> tuple[bytes, list[tuple[int, int]]
     return b" ".join(w), list(zip((stop - size)[: len(w) - k + 1].tolist(), stop[k - 1 :].tolist()))
 
 
+def _distinct(data: bytes, spans: list[tuple[int, int]]) -> Iterator[list[bytes]]:
+    """The distinct shingles of a text, in runs of bounded length."""
+    import xxhash
+
+    step = 32768
+    if len(spans) > step:  # by their hashes, so that a very long text's shingles are never all held
+        h = np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in spans), np.uint64, len(spans))
+        spans = [spans[i] for i in np.unique(h, return_index=True)[1].tolist()]
+        yield from ([data[a:b] for a, b in spans[at : at + step]] for at in range(0, len(spans), step))
+    elif spans:
+        yield list(dict.fromkeys([data[a:b] for a, b in spans]))
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Four 64-bit words, each by hashes of the text's shingles with a seed of its own."""
+    """Four 64-bit words by hashes of the text's distinct shingles, each with a seed of its
+    own, and two that tell sets of shingles apart (sums of 64-bit hashes)."""
     import xxhash
 
-    data, spans = _spans(text, shingle)
     digest = xxhash.xxh3_128_digest
-    total, step = np.zeros(64 * WORDS, np.int64), 32768
-    for at in range(0, len(spans), step):
-        parts = [data[a:b] for a, b in spans[at : at + step]]
-        raw = b"".join([digest(p, 42) + digest(p, 43) for p in parts])
-        total += np.unpackbits(np.frombuffer(raw, np.uint8).reshape(len(parts), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * total > len(spans), bitorder="little").view(np.uint64)
+    total, key, n = np.zeros(64 * WORDS, np.int64), np.zeros(2, np.uint64), 0
+    for parts in _distinct(*_spans(text, shingle)):
+        raw = np.frombuffer(b"".join([digest(p, 42) + digest(p, 43) for p in parts]), np.uint8).reshape(len(parts), -1)
+        total += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        key += raw.view(np.uint64)[:, :2].sum(axis=0, dtype=np.uint64)
+        n += len(parts)
+    return np.concatenate([np.packbits(2 * total > n, bitorder="little").view(np.uint64), key])
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -77,6 +93,8 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 
 KEY = ["none", "id", "k1", "k2"]
+#: What tells sets of shingles apart: texts of one set are alike at 1, and of equal fingerprints only those.
+SET = ["s1", "s2"]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -99,12 +117,14 @@ def _by_text(rows: DataFrame, columns: list[str], make, schema: str, fields) ->
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The key of every row and the words of its fingerprint, as signed longs."""
+    """The key of every row, the words of its fingerprint and of its set's key, as signed longs."""
+    names = [*NAMES, *SET]
+
     def columns(fps):
-        fp = np.array(fps, np.uint64).reshape(-1, WORDS).view(np.int64)
-        return [pa.array(np.ascontiguousarray(fp[:, i])) for i in range(WORDS)]
+        fp = np.array(fps, np.uint64).reshape(-1, len(names)).view(np.int64)
+        return [pa.array(np.ascontiguousarray(fp[:, i])) for i in range(len(names))]
 
-    return _by_text(_keyed(docs, id_col, text_col), KEY, lambda t: fingerprint(t, shingle), ", ".join(f"{n} long" for n in NAMES), columns)
+    return _by_text(_keyed(docs, id_col, text_col), KEY, lambda t: fingerprint(t, shingle), ", ".join(f"{n} long" for n in names), columns)
 
 
 def tiling(count: dict[int, int], radius: int, tile: int) -> tuple[list[int], list[int], list[int], list[int], int]:
@@ -238,7 +258,7 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     if not n:
         return spark.createDataFrame([], "u long, v long")
     of = lambda xs: F.get(F.array(*map(F.lit, xs)), F.col("bits"))
-    rows = rows.select("id", *NAMES, (of(first) + F.pmod(F.xxhash64(*NAMES), of(parts)).cast("int")).alias("tile"), of(low).alias("low"), of(high).alias("high"))
+    rows = rows.select("id", *NAMES, (of(first) + F.pmod(F.xxhash64("id", *NAMES), of(parts)).cast("int")).alias("tile"), of(low).alias("low"), of(high).alias("high"))
     tiles = materialise(rows.groupBy("tile").agg(F.first("low").alias("low"), F.first("high").alias("high"), F.collect_list(F.struct("id", *NAMES)).alias("rows")), "tiles")
     spread = min(MOST_PARTITIONS, n * (n + 1) // 2)
     left = tiles.select(F.col("tile").alias("a"), F.explode(F.sequence("tile", "high")).alias("b"), F.col("rows").alias("x")).repartition(spread, "a", "b")
@@ -328,22 +348,23 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, i
     texts without words are alike; a text of fewer words than a shingle is one shingle. An
     empty table gives no rows; the columns are those of docs, whatever their names.
     """
-    fps = fingerprints(docs, shingle, id_col, text_col)
-    rows = fps.groupBy(*NAMES).agg(F.min(F.struct(*KEY)).alias("key"))
+    columns = docs.columns
+    i, t = (f"c{columns.index(c)}" for c in (id_col, text_col))
+    docs = docs.toDF(*(f"c{k}" for k in range(len(columns))))  # names that can't clash with those used here
+    fps = fingerprints(docs, shingle, i, t)
+    rows = fps.groupBy(*NAMES, *SET).agg(F.min(F.struct(*KEY)).alias("key")).drop(*SET)
     nodes = materialise(rows.withColumn("id", F.monotonically_increasing_id()), "fingerprints")  # written once, so ids stay
-    roots = classes(docs, nodes, shingle, radius, similarity, id_col, text_col)
+    roots = classes(docs, nodes, shingle, radius, similarity, i, t)
     of = nodes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("key").alias("key"))
     stay = materialise(of.select(*(F.col(f"key.{c}").alias(f"__{c}") for c in KEY)), "stay")
-    text = docs[text_col].cast("string")
-    here = (docs[id_col].eqNullSafe(F.col("__id"))) & (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(F.lit("k"), text) == F.col("__k2"))
+    text = F.col(t).cast("string")
+    here = F.col(i).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(F.lit("k"), text) == F.col("__k2"))
     kept = docs.join(stay, here, "left_semi")
     # rows of equal id and text are rare: only these are dealt by their key, to keep one of each
-    keyed = _keyed(docs, id_col, text_col).drop("text")
+    keyed = _keyed(docs, i, t).drop("text")
     again = materialise(keyed.groupBy(*KEY).agg(F.count("*").alias("n")).filter("n > 1").select(*(F.col(c).alias(f"__{c}") for c in KEY)), "repeated")
     if again.isEmpty():
-        return kept
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    many = kept.join(again, here, "left_semi").toDF(*names)
-    i, t = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
-    one = many.withColumn("k1", F.xxhash64(F.col(t).cast("string"))).withColumn("k2", F.xxhash64(F.lit("k"), F.col(t).cast("string"))).dropDuplicates([i, "k1", "k2"]).drop("k1", "k2")
-    return kept.join(again, here, "left_anti").union(one.toDF(*docs.columns))
+        return kept.toDF(*columns)
+    many = kept.join(again, here, "left_semi")
+    one = many.withColumn("k1", F.xxhash64(text)).withColumn("k2", F.xxhash64(F.lit("k"), text)).dropDuplicates([i, "k1", "k2"]).drop("k1", "k2")
+    return kept.join(again, here, "left_anti").union(one).toDF(*columns)
