@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, table
+from .common import bounded_batches, materialise, table
 
 #: The bound of the training sample: so many labelled rows of each class.
 SAMPLE_ROWS = 2500
@@ -111,12 +111,14 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n_grades: int,
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most sample_rows toxic and as many other labelled texts, by hash of their ids.
 
-    A label above 0 is toxic; labels that are null, or of ids without a document, don't
-    count; an id with several labels counts with the largest, an id with several texts
+    A label above 0 is toxic; labels that are null, or of ids without a document with a text,
+    don't count; an id with several labels counts with the largest, an id with several texts
     with the least of them. Without both classes the model grades everything 0.
     """
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).alias("toxic"))
+    there = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"))
+    known = materialise(known.join(there, "id", "left_semi"), "labelled")  # before anything is counted or sampled
     total = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     never = Model((), (), np.zeros(2), np.array([30.0, 31.0, 32.0]))
     if len(total) < 2:
