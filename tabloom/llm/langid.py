@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,14 +30,19 @@ BUCKETS = 1 << 17
 FEW = 16
 #: A run of more letters is taken as several words, one after the other.
 WIDTH = 24
-#: Runs of letters, and of numerals that aren't digits.
+#: Runs of letters, and of numerals that aren't digits; and the marks, such as vowel signs, that belong to the letter before.
 RUNS = re.compile(r"[^\W\d_]+")
+MARKED, MARK = regex.compile(r"[\p{L}\p{N}--\p{Nd}][\p{L}\p{M}\p{N}--\p{Nd}]*", regex.V1), regex.compile(r"\p{M}")
 HELD_OUT = 2
 
 
 def letter_runs(text: str) -> list[str]:
     """The words of a text: runs of letters (numerals such as a half sign are none), in
     pieces of at most WIDTH."""
+    if not text.isascii() and MARK.search(text):
+        runs = ("".join(c if c.isalpha() or MARK.match(c) else " " for c in w).split() for w in MARKED.findall(text))
+        runs = (r for rs in runs for r in rs if not MARK.match(r[0]))
+        return [r[k : k + WIDTH] for r in runs for k in range(0, len(r), WIDTH)]
     found = RUNS.findall(text)
     if all(map(str.isalpha, found)) and max(map(len, found), default=0) <= WIDTH:
         return found
@@ -238,11 +244,11 @@ def _backward(q: np.ndarray, a: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Crf:
     """Train on at most ROWS_PER_LANGUAGE rows of each language (fewer where that makes more
     than SAMPLE_ROWS in all), by hash, among those that aren't held out nor without an id.
-    Every language that has such a row is learned; ties in the hash take any of the rows."""
+    Texts without a letter teach nothing and don't count. Every other language with a row is learned; ties in the hash take any of the rows."""
     spark = docs.sparkSession
     bounded_batches(spark)
     usable = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    usable = usable.filter(~held_out("id") & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    usable = usable.filter(~held_out("id") & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     count = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}  # a row for each language
     languages = tuple(sorted(count))
     if not languages:
@@ -262,6 +268,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     place = F.row_number().over(Window.partitionBy("lang").orderBy("k"))
     rows = some.withColumn("place", place).filter(F.col("place") <= each).select("lang", "text").mapInArrow(cut, "lang string, words array<string>").collect()
     rows.sort(key=lambda r: (r.lang, r.words))
+    rows = [r for r in rows if r.words]
+    languages = tuple(sorted({r.lang for r in rows}))
+    if not languages:
+        return Crf((), np.zeros((BUCKETS + 1, 0)), np.zeros(0), np.zeros((0, 0)))
     number = {x: i for i, x in enumerate(languages)}
     return train([r.words for r in rows], [number[r.lang] for r in rows], languages)
 
