@@ -11,11 +11,12 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared_dir, table
+from .common import materialise, shared_dir, table
 
 N_SLOTS = 4096
 N_SHARDS = 24
@@ -111,13 +112,34 @@ class SlotMap:
 
 
 def slotted(docs: DataFrame, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each record's id, size, checksum and virtual slot; texts go no further."""
+    """Each record's id, size, checksum and virtual slot, written once; texts go no further.
+
+    The slot is a hash of these and, for records that are equal in them, of their number
+    among their likes, so that many equal records are dealt to all slots. They are numbered
+    within parts of the input, whose counts are then added up.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(
-        F.col(id_col),
+    key = ["size", "text_crc32"]
+    rows = docs.select(
+        F.col(id_col).alias("id"),
         (F.octet_length(text).cast("long") + ROW_OVERHEAD).alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-    ).withColumn("virtual_slot", F.pmod(F.xxhash64(id_col, "text_crc32", "size"), F.lit(n_slots)).cast("int"))
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = materialise(rows, "records")
+    many = rows.groupBy("id", *key).agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias("many_id"), *(F.col(c).alias(f"many_{c}") for c in key))
+    like = F.col("id").eqNullSafe(F.col("many_id")) & (F.col("size") == F.col("many_size")) & (F.col("text_crc32") == F.col("many_text_crc32"))
+    many = materialise(many, "repeated")
+    slot = lambda number: F.pmod(F.xxhash64("id", "text_crc32", "size", number), F.lit(n_slots)).cast("int").alias("virtual_slot")
+    single = rows.join(many, like, "left_anti").select("id", *key, slot(F.lit(0).cast("long")))
+    part = F.shiftright("row", 33).alias("part")  # of the input, as rows were numbered
+    again = rows.join(many, like, "left_semi").select("id", *key, "row", part)
+    counts = again.groupBy("id", *key, "part").agg(F.count("*").alias("n"))
+    before = counts.select("id", *key, "part", (F.sum("n").over(Window.partitionBy("id", *key).orderBy("part")) - F.col("n")).alias("before"))
+    before = before.select(F.col("id").alias("b_id"), *(F.col(c).alias(f"b_{c}") for c in [*key, "part"]), "before")
+    numbered = again.withColumn("k", F.row_number().over(Window.partitionBy("id", *key, "part").orderBy("row")) - 1)
+    same = F.col("id").eqNullSafe(F.col("b_id")) & (F.col("size") == F.col("b_size")) & (F.col("text_crc32") == F.col("b_text_crc32")) & (F.col("part") == F.col("b_part"))
+    return materialise(single.union(numbered.join(before, same).select("id", *key, slot(F.col("before") + F.col("k")))).withColumnRenamed("id", id_col), "slots")
 
 
 def slot_loads(slots: DataFrame, n_slots: int = N_SLOTS) -> tuple[list[int], list[int]]:
@@ -138,8 +160,8 @@ def shard(docs: DataFrame, map_dir: str, n_shards: int = N_SHARDS, n_slots: int
     Returns the id column, size (UTF-8 bytes of the text plus 8), text_crc32, law
     ('bytes'), shard, slot (a row's place in its shard, gapless from 0), grown_shard
     (null under this law) and virtual_slot. A null text counts as empty; a null id is
-    a value like any other; repeated rows each get a place of their own; an empty
-    table gives no rows; other columns are ignored. Rows that tie take places by id
+    a value like any other; repeated rows each get a place of their own,
+    in any of the shards; an empty table gives no rows; other columns are ignored. Rows that tie take places by id
     and checksum.
     """
     spark = docs.sparkSession
@@ -147,8 +169,8 @@ def shard(docs: DataFrame, map_dir: str, n_shards: int = N_SHARDS, n_slots: int
     size, rows = slot_loads(slots, n_slots)
     try:
         last = SlotMap.load(spark, map_dir)
-    except Exception as e:  # no map yet
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:  # no map yet: no folder, or an empty one
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         last = SlotMap.initial(n_slots, n_shards)
         last.save(spark, map_dir)
