@@ -1,0 +1,120 @@
+"""Cases that once went wrong."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from tabloom.llm import langid, sharding, toxicity, widehash
+
+
+def prose(rnd, n):
+    return [("".join(rnd.choices("abcdefghijklmnop", k=6))) for _ in range(n)]
+
+
+def kept(spark, rows, schema="doc_id long, text string"):
+    return sorted(r.doc_id for r in widehash.one_of_each(spark.createDataFrame(rows, schema)).collect())
+
+
+def test_a_repeated_run_decides_nothing(spark):
+    rnd = random.Random(2)
+    a, b = prose(rnd, 1000), prose(rnd, 1000)
+    run = " " + "0 " * 300
+    every_eighth = lambda w: " ".join(x + " the" * (k % 8 == 0) for k, x in enumerate(w))
+    texts = [" ".join(a) + run, " ".join(b) + run, " ".join(a), every_eighth(a) + run, every_eighth(b) + run]
+    assert kept(spark, list(enumerate(texts))) == [0, 1, 3, 4]  # 2 is 0 without its run: alike at 0.995
+
+
+def test_equal_fingerprints_are_compared(spark, monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join(prose(rnd, 200)) for _ in range(4)]
+    rows = [*enumerate(texts), (10, texts[1]), (11, texts[2] + " and a little more"), (12, texts[2].upper())]
+    made = widehash.fingerprints
+    monkeypatch.setattr(widehash, "fingerprints", lambda *a: made(*a).selectExpr(*widehash.KEY, *(f"7L AS {n}" for n in widehash.NAMES), *widehash.SET))
+    assert kept(spark, rows) == [0, 1, 2, 3]
+
+
+def test_columns_may_have_any_name(spark):
+    rows = [(1, "a b c d e f g", 5, 6, "x", 1), (2, "a b c d e f g", 5, 6, "x", 1), (None, "h", 5, 6, "x", 1), (3, "q", 5, 6, "x", 1), (3, "q", 5, 6, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id int, __k1 int, root string, node int")
+    got = widehash.one_of_each(df)
+    assert got.columns == df.columns and sorted((r.doc_id or 0, r.text) for r in got.collect()) == [(0, "h"), (1, "a b c d e f g"), (3, "q")]
+
+
+def test_near_copies_are_found(spark):
+    """Recall of pairs at a similarity of 0.8 to 0.95, with and without repeats."""
+    rnd = random.Random(9)
+    rows, pairs = [], 60
+    for k in range(pairs):
+        w = prose(rnd, rnd.randint(150, 400))
+        if k % 2:
+            w += ["again", "and"] * rnd.randint(1, 200)
+        v, changes = list(w), max(1, int(0.018 * len(w)))
+        for i in rnd.sample(range(len(w)), changes):
+            v[i] = "changed" + str(i)
+        x, y = (set(zip(*(t[i:] for i in range(5)))) for t in (w, v))
+        if len(x & y) >= 0.8 * len(x | y):
+            rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    found = len(rows) - len(kept(spark, rows))
+    assert len(rows) >= 40 and found >= 0.95 * len(rows) / 2 and found <= len(rows) / 2
+
+
+def test_labels_without_a_document_dont_count(spark):
+    rnd = random.Random(1)
+    docs = [(i, " ".join(prose(rnd, 30)) + (" vile hateful scum" * 2 if i % 4 == 0 else " kind")) for i in range(400)]
+    labels = [(i, int(i % 4 == 0)) for i in range(400)]
+    docs_df = spark.createDataFrame([*docs, (900_001, None)], "doc_id long, text string")
+    orphans = spark.range(1_000_000, 1_100_000).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    few = toxicity.fit(docs_df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    many = toxicity.fit(docs_df, spark.createDataFrame([*labels, (900_001, 1)], "doc_id long, toxic int").union(orphans))
+    assert many.features == few.features and len(few.features) > 0
+    got = toxicity.score(docs_df, many).filter("toxic").count()
+    assert got == 100
+
+
+def test_texts_without_letters_teach_nothing(spark):
+    df = spark.createDataFrame([(i, "123 456", "en") for i in range(8)] + [(20, None, "fr"), (21, "bonjour", None)], "doc_id long, text string, lang string")
+    got = langid.identify(df, langid.fit(df)).collect()
+    assert {(r.lang_pred, r.score) for r in got} == {("und", 0.0)} and len(got) == 10
+    more = df.union(spark.createDataFrame([(100 + i, "the old house", "en") for i in range(20)], df.schema))
+    model = langid.fit(more)
+    assert model.languages == ("en",)
+    assert {r.lang_pred for r in langid.identify(more, model).filter("doc_id >= 100").collect()} == {"en"}
+
+
+def test_marks_belong_to_their_letters():
+    assert langid.letter_runs("नमस्ते दुनिया") == ["नमस्ते", "दुनिया"]
+    assert langid.letter_runs("a1b ½c é café ́x") == ["a", "b", "c", "é", "café", "x"]
+    assert langid.letter_runs("plain words") == ["plain", "words"]
+
+
+@pytest.mark.parametrize("equal", [2000, 0])
+def test_equal_rows_are_dealt_to_all_shards(spark, tmp_path, equal):
+    rnd = random.Random(equal)
+    rows = [(None, "x" * 200)] * equal + [(i, "y" * rnd.randint(0, 400)) for i in range(4000)] + [(5, "z" * 100)] * equal
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), f"file://{tmp_path}/m").collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((i, len(t) + 8) for i, t in rows)
+    load, places, slots = Counter(), defaultdict(list), Counter()
+    for r in got:
+        load[r.shard] += r.size
+        slots[r.virtual_slot] += r.size
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values()) and set(load) == set(range(24))
+    # brute force: slots, heaviest first, each to the lightest shard
+    best = [0] * 24
+    for b in sorted(slots.values(), reverse=True):
+        best[best.index(min(best))] += b
+    assert max(load.values()) - min(load.values()) <= max(max(best) - min(best), max(slots.values()))
+    assert max(load.values()) < 1.02 * sum(load.values()) / 24
+
+
+def test_slots_of_equal_rows_stay(spark, tmp_path):
+    rows = [(None, "same")] * 300 + [(i, "t") for i in range(100)]
+    slots = lambda n: Counter(r.virtual_slot for r in sharding.slotted(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), 64).collect())
+    assert slots(1) == slots(5)
+
+
+def test_an_empty_map_folder_is_no_map(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    got = sharding.shard(spark.createDataFrame([(1, "a")], "doc_id long, text string"), f"file://{tmp_path}/m", 3, 64)
+    assert got.count() == 1 and sharding.SlotMap.load(spark, f"file://{tmp_path}/m").version == 1
