@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,8 +32,8 @@ BLOCK = 1 << 20
 #: 64-bit words of the filter of texts that have a shared chunk: 8 MB, whatever the input. Beyond some 15 million such
 #: texts it lets others through as well, which then move without need.
 FILTER_WORDS = 1 << 20
-#: Words, and results of whole texts, that a worker keeps before it starts anew.
-CACHE_WORDS, CACHE_TEXTS = 200_000, 20_000
+#: Words, their pieces, and results of whole texts that a worker keeps before it starts anew.
+CACHE_WORDS, CACHE_PIECES, CACHE_TEXTS = 200_000, 400_000, 20_000
 
 
 def _mixed(code: np.ndarray) -> np.ndarray:
@@ -75,14 +76,28 @@ def key(text: str) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+#: Fixed value: the split that the tokenizers file must have.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Byte-level BPE stands for the bytes that aren't visible characters by those from 256 on, in order.
+VISIBLE = dict(zip((b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)), range(256, 512)))
+
+
 class Codec:
     """A tokenizers file: ids of texts as little-endian unsigned 32-bit numbers.
 
     Spaces and newlines stand in no token and end every one of this kind of file, so the
-    words between them are encoded by themselves and kept; new ones go to the library
-    together. An added token's content has no such character.
+    words between them are encoded by themselves and kept. New words of ASCII and common
+    Latin letters, whose normal form and splits are plain, are cut here and their pieces go
+    to the library's model; others go to the library whole. An added token's content has no
+    white space, and words with one are others.
     """
 
+    #: How the file splits a normalised word (of plain letters); and the letters taken as plain, of which
+    #: each is its own normal form and has one lower-case letter, which is plain too.
+    LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+")
+    PLAIN = re.compile(rf"[!-~{LETTERS}]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -90,6 +105,8 @@ class Codec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.names = [self.tokenizer.id_to_token(i) for i in range(size)]
         self.numbers = list(map(str, range(size)))
@@ -101,7 +118,7 @@ class Codec:
             d = json.load(f)
         kinds = [x["type"] for x in (d["normalizer"] or {}).get("normalizers", [])]
         splits = [x for x in (d["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"]
-        whole = kinds == ["NFC", "Replace", "Lowercase"] and splits and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and "\\s\\p{L}\\p{N}]" in splits[0]["pattern"]["Regex"]
+        whole = kinds == ["NFC", "Replace", "Lowercase"] and splits and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and splits[0]["pattern"]["Regex"] == SPLIT
         odd = [t["content"] for t in d["added_tokens"] if t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"])]
         if not whole or odd or d.get("decoder") or d.get("post_processor"):
             raise ValueError("this tokenizer isn't of the kind that drops white space between words")
@@ -116,11 +133,28 @@ class Codec:
         except KeyError:
             if len(self.known) > CACHE_WORDS:
                 self.known.clear()
-            new = [w for w in set(words) if w not in self.known]
-            for w, ids in zip(new, self.library(new)):
-                self.known[w] = np.array(ids, "<u4").tobytes()
+            self.learn({w for w in words if w not in self.known})
             return b"".join(map(self.known.__getitem__, words))
 
+    def learn(self, words: set[str]) -> None:
+        known, pieces, odd = self.known, self.pieces, []
+        if len(pieces) > CACHE_PIECES:
+            pieces.clear()
+        for w in words:
+            if not self.PLAIN.fullmatch(w) or any(t in w for t in self.added):
+                odd.append(w)
+                continue
+            found = self.SPLIT.findall(w.lower())
+            try:
+                known[w] = b"".join(map(pieces.__getitem__, found))
+            except KeyError:
+                for p in found:
+                    if p not in pieces:
+                        pieces[p] = np.array([t.id for t in self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(VISIBLE))], "<u4").tobytes()
+                known[w] = b"".join(map(pieces.__getitem__, found))
+        for w, ids in zip(odd, self.library(odd) if odd else ()):
+            known[w] = np.array(ids, "<u4").tobytes()
+
     def digests(self, ids: np.ndarray) -> tuple[int, str, str]:
         """How many ids there are, the digest of their decimal text, and that of the decoded text."""
         some = ids.tolist()

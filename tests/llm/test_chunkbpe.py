@@ -45,6 +45,13 @@ def test_joins_agree_wherever_texts_are_cut(codec, text, at, rnd):
     assert codec.decode(ids) == LIBRARY.decode(ids.tolist(), skip_special_tokens=False)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(codec="utf-8", max_codepoint=0x17F), max_size=30) | st.text("aBé'ÀÿµªºßsStTrReE-_.0<|9", max_size=20))
+def test_words_have_the_librarys_ids(codec, text):
+    for word in [text, *text.split(" ")]:
+        assert np.frombuffer(codec.encode(word), "<u4").tolist() == whole(word)
+
+
 def test_cuts_follow_the_content():
     rnd = random.Random(3)
     prose = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
