@@ -13,48 +13,6 @@ from tabloom.operators import governance, layout, nearmatch, rollups
 from tabloom.plans.service import Service
 from tabloom.session import discard, materialise
 from tabloom.sources import paged, readers
-from tabloom.streaming.ingest import MergedTable
-
-SCHEMA = "id string, v string, t string"
-
-
-def got(table):
-    return sorted(map(tuple, table.read().collect()))
-
-
-@pytest.mark.parametrize("step", ["write_partitioned", "_commit", "_clean"])
-def test_a_crash_between_steps_loses_nothing(spark, tmp_path, monkeypatch, step):
-    from tabloom.streaming import ingest
-
-    table = MergedTable(spark, str(tmp_path / "t"), ["id"], "v", buckets=4)
-    put = lambda rows, n: table.merge(spark.createDataFrame(rows, SCHEMA), n)
-    put([("a", "1", "x"), ("b", "1", "x")], 0)
-    put([("c", "1", "x")], 1)
-    first = got(table)
-
-    def crash(*a, **k):
-        raise RuntimeError("gone")
-
-    with monkeypatch.context() as m:
-        m.setattr(ingest, step, crash) if step == "write_partitioned" else m.setattr(table, step, crash)
-        with pytest.raises(RuntimeError):
-            put([("a", "2", "y"), ("d", "1", "x")], 2)
-    after = [("a", "2", "y"), ("b", "1", "x"), ("c", "1", "x"), ("d", "1", "x")]
-    assert got(table) == (after if step == "_clean" else first)
-    put([("a", "2", "y"), ("d", "1", "x")], 2)  # replayed
-    assert got(table) == after
-    put([("b", "3", "z")], 3)
-    assert got(table) == [after[0], ("b", "3", "z"), *after[2:]]
-
-
-def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
-    table = MergedTable(spark, str(tmp_path / "t"), ["id"], "v", buckets=8)
-    table.merge(spark.range(100).selectExpr("string(id) AS id", "'1' AS v", "'x' AS t"), 0)
-    table.merge(spark.createDataFrame([("5", "2", "y")], SCHEMA), 1)
-    folders = table._now()["folders"]
-    assert sorted(folders.values()).count("v1") == 1 and len(folders) == 8 and table.read().count() == 100
-    table.merge(spark.createDataFrame([], SCHEMA), 2)
-    assert table.read().filter("t = 'y'").count() == 1 and table.read().count() == 100
 
 
 @pytest.mark.parametrize("sql", [
