@@ -49,11 +49,7 @@ def sequences(coded: DataFrame) -> DataFrame:
     key = [F.xxhash64("ids").alias("k1"), F.xxhash64(F.lit("k"), "ids").alias("k2")]
     rows = materialise(coded.select("*", *key), "rebuilt")
     distinct = rows.groupBy("k1", "k2", "ids", "sizes").agg(F.count("*").alias("weight"), F.min("conv_id").alias("least"))
-    distinct = distinct.withColumn("many", F.col("weight") > 1)
-    few = F.sha2(F.col("least").cast("string"), 256)
-    many = rows.join(distinct.filter("many").select("k1", "k2"), ["k1", "k2"], "left_semi").select("k1", "k2", "conv_id")
-    digests = joined_digests(many)
-    out = distinct.join(digests, ["k1", "k2"], "left").select("ids", "sizes", "weight", "least", F.coalesce("ends", few).alias("ends"))
+    out = distinct.join(joined_digests(rows), ["k1", "k2"]).select("ids", "sizes", "weight", "least", "ends")
     return materialise(out, "sequences")
 
 
