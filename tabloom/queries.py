@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import classify, dates, nested
 from tabloom.functions import text as tx
-from tabloom.operators import governance, graph, merge, nearmatch, rollups, search
+from tabloom.operators import governance, graph, merge, nearmatch, rollups, search, setjoin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -308,9 +308,9 @@ def semi_join(spark, t):
     return t("orders").join(t("lineitem").filter("l_quantity > 49"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 def anti_join(spark, t):
-    return t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    return t("customer").join(t("orders").filter("o_totalprice > 400000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 @query("SELECT n_name, r_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
@@ -440,6 +440,20 @@ def near_title_clusters(spark, t):
     return nearmatch.clusters(nearmatch.scored(nearmatch.candidates(recs), recs), recs, 0.6).select("cluster", "records", "groups", "pair_count")
 
 
+@query(r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+    sets AS MATERIALIZED (SELECT list_sort(s) AS s, min(doc_id) AS set_id, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY ALL),
+    u AS MATERIALIZED (SELECT set_id, n, unnest(s) AS x FROM sets),
+    pairs AS MATERIALIZED (SELECT a.set_id AS a, b.set_id AS b FROM u a JOIN u b ON a.x = b.x AND a.set_id < b.set_id GROUP BY a.set_id, b.set_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+    edges AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+    reach AS (SELECT set_id AS a, set_id AS b FROM sets UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+    least AS (SELECT a AS set_id, min(b) AS class_id FROM reach GROUP BY a)
+    SELECT s.doc_id, coalesce(k.set_id, s.doc_id) AS set_id, coalesce(l.class_id, s.doc_id) AS class_id, CAST(len(s.s) AS INTEGER) AS shingles FROM s LEFT JOIN sets k ON list_sort(s.s) = k.s LEFT JOIN least l ON k.set_id = l.set_id""")
+def jaccard_pairs(spark, t):
+    """Whole documents alike at 0.8 or more by their five-word shingles: the class of each, and which have equal sets."""
+    return setjoin.classes(t("documents"), "doc_id", "text")
+
+
 @query()
 def connected_components(spark, t):
     """Customers linked by the parts that they order."""
