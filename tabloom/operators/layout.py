@@ -25,6 +25,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
+def moved(fs, a, b) -> None:
+    """Rename a to b; an error if that can't be done, which file systems report by False."""
+    if not fs.rename(a, b):
+        raise OSError(f"{a.toString()} couldn't be renamed to {b.toString()}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.exists(p)
@@ -79,11 +85,11 @@ def swap(df: DataFrame, path: str, by: list | None = None, least_ratio: float =
         raise
     ready, gone = f"{path.rstrip('/')}.__ready", f"{path.rstrip('/')}.__old"
     fs.delete(Path(ready), True)
-    fs.rename(Path(staged), Path(ready))
+    moved(fs, Path(staged), Path(ready))
     if old_rows is not None:
         fs.delete(Path(gone), True)
-        fs.rename(live, Path(gone))
-    fs.rename(Path(ready), live)
+        moved(fs, live, Path(gone))
+    moved(fs, Path(ready), live)
     fs.delete(Path(gone), True)
     return rows
 
@@ -94,7 +100,7 @@ def resume(spark: SparkSession, path: str) -> bool:
     base = path.rstrip("/")
     for beside in (f"{base}.__ready", f"{base}.__old"):
         if not fs.exists(live) and fs.exists(Path(beside)):
-            fs.rename(Path(beside), live)
+            moved(fs, Path(beside), live)
             return True
     return False
 
@@ -183,10 +189,22 @@ def seed_partitions(spark: SparkSession, source: str, path: str, columns: list[s
 
     Groups that are done stand in a ledger, so a run that was broken off goes on where it
     stopped and no group is doubled. Columns that older files lack are null; all are text.
+    A source that is a tree of the groups' folders is read folder by folder; any other is
+    dealt to such a tree once, so that no group costs a scan of everything.
     """
+    from tabloom.session import delete, shared_dir
+
     from .state import load, record
 
-    old = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(source)
+    reader = lambda: spark.read.option("mergeSchema", True)
+    fs, p, _ = _fs(spark, source)
+    tree, staged = any(f.getPath().getName().startswith(f"{by}=") for f in fs.listStatus(p)), None
+    if not tree:
+        whole = reader().option("recursiveFileLookup", True).parquet(source)
+        done = load(spark, ledger).select(F.col("key").alias("__done"))
+        staged = f"{shared_dir(spark)}/seed-{uuid.uuid4().hex}"
+        whole.join(done, F.col(by).cast("string") == F.col("__done"), "left_anti").filter(F.col(by).isNotNull()).write.partitionBy(by).parquet(staged)
+    old = reader().parquet(staged or source)
     rows = old.select(*((F.col(c) if c in old.columns else F.lit(None)).cast("string").alias(c) for c in columns))
     if groups is None:
         groups = [r[0] for r in rows.select(by).filter(F.col(by).isNotNull()).distinct().orderBy(by).collect()]  # as many as there are groups
@@ -195,6 +213,8 @@ def seed_partitions(spark: SparkSession, source: str, path: str, columns: list[s
     for g in loaded:
         write_partitioned(rows.filter(F.col(by) == g), path, [by])
         record(spark.createDataFrame([(str(g),)], "key string"), ledger)
+    if staged:
+        delete(spark, staged)
     return loaded
 
 

@@ -60,7 +60,7 @@ def _prefixes(sets: DataFrame, bitmap: DataFrame, words: int, similarity: float)
 
     length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9).cast("int") + 1
     ordered = F.sort_array(F.transform("s", placed))
-    return sets.crossJoin(F.broadcast(bitmap)).select("row", "n", F.slice(ordered, F.lit(1), length).alias("prefix"))  # with one row
+    return sets.crossJoin(F.broadcast(bitmap)).select("row", "n", "k1", F.slice(ordered, F.lit(1), length).alias("prefix"))  # with one row
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -70,16 +70,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(b, "b").join(a, "a").filter(both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both) - 1e-9).select("a", "b")
 
 
-def _labelled(posts: DataFrame, links: DataFrame | None) -> DataFrame:
+def _meeting(posts: DataFrame, label: str = "class") -> DataFrame:
+    """Places whose shingle has sets of several classes. The labels are added up by shingle first,
+    so only these few places are dealt further."""
+    meet = posts.groupBy("k").agg(F.min(label).alias("lo"), F.max(label).alias("hi")).filter("lo < hi").select("k")
+    return posts.join(meet, "k", "left_semi")
+
+
+def _relabelled(posts: DataFrame, links: DataFrame) -> DataFrame:
     """Places (k, row, n, pos) with the class of each set so far, where classes meet."""
-    if links is None:
-        out = posts.withColumn("class", F.col("row"))
-    else:
-        roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        out = posts.join(roots, F.col("row") == F.col("node"), "left").select("k", "row", "n", "pos", F.coalesce("root", "row").alias("class"))
-    out = materialise(out, "places")
-    meet = out.groupBy("k").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("k")
-    return materialise(out.join(meet, "k", "left_semi"), "meeting")
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    out = posts.drop("class").join(roots, F.col("row") == F.col("node"), "left").select("k", "row", "n", "pos", F.coalesce("root", "row").alias("class"))
+    return materialise(_meeting(materialise(out, "places")), "meeting")
 
 
 def _fits(x: str, y: str, similarity: float) -> Column:
@@ -89,22 +91,26 @@ def _fits(x: str, y: str, similarity: float) -> Column:
     return (nx >= similarity * ny - 1e-9) & (ny >= similarity * nx - 1e-9) & (room * (1 + similarity) >= similarity * (nx + ny) - 1e-9)
 
 
-def linked(sets: DataFrame, similarity: float = SIMILARITY, words: int = BITMAP, rounds: int = ROUNDS) -> DataFrame:
-    """Links (a, b) between rows of sets (row, s, n; s distinct hashes), enough to connect
-    all sets that are joined by steps of at least that similarity."""
-    pre = _prefixes(sets, _bitmap(sets, words), words, similarity)
-    posts = pre.select("row", "n", F.posexplode("prefix").alias("pos", "k")).select("k", "row", "n", "pos")
-    links = None
+def linked(rows: DataFrame, similarity: float = SIMILARITY, words: int = BITMAP, rounds: int = ROUNDS) -> DataFrame:
+    """Links (a, b) between rows (row, s, n, k1, k2; s distinct hashes, k1 and k2 two hashes of
+    the set), enough to connect all different sets that are joined by steps of at least that
+    similarity. Of rows with equal sets one stands for all."""
+    posts = _prefixes(rows, _bitmap(rows, words), words, similarity).select("row", "n", "k1", F.posexplode("prefix").alias("pos", "k"))
+    first = materialise(_meeting(posts, "k1").select("k", "row", "n", "pos"), "places")  # equal sets don't meet by this
+    key = ["n", "k1", "k2"]
+    one = rows.select("row", *key).groupBy(*key).agg(F.min("row").alias("row")).select("row")
+    first = materialise(_meeting(first.join(one, "row", "left_semi").withColumn("class", F.col("row"))), "meeting")
+    sets = materialise(rows.select("row", "s", "n").join(first.select("row").distinct(), "row", "left_semi"), "met_sets")
+    meeting, links = first, None
     for turn in range(rounds):
-        meeting = _labelled(posts, links)
         mixed = F.xxhash64("class", F.lit(turn))  # another one in each round
         lead = meeting.groupBy("k").agg(F.min(F.struct(mixed.alias("m"), "row", "class", "n", "pos")).alias("l")).select("k", "l.row", "l.class", "l.n", "l.pos")
         met = meeting.alias("x").join(lead.alias("y"), "k").filter((F.col("x.class") != F.col("y.class")) & _fits("x", "y", similarity))
         shared = met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).agg(F.count("*").alias("c"))
         best = shared.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b"))  # one for each set
         found = _verified(best, sets, similarity)
-        posts, links = meeting.drop("class"), materialise(found if links is None else links.union(found), "found")
-    meeting = _labelled(posts, links)
+        links = materialise(found if links is None else links.union(found), "found")
+        meeting = _relabelled(meeting, links)
     met = meeting.alias("x").join(meeting.alias("y"), "k").filter((F.col("x.class") < F.col("y.class")) & _fits("x", "y", similarity))
     pairs = met.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
     found = _verified(pairs, sets, similarity)
@@ -126,8 +132,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SIM
     rows = materialise(rows, "sets")
     key = ["n", "k1", "k2"]
     named = materialise(rows.filter("n > 0").groupBy(*key).agg(F.min("id").alias("set_id"), F.min("row").alias("row")), "members")
-    sets = rows.select("row", "s", "n").join(named.select("row"), "row", "left_semi")
-    roots = components(linked(sets, similarity, words, rounds).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots = components(linked(rows.filter("n > 0"), similarity, words, rounds).select(F.col("a").alias("u"), F.col("b").alias("v")))
     of = materialise(named.join(roots, F.col("row") == F.col("node"), "left").select(*key, "set_id", F.coalesce("root", "row").alias("root")), "classes")
     least = of.groupBy("root").agg(F.min("set_id").alias("class_id"))
     # one text may be a third of all rows: adaptive execution splits this join

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tabloom.operators.filetable import Conflict, Log
 from tabloom.operators.layout import _fs, write_partitioned
 from tabloom.operators.merge import latest, union_by_name
 
@@ -35,10 +36,6 @@ MOST_DELTAS, LARGE_SHARE = 16, 0.5
 NOTHING = {"version": -1, "base": {}, "base_bytes": 0, "deltas": [], "streams": {}}
 
 
-class Conflict(OSError):
-    """Another writer has made this version."""
-
-
 class MergedTable:
     """A table of the newest version of each key, kept by micro-batches.
 
@@ -48,47 +45,20 @@ class MergedTable:
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str, buckets: int = BUCKETS, most_deltas: int = MOST_DELTAS, large_share: float = LARGE_SHARE):
         self.spark, self.path, self.keys, self.version, self.buckets = spark, path.rstrip("/"), keys, version, buckets
-        self.most_deltas, self.large_share = most_deltas, large_share
-
-    # the log
+        self.most_deltas, self.large_share, self.log = most_deltas, large_share, Log(spark, f"{self.path}/_log")
 
     def _log(self) -> list[int]:
-        """The numbers of all log files, in order."""
-        fs, p, _ = _fs(self.spark, f"{self.path}/_log")
-        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-        return sorted(int(n.removesuffix(".json")) for n in names if n[:1].isdigit() and n.endswith(".json"))
+        return self.log.numbers()
 
     def _entry(self, number: int) -> dict:
-        fs, p, _ = _fs(self.spark, f"{self.path}/_log/{number:012d}.json")
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self.log.entry(number)
+
+    def _commit(self, entry: dict) -> None:
+        self.log.commit(entry)
 
     def state(self) -> dict:
         """What the table consists of: base folders by bucket, deltas (folder, bytes) by age, and the last batch of each stream."""
-        log = self._log()
-        return self._entry(log[-1]) if log else NOTHING
-
-    def _commit(self, entry: dict) -> None:
-        """Add the version that entry names; Conflict if there is one."""
-        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
-        fs, waiting, Path = _fs(self.spark, f"{self.path}/_log/_{uuid.uuid4().hex}")
-        out = fs.create(waiting, True)
-        try:
-            out.write(json.dumps(entry).encode())
-        finally:
-            out.close()
-        target = Path(f"{self.path}/_log/{entry['version']:012d}.json")
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        try:
-            context.rename(fs.makeQualified(waiting), fs.makeQualified(target), gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
-        except Exception as e:
-            fs.delete(waiting, False)
-            if fs.exists(target):
-                raise Conflict(f"version {entry['version']} exists already") from e
-            raise
+        return self.log.last() or NOTHING
 
     # reading
 
