@@ -10,6 +10,7 @@ relative positions and its key phrases word by word.
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,12 @@ SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
 
+def split_words(text: str) -> list[str]:
+    """The words of a template as the scan makes them of a file: a caller's may have any characters."""
+    lower = text.translate({c: c + 32 for c in range(65, 91)})
+    return [w for w in re.split(SPLIT, lower) if w]
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
@@ -31,16 +38,28 @@ class Template:
 
     @property
     def words(self) -> list[str]:
-        return self.text.split()
+        return split_words(self.text)
 
     def key_words(self) -> list[tuple[int, str]]:
         w, out = self.words, []
         for key in self.keys:
-            k = key.split()
+            k = split_words(key)
             at = next(i for i in range(len(w)) if w[i : i + len(k)] == k)
             out += [(at + j, x) for j, x in enumerate(k)]
         return sorted(set(out))
 
+#: Identifiers of licences, as words, and the labels that they stand for.
+IDENTIFIERS = {
+    "mit": "mit", "apache 2 0": "apache-2", "gpl 2 0": "gpl-2", "gpl 3 0": "gpl-3", "lgpl 2 1": "lgpl-2", "lgpl 3 0": "lgpl-3", "agpl 3 0": "agpl-3", "mpl 2 0": "mpl-2", "bsd 2 clause": "bsd", "bsd 3 clause": "bsd",
+    "isc": "isc", "unlicense": "unlicense", "cc0 1 0": "cc0", "cc by 4 0": "cc-by", "cc by sa 4 0": "cc-by-sa", "cc by nc 4 0": "cc-by-nc",
+}
+
+
+def _gnu(label: str, kind: str, version: str) -> Template:
+    """The header of a file under one of the GNU licences."""
+    key = f"gnu {kind}general public license as published by the free software foundation either version {version} of the license"
+    return Template(label, f"you can redistribute it and or modify it under the terms of the {key} or at your option any later version", (key,))
+
 
 #: Notices by which a text is put under a licence, as words.
 TEMPLATES = (
@@ -60,6 +79,15 @@ TEMPLATES = (
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms", "with or without modification")),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify", "with or without fee")),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
+    Template("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", ("the software is provided as is without warranty of any kind", "and noninfringement")),
+    Template("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties", ("by the copyright holders and contributors as is",)),
+    Template("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", ("unless required by applicable law or agreed to in writing",)),
+    Template("gpl-3", "the gnu general public license is a free copyleft license for software and other kinds of works", ("general public license is a free copyleft license for software",)),
+    Template("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", ("waived all copyright and related or neighboring rights",)),
+    _gnu("gpl-2", "", "2"), _gnu("gpl-3", "", "3"), _gnu("lgpl-2", "lesser ", "2 1"), _gnu("lgpl-3", "lesser ", "3"), _gnu("agpl-3", "affero ", "3"),
+    *(Template(label, f"spdx license identifier {name}", (f"spdx license identifier {name}",)) for name, label in IDENTIFIERS.items()),
+    *(Template(label, f"{name} {end}", (f"{name} {end}",)) for name, label in IDENTIFIERS.items() if "gpl" in name for end in ("or later", "only")),
+    *(Template(label, name, (name,)) for name, label in IDENTIFIERS.items() if name.startswith("cc")),
 )
 
 #: So many of a template's words are its rare ones, and so great a share of those must match.
@@ -98,8 +126,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
     # one key word of each template is looked up, as a match has them all; without keys any rare word may be the one that stands
     sought = [sorted(t.key_words(), key=lambda x: (rank[x[1]], x[0]))[:1] or r for t, r in zip(templates, rare)]
     searched = sorted({w for s in sought for _, w in s})
+    quoted = lambda x: x.replace("\\", "\\\\").replace("'", "\\'")
     places = lambda at: "array(" + ", ".join(f"struct({i} AS i, '{w}' AS w)" for i, w in at) + ")"
-    index = "array(" + ", ".join(f"struct('{t.label}' AS label, {places(r)} AS rare, {places(t.key_words())} AS keys)" for t, r in zip(templates, rare)) + ")"
+    index = "array(" + ", ".join(f"struct('{quoted(t.label)}' AS label, {places(r)} AS rare, {places(t.key_words())} AS keys)" for t, r in zip(templates, rare)) + ")"
     postings = "array(" + ", ".join(f"struct({k} AS t, {i} AS i, '{w}' AS w)" for k, s in enumerate(sought) for i, w in s) + ")"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = docs.select(F.col(id_col), F.inline(let(scan_words(text), lambda w: F.array(F.struct(w.alias("__w"))))))
