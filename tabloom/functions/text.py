@@ -61,15 +61,29 @@ def strip_quotes(c: Column | str) -> Column:
     return F.btrim(col(c), F.lit('"'))
 
 
+#: Frequent character references, which are decoded without leaving the JVM.
+FREQUENT_REFERENCES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&#34;": '"', "&nbsp;": "\xa0", "&#160;": "\xa0", "&middot;": "\xb7", "&copy;": "\xa9", "&reg;": "\xae", "&sect;": "\xa7",
+    "&ndash;": "\u2013", "&mdash;": "\u2014", "&lsquo;": "\u2018", "&rsquo;": "\u2019", "&ldquo;": "\u201c", "&rdquo;": "\u201d", "&hellip;": "\u2026", "&bull;": "\u2022", "&#8217;": "\u2019", "&#8220;": "\u201c", "&#8221;": "\u201d",
+}
+
+
 def unescape_html(c: Column | str) -> Column:
-    """Character references decoded, named ones by the full HTML table and numeric ones; in
-    Arrow batches, to which only texts with an ampersand are sent."""
+    """Character references decoded, named ones by the full HTML table and numeric ones.
+
+    Frequent ones are replaced by expressions; only texts with others go to Python, in
+    Arrow batches. An ampersand comes last, so that what it gives isn't decoded again.
+    """
     @F.pandas_udf("string")
     def unescaped(texts: pd.Series) -> pd.Series:
         return texts.map(html.unescape, na_action="ignore")
 
     has = col(c).contains("&")
-    return F.when(has, unescaped(F.when(has, col(c)))).otherwise(col(c))
+    plain = reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), FREQUENT_REFERENCES.items(), col(c))
+    # after an ampersand that is none of these, whatever follows "&amp;" counts too: texts may be sent in vain, never missed
+    other = F.replace(plain, F.lit("&amp;"), F.lit(" ")).rlike("&[#A-Za-z0-9]") | col(c).rlike("&#[xX0-9]+[^;xX0-9a-fA-F]|&#[xX0-9a-fA-F]+$")
+    rare = has & other
+    return F.when(~has, col(c)).when(rare, unescaped(F.when(rare, col(c)))).otherwise(F.replace(plain, F.lit("&amp;"), F.lit("&")))
 
 
 def clean_html(c: Column | str) -> Column:
@@ -146,4 +160,23 @@ def as_text(c: Column, kind: str) -> Column:
     """A scalar as Python's str would write it, null staying null: True, 1.0."""
     if kind == "boolean":
         return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    if kind in ("float", "double"):
+        return _float_text(c.cast("double"))
     return c.cast("string")
+
+
+def _float_text(x: Column) -> Column:
+    """A double as Python writes it: digits and an exponent from 1e16 on and below 1e-4, else plain. The digits
+    are the JVM's, which before version 19 writes one too many for a few numbers."""
+    own = F.abs(x).cast("string")  # the same digits, with an exponent from 1e7 on and below 1e-3
+    digits = F.regexp_replace(F.replace(F.substring_index(own, "E", 1), F.lit("."), F.lit("")), "0+$", "")
+    n = F.substring_index(own, "E", -1).cast("int")
+    sign = F.when((x < 0) | ((x == 0) & (x.cast("string") == "-0.0")), F.lit("-")).otherwise(F.lit(""))
+    many = F.length(digits)
+    whole = F.when(many <= n + 1, F.concat(F.rpad(digits, n + 1, F.lit("0")), F.lit(".0"))).otherwise(F.concat(F.left(digits, n + 1), F.lit("."), F.substr(digits, n + 2, many)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -n - 1), digits)
+    exponent = F.concat(F.when(n < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(n).cast("string"), F.greatest(F.lit(2), F.length(F.abs(n).cast("string"))), F.lit("0")))
+    scientific = F.concat(F.left(digits, F.lit(1)), F.when(many > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2), many))).otherwise(F.lit("")), F.lit("e"), exponent)
+    text = F.when(~own.contains("E"), own).when((n >= 0) & (n < 16), whole).when((n < 0) & (n >= -4), small).otherwise(scientific)
+    odd = F.when(F.isnan(x), F.lit("nan")).when(x == float("inf"), F.lit("inf")).when(x == float("-inf"), F.lit("-inf"))
+    return F.when(x.isNull(), F.lit(None)).otherwise(F.coalesce(odd, F.concat(sign, text)))

@@ -12,10 +12,10 @@ from tabloom.functions.dates import days_between
 from tabloom.functions.text import STOP_BIGRAMS, ENGLISH_STOP_WORDS, letters, strip_quotes
 
 
-def counts_over(inputs: dict[str, DataFrame | None], key: str, by: str | None = None) -> DataFrame:
+def counts_over(inputs: dict[str, DataFrame | None], key: str, by: str | list[str] | None = None) -> DataFrame:
     """One row for each key of any input, with its rows in each (0 if none); null keys go.
     An input may be missing. One with a column row_count is summed instead of counted. With
-    `by`, the keys of the most rows of that input come first."""
+    `by`, the keys of the most rows of that input (of several: in turn) come first."""
     # one pass over each input and one grouping of the partial counts
     parts = []
     for name, df in inputs.items():
@@ -27,7 +27,7 @@ def counts_over(inputs: dict[str, DataFrame | None], key: str, by: str | None =
     counted = reduce(DataFrame.unionByName, parts).groupBy(key)
     total = lambda name: F.coalesce(F.sum(F.when(F.col("__of") == name, F.col("__n"))), F.lit(0)).cast("bigint").alias(name)
     out = counted.agg(*map(total, inputs))
-    return out.orderBy(F.desc(by), F.asc(key)) if by else out
+    return out.orderBy(*(F.desc(b) for b in ([by] if isinstance(by, str) else by)), F.asc(key)) if by else out
 
 
 def feed_summary(records: DataFrame, key: str, comments: DataFrame | None, documents: DataFrame | None, end: str, posted: str) -> DataFrame:
@@ -74,10 +74,11 @@ def lifecycles(proposed: DataFrame, final: DataFrame, key: str, group: str, when
     return joined.select(key, group, *(["title"] if title else []), "kind", "proposed_date", "final_date", days_between("proposed_date", "final_date").alias("days"))
 
 
-def exploded_links(df: DataFrame, items: Column, name: str, keep: list[str], ordered: bool = False) -> DataFrame:
-    """A row for each item of an array that isn't blank, with the columns kept; ordered by all of them if asked."""
+def exploded_links(df: DataFrame, items: Column, name: str, keep: list[str], ordered: bool | list = False) -> DataFrame:
+    """A row for each item of an array that isn't blank, with the columns kept; ordered by all of
+    them if asked, or by item and then the given columns, F.desc(date) say."""
     out = df.select(F.explode(items).alias(name), *keep).filter(F.btrim(name) != "")
-    return out.orderBy(name, *keep) if ordered else out
+    return out.orderBy(name, *(keep if ordered is True else ordered)) if ordered else out
 
 
 def distinct_share(df: DataFrame, group: str, text: str, least_rows: int, top: int | None = None) -> DataFrame:

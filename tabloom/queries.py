@@ -387,6 +387,19 @@ def bm25_scores(spark, t):
     return search.bm25(t("documents"), "doc_id", "text", "worthless idiot", None).withColumn("score", F.round("score", 6))
 
 
+@query(SQL["bm25_scores"])
+def bm25_postings(spark, t):
+    """The same scores from a postings table, which is written first; the search reads no text."""
+    import uuid
+
+    from tabloom.operators import index
+    from tabloom.session import shared_dir
+
+    path = f"{shared_dir(spark)}/postings-{uuid.uuid4().hex}"
+    index.build_postings(t("documents"), "doc_id", "text", path)
+    return index.search_postings(spark, path, "worthless idiot", None).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 _Q = [((i * 37) % 19 - 9) / 10 for i in range(64)]
 _QSQL = "[" + ", ".join(map(str, _Q)) + "]::DOUBLE[]"
 
