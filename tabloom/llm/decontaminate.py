@@ -1,18 +1,24 @@
 """Benchmark decontamination with SimHash windows, built-in functions only.
 
-A window of a document has an item's number of words. Which items a document may hold
-comes from an index of each item's rarest shingles: a window that reaches the
-similarity lacks so few of the item's shingles that it has one of these. The document's
-shingles that stand in such an item are anchors; a window reaches the similarity only
-with enough of them, so all windows that hold so many, wherever in them these stand,
-are fingerprinted, and no others. A window is then looked up in the item's Hamming
-blocks: fingerprints that differ in at most RADIUS of 64 bits agree in one of
-RADIUS + 1 blocks, so none within the radius is missed. What is found is verified by
-exact shingle weights.
+A window of a document has an item's number of words. Which windows are looked at comes
+from an index of each item's rarest shingles: a window that reaches the similarity lacks
+so few of the item's shingles that it has one of these. The document's shingles that
+stand in such an item are anchors; a window reaches the similarity only with enough of
+them, so all windows that hold so many, wherever in them these stand, are fingerprinted,
+and no others.
+
+Which items a window is near to comes from a multi-index of their 256-bit fingerprints:
+each is cut into BLOCKS runs of bits. Fingerprints that differ in at most RADIUS bits
+differ in at most RADIUS // BLOCKS of some run, so an item stands in the index under
+all values that near to its own in each run, and a window is joined with it by run and
+value: none within the radius is missed. What is found is verified by exact shingle
+weights; only then are the shingles beside each other.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,8 +27,12 @@ from .common import let, materialise, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: At a similarity of 0.8 fingerprints differ in 9.7 bits of 64 on average, with a deviation of 2.9.
-RADIUS = 19
+#: 64-bit words of a fingerprint. At a similarity of 0.8 they differ in 39 of 256 bits on average, with a deviation of
+#: 5.7: one pair in a thousand of those exactly at 0.8 lies beyond the radius.
+WORDS, RADIUS = 4, 56
+#: Runs of bits, as (word, first bit, bits): five in each word.
+RUNS = tuple((w, 13 * i, 13 if i < 4 else 12) for w in range(WORDS) for i in range(5))
+BLOCKS = len(RUNS)
 #: The index of rare shingles is broadcast up to so many rows (24 bytes each); a longer one is joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 
@@ -59,11 +69,30 @@ def simhash(df: DataFrame, hashes: str, most: int) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(counts.alias("__c"))))).select(*df.columns, F.inline(F.array(F.struct(fp.alias("fp")))))
 
 
-def _blocks(fp: str, radius: int) -> Column:
-    """Of each of radius + 1 runs of bits: its number and value."""
-    m = radius + 1
-    at, size = f"(64 * b DIV {m})", f"(64 * (b + 1) DIV {m} - 64 * b DIV {m})"
-    return F.expr(f"transform(sequence(0, {radius}), b -> struct(b, shiftrightunsigned({fp}, CAST({at} AS INT)) & (shiftleft(1L, CAST({size} AS INT)) - 1)))")
+def fingerprinted(df: DataFrame, hashes: str, most: int, seeds: int = WORDS) -> DataFrame:
+    """df with fp0, fp1, ...: the words of the SimHash of an array of at most `most` hashes, each by
+    hashes with a seed of its own."""
+    seeded = lambda w: F.transform(hashes, lambda h: F.xxhash64(h, F.lit(w)))
+    for w in range(seeds):
+        if w:
+            df = df.withColumn("__h", seeded(w))
+        df = simhash(df, "__h" if w else hashes, most).withColumnRenamed("fp", f"fp{w}").drop("__h")
+    return df
+
+
+def _run_values(word: str = "fp") -> Column:
+    """The value of each run of a fingerprint, with its number."""
+    return F.array(*(F.struct(F.lit(k).alias("run"), F.shiftrightunsigned(f"{word}{w}", at).bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("value")) for k, (w, at, bits) in enumerate(RUNS)))
+
+
+def multi_index(items: DataFrame, radius: int) -> DataFrame:
+    """items (n, item, fp0, ...) under every value that may be a near fingerprint's: n, run, value, item."""
+    near = radius // BLOCKS
+    masks = {bits: [m for m in range(1 << bits) if m.bit_count() <= near] for bits in {r[2] for r in RUNS}}
+    wide = F.array(*(F.lit(k) for k, r in enumerate(RUNS) if r[2] == 13))
+    own = items.select("n", "item", F.inline(_run_values()))
+    masked = F.when(F.array_contains(wide, F.col("run")), F.lit(masks[13])).otherwise(F.lit(masks[12]))
+    return own.select("n", "run", "item", F.explode(F.transform(masked, lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
 
 
 def _text_key(text: Column) -> list[Column]:
@@ -71,6 +100,9 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("__k1"), F.xxhash64(F.lit("k"), text).alias("__k2")]
 
 
+FP = [f"fp{w}" for w in range(WORDS)]
+
+
 def _index(items: DataFrame, similarity: float) -> DataFrame:
     """The rarest shingles of each item (item, h): as many as a window may lack, and one."""
     each = items.select("item", "m", F.explode("hashes").alias("h")).groupBy("item", "m", "h").agg(F.count("*").alias("times"))
@@ -95,18 +127,24 @@ def _verified(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: fl
     # those texts, each once however many rows have it, with their shingles beside each of their items
     hashed = keyed.join(may.select("__k1", "__k2").distinct(), ["__k1", "__k2"], "left_semi").groupBy("__k1", "__k2").agg(F.first("text").alias("text"))
     hashed = hashed.select("__k1", "__k2", F.inline(let(_words(F.col("text")), lambda w: F.array(F.struct(_shingles(w, k).alias("all"))))))
-    fingerprint = simhash(item, "hashes", most).select("item", "item_id", "n", F.col("m").alias("item_m"), F.col("hashes").alias("item_hashes"), F.col("fp").alias("item_fp"), _blocks("fp", radius).alias("item_blocks"))
-    pairs = hashed.join(may, ["__k1", "__k2"]).join(fingerprint, "item")
+    prints = materialise(fingerprinted(item, "hashes", most).select("item", "item_id", "n", *FP, "hashes"), "benchmark_prints")
+    lookup = materialise(multi_index(prints, radius), "benchmark_multi_index")
+    hashed = materialise(hashed, "benchmark_texts")
+    pairs = hashed.join(may, ["__k1", "__k2"]).join(item.select("item", "n", F.col("m").alias("item_m"), F.col("hashes").alias("item_hashes")), "item")
     # starts of windows of which `need` anchors in a row lie within; a text no longer than the item is one window
     m = f"least(size(all), greatest(n - {k - 1}, 1))"
     near = f"array_sort(array_distinct(flatten(transform(rare, i -> sequence(greatest(i - {m} + 1, 0), least(i + {m} - 1, size(all) - 1))))))"
     pairs = pairs.select("*", F.inline(F.expr(f"array(struct({m} AS m, greatest(CAST(ceil(({m} + item_m) * {similarity}D / {1 + similarity}D - 1e-9D) AS INT), 1) AS need, {near} AS near))"))).select("*", F.inline(F.expr("array(struct(filter(near, i -> array_contains(item_hashes, all[i])) AS a))")))
     low, high = "greatest(a[j + need - 1] - m + 1, 0)", "least(a[j], size(all) - m)"
     starts = f"array_distinct(flatten(transform(sequence(0, size(a) - need), j -> CASE WHEN {low} <= {high} THEN sequence({low}, {high}) ELSE array() END)))"
-    windows = pairs.filter("size(a) >= need").select("*", F.explode(F.expr(starts)).alias("start"))
-    windows = windows.select("__k1", "__k2", "item_id", "n", "start", "item_hashes", "item_fp", "item_blocks", F.expr("slice(all, start + 1, m)").alias("hashes"))
-    near = simhash(windows, "hashes", most).filter(F.arrays_overlap(_blocks("fp", radius), F.col("item_blocks")))
-    near = near.withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).filter(F.col("hamming") <= radius)
+    windows = pairs.filter("size(a) >= need").select("__k1", "__k2", "n", F.explode(F.expr(starts)).alias("start"), "all", "m")
+    windows = fingerprinted(windows.select("__k1", "__k2", "n", "start", F.expr("slice(all, start + 1, m)").alias("hashes")), "hashes", most)
+    windows = materialise(windows.select("__k1", "__k2", "n", "start", *FP).distinct(), "benchmark_windows")  # shingles go no further
+    met = windows.select("*", F.inline(_run_values())).join(lookup, ["n", "run", "value"]).select("__k1", "__k2", "n", "start", *FP, "item").distinct()
+    theirs = prints.select("item", "item_id", F.col("hashes").alias("item_hashes"), *(F.col(c).alias(f"item_{c}") for c in FP))
+    hamming = reduce(lambda a, b: a + b, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"item_{c}"))) for c in FP))
+    found = met.join(theirs, "item").withColumn("hamming", hamming).filter(F.col("hamming") <= radius).drop(*FP, *(f"item_{c}" for c in FP))
+    near = found.join(hashed, ["__k1", "__k2"]).withColumn("hashes", F.expr(f"slice(all, start + 1, {m})"))
     once = lambda a: F.size(F.array_distinct(a)) == F.size(a)
     count = lambda side, h: F.size(F.filter(side, lambda x: x == h))
     weighed = F.aggregate(F.array_distinct("item_hashes"), F.lit(0), lambda a, h: a + F.least(count(F.col("item_hashes"), h), count(F.col("hashes"), h)))

@@ -403,3 +403,64 @@ def test_chat_digests(spark, tmp_path):
     assert (got[1].turns_sha256, got[1].loss_chars, got[1].loss_sha256, got[1].n_turns) == (sha("user\nhi\nassistant\né!\n"), 2, sha("é!"), 2)
     x = "</s>[INST] ok [/INST]"
     assert got[-1].loss_sha256 == sha(x) and got[-1].turns_sha256 == sha(f"user\n{x}\nassistant\n{x}\n") and got[-1].loss_chars == len(x)
+
+
+def test_every_near_fingerprint_meets_in_a_run(spark):
+    """The multi-index gives all pairs within the radius, whatever bits differ, and few others."""
+    rng = random.Random(31)
+    items = [(i, 9, *(rng.getrandbits(64) - (1 << 63) for _ in range(decontaminate.WORDS))) for i in range(12)]
+    windows = []
+    for far in (0, 1, 20, decontaminate.RADIUS - 1, decontaminate.RADIUS, decontaminate.RADIUS + 30):
+        for i in range(12):
+            words = [x & (1 << 64) - 1 for x in items[i][2:]]
+            # as evenly over the runs as can be, which is the hardest case, or anywhere
+            runs = [[64 * w + at + b for b in rng.sample(range(bits), bits)] for w, at, bits in decontaminate.RUNS]
+            bits = [r[k] for k in range(12) for r in runs][:far] if i % 2 else rng.sample(range(256), far)
+            for b in bits:
+                words[b // 64] ^= 1 << b % 64
+            windows.append((f"{far}-{i}", 9, *(x - (1 << 64) if x >> 63 else x for x in words)))
+    fps = ", ".join(f"{c} long" for c in decontaminate.FP)
+    lookup = decontaminate.multi_index(spark.createDataFrame(items, f"item long, n int, {fps}"), decontaminate.RADIUS)
+    from pyspark.sql import functions as F
+
+    w = spark.createDataFrame(windows, f"w string, n int, {fps}")
+    met = {(r.w, r.item) for r in w.select("w", "n", F.inline(decontaminate._run_values())).join(lookup, ["n", "run", "value"]).select("w", "item").distinct().collect()}
+    within = {(x[0], y[0]) for x in windows for y in items if sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in zip(x[2:], y[2:])) <= decontaminate.RADIUS}
+    assert within <= met and len(within) == 60 and len(met) < 0.5 * len(windows) * len(items)
+
+
+def test_recall_of_passages_near_the_threshold(spark):
+    """Against brute force over all item-sized windows: nearly all passages at 0.8 or more are found."""
+    rng = random.Random(32)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = [[word() for _ in range(rng.randint(20, 90))] for _ in range(30)]
+    rows = []
+    for i in range(240):
+        w = list(items[i % 30])
+        for _ in range(rng.randint(0, max(1, len(w) // 24))):
+            w[rng.randrange(len(w))] = word()
+        rows.append((i, [word() for _ in range(rng.randint(0, 40))] + w + [word() for _ in range(rng.randint(0, 40))]))
+    from collections import Counter as Bag
+
+    shingles = lambda w: Bag(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    want = set()
+    for d, w in rows:
+        item = items[d % 30]
+        own, n = shingles(item), len(item)
+        for s in range(max(1, len(w) - n + 1)):
+            there = shingles(w[s : s + n])
+            both = (own & there).total()
+            if both >= 0.8 * (own.total() + there.total() - both) - 1e-9:
+                want.add((d, d % 30))
+                break
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got <= want and len(want) > 100 and len(got) >= 0.99 * len(want)
+    # without the runs of the index nothing is a candidate
+    real = decontaminate.multi_index
+    decontaminate.multi_index = lambda items, radius: real(items, radius).filter("run < 0")
+    try:
+        assert decontaminate.contaminated(docs, bench).count() == 0
+    finally:
+        decontaminate.multi_index = real
