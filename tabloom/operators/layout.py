@@ -47,14 +47,14 @@ def write_clustered(df: DataFrame, path: str, by: list, rows_per_file: int = 5_0
     clustered(df, by).write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).option("parquet.block.size", row_group_bytes).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], sort: list | None = None, spread: int = 8) -> None:
+def write_partitioned(df: DataFrame, path: str, by: list[str], sort: list | None = None) -> None:
     """Overwrite only the partitions that df has; rows without a partition value go.
 
-    A large partition is spread over several tasks, so that none grows with its largest.
+    A partition is spread over as many tasks as its bytes need: adaptive execution splits
+    large ones and puts small ones together.
     """
     df = df.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in by))
-    dealt = df.repartition(*(F.col(c) for c in by), F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
-    dealt = dealt.sortWithinPartitions(*by, *(sort or []))
+    dealt = df.hint("rebalance", *by).sortWithinPartitions(*by, *(sort or []))
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
@@ -146,10 +146,9 @@ def write_staging(records: DataFrame, base: str, kind: str, group: str) -> int:
     return rows
 
 
-def write_partitioned_append(df: DataFrame, path: str, by: list[str], spread: int = 8) -> None:
-    """Append by group; a large group is spread over several tasks."""
-    dealt = df.repartition(*(F.col(c) for c in by), F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
-    dealt.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
+def write_partitioned_append(df: DataFrame, path: str, by: list[str]) -> None:
+    """Append by group; a large group is spread over as many tasks as its bytes need."""
+    df.hint("rebalance", *by).write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
 def merge_partitions(staged: DataFrame, path: str, by: list[str], keys: list[str], version: str, sort: list | None = None) -> list[dict]:

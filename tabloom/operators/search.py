@@ -76,12 +76,12 @@ def similar_to(df: DataFrame, id_col: str, vector: str, of: object, limit: int =
     return others.select(id_col, cosine(F.col(vector), F.col("__q")).alias("score")).filter("score IS NOT NULL").orderBy(F.desc("score"), F.asc(id_col)).limit(limit)
 
 
-def fused(rankings: list[DataFrame], id_col: str, limit: int = 10, k: int = RRF_K) -> DataFrame:
-    """Reciprocal-rank fusion of rankings (id and score), each a bounded list of its best."""
+def fused(rankings: list[DataFrame], id_col: str, limit: int = 10, k: int = RRF_K, depth: int = 1000) -> DataFrame:
+    """Reciprocal-rank fusion of rankings (id and score), each by its `depth` best."""
     ranked = None
     for r in rankings:
-        # a ranking is a top-k already, so one window over it is bounded
-        part = r.select(id_col, (F.lit(1.0) / (k + F.row_number().over(Window.orderBy(F.desc("score"), F.asc(id_col))))).alias("part"))
+        best = r.orderBy(F.desc("score"), F.asc(id_col)).limit(depth)  # so one window over it is bounded
+        part = best.select(id_col, (F.lit(1.0) / (k + F.row_number().over(Window.orderBy(F.desc("score"), F.asc(id_col))))).alias("part"))
         ranked = part if ranked is None else ranked.union(part)
     return ranked.groupBy(id_col).agg(F.sum("part").alias("score"), F.count("*").alias("found_by")).orderBy(F.desc("score"), F.asc(id_col)).limit(limit)
 

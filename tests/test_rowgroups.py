@@ -60,3 +60,19 @@ def test_a_task_that_fails_leaves_nothing_in_the_table(spark, tmp_path, monkeypa
     assert table.read().count() == 50 and len(table.leftovers()) >= 1
     table.leftovers(delete=True)
     assert {os.path.basename(f) for f in glob.glob(f"{path}/*.parquet")} == set(table.files())
+
+
+def test_a_large_group_is_split_by_its_bytes(spark, tmp_path):
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    df = spark.range(0, 60_000, 1, 12).selectExpr("CASE WHEN id % 50 = 0 THEN concat('g', id % 3) ELSE 'hot' END AS g", "sha2(string(id), 256) AS t")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        layout.write_partitioned(df, str(tmp_path / "t"), ["g"], ["t"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(glob.glob(f"{tmp_path}/t/g=hot/*.parquet")) > 8 and spark.read.parquet(str(tmp_path / "t")).count() == 60_000
+    layout.write_partitioned(spark.createDataFrame([("g1", "x"), (None, "y")], "g string, t string"), str(tmp_path / "t"), ["g"])
+    assert spark.read.parquet(str(tmp_path / "t")).filter("g = 'g1'").count() == 1
