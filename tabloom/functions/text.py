@@ -152,8 +152,8 @@ def preview(c: Column | str, n: int) -> Column:
 
 
 def letters(c: Column | str, least: int) -> Column:
-    """All runs of at least so many letters a-z between word boundaries, lower case."""
-    return F.regexp_extract_all(F.lower(col(c)), F.lit(rf"\b([a-z]{{{least},}})\b"), 1)
+    """All runs of at least so many letters a-z between word boundaries, lower case; letters and digits of any script are parts of words."""
+    return F.regexp_extract_all(F.lower(col(c)), F.lit(rf"(?U)\b([a-z]{{{least},}})\b"), 1)
 
 
 def as_text(c: Column, kind: str) -> Column:

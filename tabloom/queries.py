@@ -248,26 +248,20 @@ def overview(spark, t):
 _STOP = ", ".join(f"'{w}'" for w in tx.ENGLISH_STOP_WORDS)
 
 
-# runs of letters a-z between boundaries, where word characters are a-z, A-Z, 0-9 and _ for either engine
-_ASCII_WORDS = r"regexp_extract_all(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x7f]', '-', 'g'), '\b[a-z]{%d,}\b')"
+# runs of word characters of any script that are letters a-z only
+_WORDS = r"list_filter(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+'), lambda w: regexp_full_match(w, '[a-z]{%d,}'))"
 
 
-def _ascii(t):
-    """Conversations with any other character as a hyphen, as both engines disagree on which of those are letters."""
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return t("conversations").select(F.regexp_replace(lower, r"[^\x00-\x7f]", "-").alias("text"))
-
-
-@query(f"SELECT w AS word, count(*) AS n FROM (SELECT unnest({_ASCII_WORDS % 4}) AS w FROM conversations) WHERE w NOT IN ({_STOP}) GROUP BY 1")
+@query(f"SELECT w AS word, count(*) AS n FROM (SELECT unnest({_WORDS % 4}) AS w FROM conversations) WHERE w NOT IN ({_STOP}) GROUP BY 1")
 def word_frequency(spark, t):
-    return rollups.word_counts(_ascii(t), "text")
+    return rollups.word_counts(t("conversations"), "text")
 
 
-@query(f"""WITH w AS (SELECT {_ASCII_WORDS % 3} AS w FROM conversations),
+@query(f"""WITH w AS (SELECT {_WORDS % 3} AS w FROM conversations),
     b AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigram FROM w)
     SELECT bigram, count(*) AS n FROM b WHERE bigram NOT IN ('the the', 'of the', 'in the', 'to the', 'and the', 'for the', 'this is', 'that the') GROUP BY 1""")
 def bigram_frequency(spark, t):
-    return rollups.bigram_counts(_ascii(t), "text")
+    return rollups.bigram_counts(t("conversations"), "text")
 
 
 @query("""SELECT event_id, ts, 'early' AS \"end\", CAST(row_number() OVER (ORDER BY ts, event_id) AS INTEGER) AS rank FROM events QUALIFY rank <= 10
