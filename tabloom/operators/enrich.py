@@ -70,9 +70,28 @@ def pdf_text(data: bytes | None) -> tuple[str, str]:
         return "", "error"
 
 
+def capped(found, most: int = MOST_BYTES) -> bytes | None:
+    """The bytes of a download, or None if there are more than `most`. A download may come in chunks, and
+    is then left off as soon as it is too large, so that no more than that is ever held."""
+    if found is None or isinstance(found, (bytes, bytearray)):
+        return found if found is not None and len(found) <= most else None
+    held, size = [], 0
+    try:
+        for chunk in found:
+            size += len(chunk)
+            if size > most:
+                return None
+            held.append(chunk)
+    finally:
+        close = getattr(found, "close", None)
+        if close:
+            close()
+    return b"".join(held)
+
+
 def from_pdfs(df: DataFrame, id_col: str, fetch, extract=pdf_text, attachments: str = "attachments_json", file_url: str | None = None, text: str = "text_content", status: str = "text_extraction_status", **choose) -> DataFrame:
-    """The table with the texts of its PDFs. fetch takes a URL and returns its bytes or None;
-    extract takes bytes and returns text and status. Every row that was tried has a status."""
+    """The table with the texts of its PDFs. fetch takes a URL and returns its bytes, an
+    iterator of chunks of them (read until they are too many) or None; extract takes bytes and returns text and status. Every row that was tried has a status."""
     import pandas as pd
 
     ship(df.sparkSession)
@@ -81,7 +100,7 @@ def from_pdfs(df: DataFrame, id_col: str, fetch, extract=pdf_text, attachments:
 
     def run(frames):
         for f in frames:
-            got = [extract(d) if (d := fetch(u)) is not None and len(d) <= MOST_BYTES else ("", "error") for u in f["url"]]
+            got = [extract(d) if (d := capped(fetch(u))) is not None else ("", "error") for u in f["url"]]
             yield pd.DataFrame({"__id": f["__id"], "n": f["n"], "text": [t for t, _ in got], "status": [s for _, s in got]})
 
     parts = urls.mapInPandas(run, f"__id {urls.schema[0].dataType.simpleString()}, n int, text string, status string")

@@ -65,3 +65,25 @@ def test_pairs_are_those_of_brute_force_and_few_go_to_python(spark):
     bound = spark.createDataFrame([(by[p.a].norm, by[p.b].norm) for p in pairs.collect()], "a string, b string")
     kept = bound.filter(nearmatch.ratio_bound(F.col("a"), F.col("b"), nearmatch.char_counts("a"), nearmatch.char_counts("b")) >= 0.65).count()
     assert kept < pairs.count() and python > 0
+
+
+def test_downloads_are_left_off_when_too_large(spark):
+    from tabloom.operators import enrich
+
+    asked, closed = [], []
+
+    def chunks(n):
+        try:
+            for _ in range(n):
+                asked.append(1)
+                yield b"x" * 10
+        finally:
+            closed.append(1)
+
+    assert enrich.capped(chunks(3), 30) == b"x" * 30 and len(asked) == 3
+    assert enrich.capped(chunks(1000), 45) is None and len(asked) == 8 and len(closed) == 2
+    assert enrich.capped(None) is None and enrich.capped(b"ab", 1) is None and enrich.capped(b"", 1) == b""
+    pdf = '[{"url": "u1", "format": "pdf"}, {"url": "u2", "format": "pdf"}]'
+    df = spark.createDataFrame([("C", pdf, None, None)], "id string, attachments_json string, text_content string, text_extraction_status string")
+    done = enrich.from_pdfs(df, "id", lambda u: iter([b"a", u.encode()]), lambda b: (b.decode(), "ok")).first()
+    assert done.text_content == "au1\n\nau2"
