@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import enrich, layout
 from tabloom.plans.pipeline import Rollup, chain, run_all
 from tabloom.plans.service import Service, jsonable, seconds
-from tabloom.streaming.ingest import MergedTable, ingest
+from tabloom.streaming.ingest import MergedTable, ingest, stream_id
 
 
 def test_swap_guards_and_resumes(spark, tmp_path):
@@ -101,7 +101,7 @@ def test_microbatches_equal_a_batch(spark, tmp_path):
     ingest(spark, src, schema, target, ck, 1).awaitTermination()
     want = [("a", "3", "y"), ("b", "1", "x"), ("c", "1", "z")]
     assert sorted(map(tuple, target.read().collect())) == want
-    target.merge(spark.createDataFrame([("z", "9", "again")], schema), 0)  # a replayed batch
+    target.merge(spark.createDataFrame([("z", "9", "again")], schema), 0, stream_id(spark, ck))  # a replayed batch of this stream
     assert sorted(map(tuple, target.read().collect())) == want
     spark.createDataFrame([("b", "5", "new")], schema).coalesce(1).write.mode("append").parquet(src)
     ingest(spark, src, schema, target, ck, 1).awaitTermination()
