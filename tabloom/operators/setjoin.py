@@ -10,8 +10,10 @@ links connect. All of it is columns and joins:
   seem frequent; the order decides only how many sets meet, never what is found).
 - Sets that share a prefix shingle are first compared with one of them only, whose links
   join the bulk of each group of near copies. Then all that are still in different
-  classes are compared, where their sizes and the place of the shingle allow a link. So a
-  group never becomes all its pairs, and no link between classes is missed.
+  classes are compared, where their sizes, the place of their first shared shingle and the
+  number that their prefixes share allow a link. So a group never becomes all its pairs,
+  and no link between classes is missed.
+- Only prefixes and texts are kept; the sets of those to compare are made again.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import tokens
-from tabloom.session import materialise
+from tabloom.session import delete, materialise
 
 from .graph import components
 
@@ -44,36 +46,48 @@ def shingle_hashes(text: Column | str, k: int = SHINGLE) -> Column:
     return F.transform(F.array(tokens(text)), made)[0]
 
 
-def _bitmap(sets: DataFrame, words: int) -> DataFrame:
-    """One row with the bitmap of shingles that seem frequent."""
-    seen = sets.filter(F.pmod(F.xxhash64("row"), F.lit(LOOKED_AT)) == 0).select(F.explode("s").alias("h")).groupBy("h").count().filter(F.col("count") >= FREQUENT)
-    bits = seen.groupBy(F.pmod(F.shiftright("h", 6), F.lit(words)).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits"))
-    whole = bits.agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))  # as many entries as the bitmap has words
-    return whole.select(F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0).cast("long"))).alias("bitmap"))
+def _bitmap(hashes: DataFrame, words: int) -> DataFrame:
+    """One row with the bitmap of shingles h that seem frequent."""
+    seen = hashes.groupBy("h").count().filter(F.col("count") >= FREQUENT)
+    bits = seen.select(F.pmod(F.shiftright("h", 6), F.lit(words)).alias("word"), F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bits"))
+    blank = hashes.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    each = bits.union(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return each.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).getField("bits").alias("bitmap"))  # as long as words
 
 
-def _prefixes(sets: DataFrame, bitmap: DataFrame, words: int, similarity: float) -> DataFrame:
-    """row, n and the prefix of each set, in the order in which frequent shingles come last."""
-    def placed(h: Column) -> Column:
+def _placed(s: Column, words: int) -> Column:
+    """A set in the order in which frequent shingles come last."""
+    def one(h: Column) -> Column:
         bit = F.get("bitmap", F.pmod(F.shiftright(h, 6), F.lit(words)).cast("int"))
         return F.when(F.getbit(bit, (h.bitwiseAND(F.lit(63))).cast("int")) == 1, h + F.lit(LAST)).otherwise(h)
 
-    length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9).cast("int") + 1
-    ordered = F.sort_array(F.transform("s", placed))
-    return sets.crossJoin(F.broadcast(bitmap)).select("row", "n", "k1", F.slice(ordered, F.lit(1), length).alias("prefix"))  # with one row
+    return F.sort_array(F.transform(s, one))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of pairs (a, b) whose sets are alike enough."""
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, k: int) -> DataFrame:
+    """Those of pairs (a, b) whose sets are alike enough. The sets of these rows are made
+    from their texts again, which takes less room than keeping all sets."""
+    pairs = materialise(pairs, "pairs")
+    rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    sets = materialise(texts.join(rows, "row", "left_semi").select("row", "n", shingle_hashes("text", k).alias("s")), "met_sets")
     a, b = (sets.select(F.col("row").alias(x), F.col("s").alias(f"s{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(b, "b").join(a, "a").filter(both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both) - 1e-9).select("a", "b")
+    found = pairs.join(b, "b").join(a, "a").filter(both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both) - 1e-9).select("a", "b")
+    found = materialise(found, "found")
+    _drop(sets)
+    return found
+
+
+def _drop(table: DataFrame) -> None:
+    """Delete a materialised table that nothing reads any more."""
+    for path in table.inputFiles()[:1]:
+        delete(table.sparkSession, path.rsplit("/", 1)[0])
 
 
-def _meeting(posts: DataFrame, label: str = "class") -> DataFrame:
-    """Places whose shingle has sets of several classes. The labels are added up by shingle first,
-    so only these few places are dealt further."""
-    meet = posts.groupBy("k").agg(F.min(label).alias("lo"), F.max(label).alias("hi")).filter("lo < hi").select("k")
+def _meeting(posts: DataFrame, apart: Column) -> DataFrame:
+    """Places whose shingle has sets that are apart, as an aggregate tells. It is made by
+    shingle first, so only these few places are dealt further."""
+    meet = posts.groupBy("k").agg(apart.alias("apart")).filter("apart").select("k")
     return posts.join(meet, "k", "left_semi")
 
 
@@ -81,39 +95,51 @@ def _relabelled(posts: DataFrame, links: DataFrame) -> DataFrame:
     """Places (k, row, n, pos) with the class of each set so far, where classes meet."""
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     out = posts.drop("class").join(roots, F.col("row") == F.col("node"), "left").select("k", "row", "n", "pos", F.coalesce("root", "row").alias("class"))
-    return materialise(_meeting(materialise(out, "places")), "meeting")
+    return materialise(_meeting(materialise(out, "places"), F.min("class") < F.max("class")), "meeting")
 
 
 def _fits(x: str, y: str, similarity: float) -> Column:
-    """Whether sizes and the places of a shared shingle leave room for enough others."""
+    """Whether sizes leave room for enough others."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return (nx >= similarity * ny - 1e-9) & (ny >= similarity * nx - 1e-9)
+
+
+def _room(x: str, y: str, similarity: float) -> Column:
+    """Whether the places of a shared shingle, if it is their first, leave room for enough others."""
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
     room = F.least(nx - F.col(f"{x}.pos"), ny - F.col(f"{y}.pos"))
-    return (nx >= similarity * ny - 1e-9) & (ny >= similarity * nx - 1e-9) & (room * (1 + similarity) >= similarity * (nx + ny) - 1e-9)
+    return room * (1 + similarity) >= similarity * (nx + ny) - 1e-9
 
 
-def linked(rows: DataFrame, similarity: float = SIMILARITY, words: int = BITMAP, rounds: int = ROUNDS) -> DataFrame:
-    """Links (a, b) between rows (row, s, n, k1, k2; s distinct hashes, k1 and k2 two hashes of
-    the set), enough to connect all different sets that are joined by steps of at least that
-    similarity. Of rows with equal sets one stands for all."""
-    posts = _prefixes(rows, _bitmap(rows, words), words, similarity).select("row", "n", "k1", F.posexplode("prefix").alias("pos", "k"))
-    first = materialise(_meeting(posts, "k1").select("k", "row", "n", "pos"), "places")  # equal sets don't meet by this
-    key = ["n", "k1", "k2"]
-    one = rows.select("row", *key).groupBy(*key).agg(F.min("row").alias("row")).select("row")
-    first = materialise(_meeting(first.join(one, "row", "left_semi").withColumn("class", F.col("row"))), "meeting")
-    sets = materialise(rows.select("row", "s", "n").join(first.select("row").distinct(), "row", "left_semi"), "met_sets")
-    meeting, links = first, None
+def _apart(meeting: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of sets of different classes that may be alike enough. All shingles that
+    two prefixes share are counted: any other that the sets share comes after the end of
+    one of the prefixes, so that it is among what this set has beyond it."""
+    met = meeting.alias("x").join(meeting.alias("y"), "k").filter((F.col("x.class") < F.col("y.class")) & _fits("x", "y", similarity))
+    nx, ny = F.min("x.n"), F.min("y.n")
+    enough = similarity * (nx + ny) - 1e-9
+    beyond = F.ceil(F.greatest(nx, ny) * F.lit(similarity) - 1e-9) - 1
+    room = F.least(nx - F.min("x.pos"), ny - F.min("y.pos"))  # their first shared shingle and what follows
+    may = ((F.count("*") + beyond) * (1 + similarity) >= enough) & (room * (1 + similarity) >= enough)
+    return met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).agg(may.alias("may")).filter("may").select("a", "b")
+
+
+def linked(rows: DataFrame, similarity: float = SIMILARITY, k: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
+    """Links (a, b) between rows (row, text, n, prefix), no two of which have equal sets:
+    enough to connect all that are joined by steps of at least that similarity."""
+    posts = rows.select("row", "n", F.posexplode("prefix").alias("pos", "k"))
+    meeting = materialise(_meeting(posts, F.count("*") > 1).withColumn("class", F.col("row")), "meeting")
+    texts, links = rows.select("row", "n", "text"), None
     for turn in range(rounds):
         mixed = F.xxhash64("class", F.lit(turn))  # another one in each round
         lead = meeting.groupBy("k").agg(F.min(F.struct(mixed.alias("m"), "row", "class", "n", "pos")).alias("l")).select("k", "l.row", "l.class", "l.n", "l.pos")
-        met = meeting.alias("x").join(lead.alias("y"), "k").filter((F.col("x.class") != F.col("y.class")) & _fits("x", "y", similarity))
+        met = meeting.alias("x").join(lead.alias("y"), "k").filter((F.col("x.class") != F.col("y.class")) & _fits("x", "y", similarity) & _room("x", "y", similarity))
         shared = met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).agg(F.count("*").alias("c"))
         best = shared.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b"))  # one for each set
-        found = _verified(best, sets, similarity)
-        links = materialise(found if links is None else links.union(found), "found")
+        found = _verified(best, texts, similarity, k)
+        links = found if links is None else links.union(found)
         meeting = _relabelled(meeting, links)
-    met = meeting.alias("x").join(meeting.alias("y"), "k").filter((F.col("x.class") < F.col("y.class")) & _fits("x", "y", similarity))
-    pairs = met.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
-    found = _verified(pairs, sets, similarity)
+    found = _verified(_apart(meeting, similarity), texts, similarity, k)
     return found if links is None else links.union(found)
 
 
@@ -126,13 +152,17 @@ def classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SIM
     others, but an id that is smallest isn't null unless there is no other. Repeated rows
     stay; an empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("id"), shingle_hashes(text_col, k).alias("s"))
-    ordered = F.sort_array("s")
-    rows = rows.select("id", "s", F.size("s").alias("n"), F.xxhash64(ordered).alias("k1"), F.xxhash64(F.lit("k"), ordered).alias("k2"), F.monotonically_increasing_id().alias("row"))
-    rows = materialise(rows, "sets")
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    part = docs.filter(F.pmod(F.xxhash64("text"), F.lit(LOOKED_AT)) == 0).select(F.explode(shingle_hashes("text", k)).alias("h"))
+    rows = docs.select("id", "text", shingle_hashes("text", k).alias("s")).crossJoin(F.broadcast(_bitmap(part, words)))  # with one row
+    rows = rows.select("id", "text", F.size("s").alias("n"), _placed(F.col("s"), words).alias("s"), F.monotonically_increasing_id().alias("row"))
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9).cast("int") + 1
+    rows = rows.select("id", "text", "n", "row", F.slice("s", F.lit(1), length).alias("prefix"), F.xxhash64("s").alias("k1"), F.xxhash64(F.lit("k"), "s").alias("k2"))
+    rows = materialise(rows, "prefixes")
     key = ["n", "k1", "k2"]
     named = materialise(rows.filter("n > 0").groupBy(*key).agg(F.min("id").alias("set_id"), F.min("row").alias("row")), "members")
-    roots = components(linked(rows.filter("n > 0"), similarity, words, rounds).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    one = rows.join(named.select("row"), "row", "left_semi").select("row", "n", "prefix", "text")
+    roots = components(linked(one, similarity, k, rounds).select(F.col("a").alias("u"), F.col("b").alias("v")))
     of = materialise(named.join(roots, F.col("row") == F.col("node"), "left").select(*key, "set_id", F.coalesce("root", "row").alias("root")), "classes")
     least = of.groupBy("root").agg(F.min("set_id").alias("class_id"))
     # one text may be a third of all rows: adaptive execution splits this join
