@@ -13,6 +13,20 @@ def test_clean_html_decodes_before_it_strips(spark):
     assert one(spark, None, "string", tx.clean_html("x")) == ""
 
 
+def test_cut_references_stay_where_only_whole_ones_count(spark):
+    assert one(spark, "<title>a &amp;&amp</title>b &quo &eacute; &#x2014; &bogus; &notit; &copy2", "string", tx.clean_html("x", terminated=True)) == "a &&amp b &quo \xe9 \u2014 &bogus; &notit; &copy2"
+    assert one(spark, "a &lt;b&gt; &amp;lt;&amp", "string", tx.clean_html("x", terminated=True)) == "a &lt;&amp"
+    assert one(spark, "<title>a &amp;&amp</title>b", "string", tx.clean_html("x")) == "a && b"
+
+
+def test_the_page_query_keeps_cut_references_and_nulls(spark, tmp_path):
+    from tabloom import queries
+
+    spark.createDataFrame([(1, "<title>a&amp;&amp</title>"), (2, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = dict(map(tuple, queries.queries()["clean_html"](spark, str(tmp_path)).collect()))
+    assert got == {1: "a&&amp \xa7\xa7\u2014", 2: None}
+
+
 def test_ids_and_text(spark):
     assert one(spark, '"EPA-1" ', "string", tx.strip_quotes("x")) == 'EPA-1" '
     assert one(spark, "  The  Clean-Air ACT! ", "string", tx.normalised("x")) == "the clean air act"
