@@ -29,6 +29,8 @@ from .search import K1, B, cosine
 
 #: Folders of postings; documents of a range, about.
 FOLDERS, RANGE_DOCS = 256, 4096
+#: Ranges of a word that one task writes, about.
+TASK_RANGES = 256
 #: Centres of a vector index: the square root of the vectors, within these; vectors that they are fitted on at most, for
 #: each centre; rounds. How many cells a query reads is measured for this recall, on so many queries of the sample.
 CENTRES, SAMPLE_PER_CENTRE, ROUNDS = (1, 4096), 64, 8
@@ -57,6 +59,16 @@ def _folder(word: Column | str, folders: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(folders)).cast("int")
 
 
+def word_counts(words: Column | str) -> Column:
+    """The distinct words of a sorted array and how often each stands there: (word, tf)."""
+    def counted(w: Column) -> Column:
+        at = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1)).otherwise(F.array().cast("array<int>"))
+        firsts = F.filter(at, lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+        return F.transform(F.array(firsts), lambda f: F.transform(f, lambda i, j: F.struct(F.get(w, i).alias("word"), (F.coalesce(F.get(f, j + 1), F.size(w)) - i).alias("tf"))))[0]
+
+    return F.transform(F.array(F.col(words) if isinstance(words, str) else words), counted)[0]
+
+
 def build_postings(df: DataFrame, id_col: str, text: str, path: str, folders: int = FOLDERS, range_docs: int = RANGE_DOCS) -> None:
     """Write the index of a table's texts to path.
 
@@ -64,19 +76,23 @@ def build_postings(df: DataFrame, id_col: str, text: str, path: str, folders: in
     Rows of one id stay apart.
     """
     spark = df.sparkSession
-    docs = materialise(df.select(F.col(id_col).alias("id"), tokens(text).alias("w")).select("id", F.size("w").alias("len"), F.monotonically_increasing_id().alias("doc"), "w"), "words")
-    n, mean = docs.agg(F.count("*"), F.avg("len")).first()
+    n = df.count()
     ranges = max(1, -(-n // range_docs))
-    # counts within a document are made where it stands, before anything is dealt
-    counts = docs.select("id", "len", "doc", F.explode("w").alias("word")).groupBy("doc", "word").agg(F.count("*").cast("int").alias("tf"), F.first("id").alias("id"), F.first("len").alias("len"))
-    block = F.pmod(F.xxhash64("doc"), F.lit(ranges)).cast("int").alias("range")
-    rows = counts.groupBy("word", block).agg(  # about range_docs documents at most
-        F.collect_list(F.struct("id", "tf", "len")).alias("docs"), F.max("tf").alias("most"), F.min("len").alias("least"), F.count("*").alias("n")
+    docs = df.select(F.col(id_col).alias("id"), F.sort_array(tokens(text)).alias("w"), F.monotonically_increasing_id().alias("doc"))
+    docs = docs.select("id", F.size("w").alias("len"), F.pmod(F.xxhash64("doc"), F.lit(ranges)).cast("int").alias("range"), F.explode(word_counts("w")).alias("c"))
+    # words are counted where their document stands and are dealt once, to the task that writes them: no range
+    # of a word is in two tasks, and a task's share of a frequent word is bounded
+    parts = -(-ranges // TASK_RANGES)
+    dealt = docs.select("c.word", "range", "id", "c.tf", "len", _folder("c.word", folders).alias("folder"), F.pmod("range", F.lit(parts)).alias("part")).repartition(folders * parts, "folder", "part")
+    rows = dealt.groupBy("folder", "part", "word", "range").agg(  # about range_docs documents at most
+        F.collect_list(F.struct("id", "tf", "len")).alias("docs"), F.max("tf").alias("most"), F.min("len").alias("least"), F.count("*").alias("n"), F.sum("tf").alias("words")
     )
-    rows = rows.withColumn("folder", _folder("word", folders))
-    rows.repartition(folders, "folder").sortWithinPartitions("folder", "word", "range").write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 4 << 20).partitionBy("folder").parquet(f"{path}/postings")
-    kind = docs.schema["id"].dataType.simpleString()
-    _save(spark, f"{path}/about.json", {"docs": n, "mean": mean or 0.0, "ranges": ranges, "folders": folders, "schema": f"word string, range int, docs array<struct<id: {kind}, tf: int, len: int>>, most int, least int, n long, folder int"})
+    rows = rows.select("word", "range", "docs", "most", "least", "n", "words", "folder")
+    rows.sortWithinPartitions("folder", "word", "range").write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 4 << 20).partitionBy("folder").parquet(f"{path}/postings")
+    kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
+    about = {"docs": n, "ranges": ranges, "folders": folders, "schema": f"word string, range int, docs array<struct<id: {kind}, tf: int, len: int>>, most int, least int, n long, words long, folder int"}
+    words = spark.read.schema(about["schema"]).parquet(f"{path}/postings").agg(F.sum("words")).first()[0] or 0
+    _save(spark, f"{path}/about.json", about | {"mean": words / max(1, n)})
 
 
 def _words(query: str) -> list[str]:

@@ -45,6 +45,38 @@ def test_a_query_reads_its_words_folders_only(spark, postings):
         index.search_postings(spark, postings, " !")
 
 
+def shuffled(spark):
+    """Records that the stages of this session have written to shuffles so far."""
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_a_posting_is_dealt_once(spark, docs, tmp_path):
+    docs.count()
+    before = shuffled(spark)
+    index.build_postings(docs, "doc_id", "t", str(tmp_path / "p"), folders=8, range_docs=100)
+    made = spark.read.parquet(str(tmp_path / "p" / "postings"))
+    postings = made.agg(F.sum("n")).first()[0]
+    assert postings <= shuffled(spark) - before <= postings + 100  # and a few rows of counts
+    assert made.groupBy("word", "range").count().filter("count > 1").count() == 0
+
+
+def test_word_counts(spark):
+    df = spark.createDataFrame([(["a", "a", "b", "c", "c", "c"],), (["x"],), ([],)], "w array<string>")
+    got = [[tuple(x) for x in r[0]] for r in df.select(index.word_counts("w")).collect()]
+    assert got == [[("a", 2), ("b", 1), ("c", 3)], [("x", 1)], []]
+
+
+def test_a_frequent_word_is_written_by_several_tasks(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(index, "TASK_RANGES", 20)
+    path = str(tmp_path / "p")
+    index.build_postings(docs, "doc_id", "t", path, folders=2, range_docs=10)
+    assert spark.read.parquet(f"{path}/postings").filter("word = 'w1'").select(F.input_file_name()).distinct().count() > 1
+    got, want = index.search_postings(spark, path, "w1 w2", None).collect(), search.bm25(docs, "doc_id", "t", "w1 w2", None).collect()
+    assert {r.id: round(r.score, 9) for r in got} == {r.doc_id: round(r.score, 9) for r in want}
+
+
 def test_an_empty_table_has_an_index(spark, tmp_path):
     index.build_postings(spark.createDataFrame([], "doc_id long, t string"), "doc_id", "t", str(tmp_path / "e"), folders=2)
     index.build_cells(spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "id long, v array<double>"), "id", "v", str(tmp_path / "c"))
