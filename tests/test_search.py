@@ -71,3 +71,14 @@ def test_checks(spark):
     before = spark.createDataFrame([("t", 10)], "table_name string, row_count long")
     assert [r.ok for r in governance.count_changes(latest, before).collect()] == [False]
     assert governance.drift(["a", "b"], ["b", "c"], ["a"]) == {"missing_in_table": ["a"], "undeclared": ["c"], "undescribed": ["b"], "described_only": []}
+
+
+def test_titles_are_joined_without_the_driver(spark, tmp_path):
+    rows = [(i, f"ag{i % 3}", f"record number{i // 3} alpha{i // 3} beta{i // 3}") for i in range(300)]
+    spark.createDataFrame(rows, "id long, a string, t string").write.parquet(str(tmp_path / "t"))
+    recs = nearmatch.records(spark.read.parquet(str(tmp_path / "t")), "id", "a", "t", least_title=5)
+    pairs = nearmatch.scored(nearmatch.candidates(recs), recs)
+    found = nearmatch.clusters(pairs, recs, 0.6)
+    assert found.count() == 100  # three agencies each
+    for df in (pairs, found):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
