@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.session import materialise, shared_dir, ship
+from tabloom.session import bounded_batches, materialise, shared_dir
 
 __all__ = ["SPACE", "SPACE_CHARS", "bounded_batches", "let", "lower_ascii", "materialise", "shared_dir", "table", "words"]
 
@@ -31,16 +31,3 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value), with value computed once a row however often body names it."""
     return F.transform(F.array(value), body)[0]
-
-
-#: Bytes of an Arrow batch that goes to a Python worker, about.
-BATCH_BYTES, DEFAULT_BYTES = 16 << 20, "67108864b"
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Make ready for Python workers: they get this package, and batches bounded by bytes, so
-    that long texts and wide cells come in small ones; a session's own setting stays."""
-    ship(spark)
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key) == DEFAULT_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))

@@ -1,7 +1,7 @@
 """Exact set-similarity join of whole texts by their word shingles, as classes.
 
 Two sets are linked if their Jaccard similarity is at least a threshold; classes are what
-links connect. All of it is columns and joins:
+links connect. Columns and joins, with shingles made from word hashes in Arrow batches:
 
 - Texts of one set of shingles are one member from the start, so copies never meet.
 - Under any fixed order of shingles, two sets that are linked share a shingle within
@@ -18,11 +18,17 @@ links connect. All of it is columns and joins:
 
 from __future__ import annotations
 
+import hashlib
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import tokens
-from tabloom.session import delete, materialise
+from tabloom.session import bounded_batches, delete, materialise
 
 from .graph import components
 
@@ -35,15 +41,59 @@ LOOKED_AT, FREQUENT, BITMAP = 16, 4, 1 << 17
 LAST = 1 << 62
 
 
+#: Words of a shingle are multiplied by powers of this, by place.
+FIRST = 0x9E3779B97F4A7C15
+
+
+def _sets(words: pd.Series, k: int) -> list[np.ndarray]:
+    """The distinct k-word shingles of rows of word hashes, sorted, as hashes of 62 bits."""
+    factors = np.array([pow(FIRST, j + 1, 1 << 64) for j in range(k)], np.uint64)
+    out = []
+    for w in words:
+        w = np.asarray(w, np.int64).view(np.uint64)
+        m = min(len(w), k)
+        if not m:
+            out.append(np.zeros(0, np.int64))
+            continue
+        x = np.full(len(w) - m + 1, m, np.uint64)  # a text of fewer words is one shingle
+        for j in range(m):
+            x += w[j : len(w) - m + 1 + j] * factors[j]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        out.append(np.unique((x >> np.uint64(2)).view(np.int64)))
+    return out
+
+
+def _word_hashes(text: Column | str) -> Column:
+    return F.transform(tokens(text), lambda w: F.xxhash64(w))
+
+
 def shingle_hashes(text: Column | str, k: int = SHINGLE) -> Column:
-    """The distinct k-word shingles of a text as hashes of 62 bits. A text of fewer words is
-    one shingle, one without words has none; null is a text without words."""
-    def made(w: Column) -> Column:
-        at = F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0)))
-        each = F.transform(at, lambda i: F.shiftrightunsigned(F.xxhash64(*(F.get(w, i + j) for j in range(k))), 2))
-        return F.when(F.size(w) > 0, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
+    """The distinct k-word shingles of a text as hashes of 62 bits, sorted. A text of fewer words is
+    one shingle, one without words has none; null is a text without words. Words are made and
+    hashed by expressions; Arrow batches of their hashes become shingles."""
+    @F.pandas_udf("array<bigint>")
+    def made(words: pd.Series) -> pd.Series:
+        return pd.Series(_sets(words, k), dtype=object)
 
-    return F.transform(F.array(tokens(text)), made)[0]
+    return made(_word_hashes(text))
+
+
+def _prefixes(text: Column | str, bitmap: Broadcast, similarity: float, k: int) -> Column:
+    """Of a text's set: its size n, the prefix in the order in which frequent shingles come
+    last, and 128 bits of the set as its key."""
+    @F.pandas_udf("n int, prefix array<bigint>, key binary")
+    def made(words: pd.Series) -> pd.DataFrame:
+        bits, prefixes, sets = bitmap.value, [], _sets(words, k)
+        for s in sets:
+            last = (bits[(s >> 6) % len(bits)] >> (s & 63)) & 1
+            placed = np.concatenate([s[last == 0], s[last == 1] + LAST])
+            prefixes.append(placed[: len(s) - math.ceil(len(s) * similarity - 1e-9) + 1])
+        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        return pd.DataFrame({"n": np.array([len(s) for s in sets], np.int32), "prefix": pd.Series(prefixes, dtype=object), "key": digests})
+
+    return made(_word_hashes(text))
 
 
 def _bitmap(hashes: DataFrame, words: int) -> DataFrame:
@@ -55,15 +105,6 @@ def _bitmap(hashes: DataFrame, words: int) -> DataFrame:
     return each.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).getField("bits").alias("bitmap"))  # as long as words
 
 
-def _placed(s: Column, words: int) -> Column:
-    """A set in the order in which frequent shingles come last."""
-    def one(h: Column) -> Column:
-        bit = F.get("bitmap", F.pmod(F.shiftright(h, 6), F.lit(words)).cast("int"))
-        return F.when(F.getbit(bit, (h.bitwiseAND(F.lit(63))).cast("int")) == 1, h + F.lit(LAST)).otherwise(h)
-
-    return F.sort_array(F.transform(s, one))
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, k: int) -> DataFrame:
     """Those of pairs (a, b) whose sets are alike enough. The sets of these rows are made
     from their texts again, which takes less room than keeping all sets."""
@@ -152,14 +193,15 @@ def classes(docs: DataFrame, id_col: str, text_col: str, similarity: float = SIM
     others, but an id that is smallest isn't null unless there is no other. Repeated rows
     stay; an empty table gives no rows; other columns are ignored.
     """
+    spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     part = docs.filter(F.pmod(F.xxhash64("text"), F.lit(LOOKED_AT)) == 0).select(F.explode(shingle_hashes("text", k)).alias("h"))
-    rows = docs.select("id", "text", shingle_hashes("text", k).alias("s")).crossJoin(F.broadcast(_bitmap(part, words)))  # with one row
-    rows = rows.select("id", "text", F.size("s").alias("n"), _placed(F.col("s"), words).alias("s"), F.monotonically_increasing_id().alias("row"))
-    length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9).cast("int") + 1
-    rows = rows.select("id", "text", "n", "row", F.slice("s", F.lit(1), length).alias("prefix"), F.xxhash64("s").alias("k1"), F.xxhash64(F.lit("k"), "s").alias("k2"))
+    bitmap = spark.sparkContext.broadcast(np.array(_bitmap(part, words).first()[0], np.int64))  # of a fixed size
+    rows = docs.select("id", "text", _prefixes("text", bitmap, similarity, k).alias("s"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.select("id", "text", "s.n", "row", "s.prefix", "s.key")
     rows = materialise(rows, "prefixes")
-    key = ["n", "k1", "k2"]
+    key = ["n", "key"]
     named = materialise(rows.filter("n > 0").groupBy(*key).agg(F.min("id").alias("set_id"), F.min("row").alias("row")), "members")
     one = rows.join(named.select("row"), "row", "left_semi").select("row", "n", "prefix", "text")
     roots = components(linked(one, similarity, k, rounds).select(F.col("a").alias("u"), F.col("b").alias("v")))

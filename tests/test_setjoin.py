@@ -84,3 +84,27 @@ def test_a_group_of_near_copies_never_becomes_all_its_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(setjoin, "_verified", counted)
     assert {r[2] for r in got(spark, rows)} == {0} and sum(compared) < 4 * len(rows)
+
+
+def test_shingles_are_the_distinct_windows_of_a_text(spark):
+    words = [random.Random(9).choice("abc") for _ in range(300)]
+    texts = [" ".join(words), "a b c d e", "A-b c d, e", "a b c d", "a b c", "a b d c e", "b a", "a b", "a b a b a b a b", " .. ", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string")
+    got = dict(map(tuple, df.select("i", setjoin.shingle_hashes("text")).collect()))
+    assert all(s == sorted(set(s)) and all(0 <= h < 1 << 62 for h in s) for s in got.values())
+    assert len(got[0]) == len({tuple(words[i : i + 5]) for i in range(296)}) and set(got[1]) == set(got[2])
+    assert [len(got[i]) for i in range(1, 11)] == [1, 1, 1, 1, 1, 1, 1, 2, 0, 0]
+    assert len({got[i][0] for i in (1, 3, 4, 5, 6, 7)}) == 6
+
+
+def test_no_row_carries_the_bitmap(spark, monkeypatch):
+    plans, real = [], setjoin.materialise
+
+    def seen(df, name):
+        if name == "prefixes":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(setjoin, "materialise", seen)
+    got(spark, [(1, "a b c d e f"), (2, "a b c d e g")])
+    assert len(plans) == 1 and "Join" not in plans[0] and "ArrowEvalPython" in plans[0]
