@@ -29,6 +29,8 @@ MIN_CHI2, MIN_RATIO, MIN_TEXTS = 20.0, 6.0, 8
 TELLING_RATIO = 20.0
 #: Grades: 0 is not toxic, 1 to 3 are toxic texts by thirds of their number of words that have any of the features.
 GRADES = 4
+#: Words whose chosen features a task keeps before it starts anew.
+CACHE_WORDS = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -42,12 +44,16 @@ def features_of(word: str) -> list[str]:
     return [f"w {word}", *(f"{k} {word[:k]}" for k in (4, 5) if len(word) >= k)]
 
 
-def sparse(c: Counter, chosen: dict[str, bool]) -> tuple[Counter, int, int]:
+def sparse(c: Counter, chosen: dict[str, bool], known: dict[str, list[str]]) -> tuple[Counter, int, int]:
     """Counts of a text's chosen features (true for those that are telling), of its words
-    with a telling one, and of its words with others only."""
+    with a telling one, and of its words with others only. known: the words' chosen features so far."""
     out, telling, other = Counter(), 0, 0
+    if len(known) > CACHE_WORDS:
+        known.clear()
     for w, n in c.items():
-        found = [f for f in features_of(w) if f in chosen]
+        found = known.get(w)
+        if found is None:
+            found = known[w] = [f for f in features_of(w) if f in chosen]
         if found:
             for f in found:
                 out[f] += n
@@ -65,9 +71,9 @@ class Model:
     weights: np.ndarray  # one for each feature, then those of words with telling and with other features
     thresholds: np.ndarray  # ascending
 
-    def score(self, c: Counter, chosen: dict[str, bool], index: dict[str, int]) -> float:
+    def score(self, c: Counter, chosen: dict[str, bool], index: dict[str, int], known: dict[str, list[str]]) -> float:
         """w.x of a text's sparse features, the logarithms of their counts."""
-        found, telling, other = sparse(c, chosen)
+        found, telling, other = sparse(c, chosen, known)
         x = sum(self.weights[index[f]] * math.log1p(n) for f, n in found.items())
         return float(x + self.weights[-2] * math.log1p(telling) + self.weights[-1] * math.log1p(other))
 
@@ -153,8 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     chosen = {f: ratio[f] >= TELLING_RATIO for f in features}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for b in batches:
-            found = [sparse(counts(text), chosen) for text in b.column(1).to_pylist()]
+            found = [sparse(counts(text), chosen, known) for text in b.column(1).to_pylist()]
             at, x = [[index[f] for f in c] for c, _, _ in found], [list(c.values()) for c, _, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.int32())), pa.array([t for _, t, _ in found], pa.int64()), pa.array([o for _, _, o in found], pa.int64())],
@@ -198,10 +205,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def _scorer(model: Model, keep: list[str]):
     index, chosen = {f: i for i, f in enumerate(model.features)}, dict(zip(model.features, model.telling))
+    known: dict = {}  # each task's own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = [model.score(counts(text), chosen, index) for text in b.column(b.num_columns - 1).to_pylist()]
+            s = [model.score(counts(text), chosen, index, known) for text in b.column(b.num_columns - 1).to_pylist()]
             p = model.probabilities(np.array(s))
             toxic = 1 - p[:, 0]
             yield pa.RecordBatch.from_arrays(

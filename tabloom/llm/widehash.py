@@ -4,26 +4,36 @@ At a similarity of 0.8, fingerprints of 64 bits differ in 10 bits on average, as
 apart as unrelated texts come in a large corpus; with 256 bits copies at 0.8 differ in
 about 39 and unrelated texts in 128. Fingerprints are of distinct shingles, as the
 similarity is one of sets, and texts with one set of shingles are one node: no others are
-taken as alike without being compared. The comparison is the tiled one: tiles by
-population count, exact exclusive-or and bit counts with numpy. A fingerprint is an
-estimate, so what is within RADIUS is only a candidate, and links are verified by the
-Jaccard similarity of the texts' shingle sets.
+taken as alike without being compared. A fingerprint is an estimate, so what is within
+RADIUS is only a candidate, and links are verified by the Jaccard similarity of the
+texts' shingle sets.
+
+Which fingerprints are compared comes from an index of each text's first shingles, in
+one order for all texts, by hash with the frequent ones last: of two texts that reach
+the similarity either has so many shingles that the other has too that one of these is
+among the first of both (as many as a text may lack, and one). So the work grows with
+the texts and not with their pairs. Texts that meet under a shingle of few texts are
+compared there. Those under one of many (large groups of copies, mostly) are compared
+with each other in tiles by number of shingles, exact exclusive-or and bit counts with
+numpy; tiles whose numbers are too far apart for the similarity don't meet.
 
 Pairs within a large group are never all made. A pair of tiles returns a minimum
 spanning forest by differing bits, which has the closest links there are. Where one of
 these isn't verified, its component is disputed: its texts' shingle sets are compared
 exactly, in tiles too, and a pair of tiles returns a forest of what links classes that
-were apart. So two texts whose similarity is 0.8 or more and whose fingerprints are
-within RADIUS always end in one class.
+were apart. Of the pairs under a shingle of few texts a star of each text's neighbours
+is verified first, and others only where they may still join classes. So two texts whose
+similarity is 0.8 or more and whose fingerprints are within RADIUS always end in one class.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.graph import components
@@ -43,6 +53,15 @@ TILE_SHINGLES = 2_000_000
 TILE, BLOCK = 16384, 512
 NAMES = [f"w{i}" for i in range(WORDS)]
 MOST_PARTITIONS = 4096
+#: Texts under one shingle of the index whose pairs are all made; those of more are compared in tiles.
+FEW = 64
+#: Shingles are frequent, and last in the order, that stand in so many of one text in ONE_IN; so many of these at most. That
+#: is an estimate that only sets the order: any order gives the same classes, a good one makes groups of the index small.
+FREQUENT, ONE_IN, MOST_FREQUENT = 4, 16, 200_000
+#: Entries of the index in a task, and kinds of hashes that they are dealt by.
+ENTRIES, DEALT = 500_000, 4096
+#: Texts are tiled by the number of their shingles, in steps of this ratio.
+STEP = 1.06
 
 
 def _spans(text: str | None, shingle: int) -> tuple[bytes, list[tuple[int, int]]]:
@@ -69,19 +88,38 @@ def _distinct(data: bytes, spans: list[tuple[int, int]]) -> Iterator[list[bytes]
         yield list(dict.fromkeys([data[a:b] for a, b in spans]))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+#: No shingle is frequent.
+NONE = np.zeros((2, 0), np.uint64)
+
+
+def first(hashes: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a text's shingles in the order of all: by hash, those of frequent (their hashes,
+    sorted, and how frequent each is) last; as many as it may lack of those of a text that is so
+    similar, and one."""
+    n = len(hashes)
+    most = n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+    hashes = np.sort(hashes)
+    if frequent.shape[1] and most:
+        at = np.minimum(np.searchsorted(frequent[0], hashes), frequent.shape[1] - 1)
+        hashes = hashes[np.argsort(np.where(frequent[0][at] == hashes, frequent[1][at], 0), kind="stable")]
+    return hashes[:most]
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, frequent: np.ndarray = NONE, similarity: float = SIMILARITY) -> tuple[np.ndarray, int, bytes]:
     """Four 64-bit words by hashes of the text's distinct shingles, each with a seed of its
-    own, and two that tell sets of shingles apart (sums of 64-bit hashes)."""
+    own, and two that tell sets of shingles apart (sums of 64-bit hashes); the number of
+    these shingles; the hashes of the first of them."""
     import xxhash
 
     digest = xxhash.xxh3_128_digest
-    total, key, n = np.zeros(64 * WORDS, np.int64), np.zeros(2, np.uint64), 0
+    total, key, hashes = np.zeros(64 * WORDS, np.int64), np.zeros(2, np.uint64), [np.zeros(0, np.uint64)]
     for parts in _distinct(*_spans(text, shingle)):
         raw = np.frombuffer(b"".join([digest(p, 42) + digest(p, 43) for p in parts]), np.uint8).reshape(len(parts), -1)
-        total += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)  # of fewer than 65,536
         key += raw.view(np.uint64)[:, :2].sum(axis=0, dtype=np.uint64)
-        n += len(parts)
-    return np.concatenate([np.packbits(2 * total > n, bitorder="little").view(np.uint64), key])
+        hashes.append(raw.view(np.uint64)[:, 0])
+    hashes = np.concatenate(hashes)
+    return np.concatenate([np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64), key]), len(hashes), first(hashes, frequent, similarity).tobytes()
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -93,8 +131,9 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 
 KEY = ["none", "id", "k1", "k2"]
-#: What tells sets of shingles apart: texts of one set are alike at 1, and of equal fingerprints only those.
-SET = ["s1", "s2"]
+#: What belongs to a set of shingles: two that tell sets apart (texts of one set are alike at 1, and of equal fingerprints
+#: only those), the number of shingles, and the first ones.
+SET = ["s1", "s2", "n", "first"]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -116,20 +155,106 @@ def _by_text(rows: DataFrame, columns: list[str], make, schema: str, fields) ->
     return rows.select(*columns, "text").mapInArrow(run, f"{types}, {schema}")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The key of every row, the words of its fingerprint and of its set's key, as signed longs."""
-    names = [*NAMES, *SET]
+def frequent_shingles(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text") -> np.ndarray:
+    """Shingles of many texts, as sorted hashes, and of how many, by one distinct text in ONE_IN."""
+    import xxhash
+
+    bounded_batches(docs.sparkSession)
+    t = F.col(text_col).cast("string")
+    some = docs.select(t.alias("text")).filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(ONE_IN)) == 0)).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
+        for b in batches:
+            sets = [np.frombuffer(b"".join([digest(p, 42) for p in parts]), np.uint64)[::2] for text in b.column(0) for parts in _distinct(*_spans(text.as_py(), shingle))]
+            h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    many = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
+    found = np.array([tuple(r) for r in many.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).collect()], np.int64).reshape(-1, 2).T.view(np.uint64)
+    return np.ascontiguousarray(found[:, np.argsort(found[0])])
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", frequent: np.ndarray = NONE, similarity: float = SIMILARITY) -> DataFrame:
+    """The key of every row, the words of its fingerprint as signed longs, and what belongs to its set."""
+    longs = [*NAMES, *SET[:2]]
+
+    def columns(made):
+        fp = np.array([m[0] for m in made], np.uint64).reshape(-1, len(longs)).view(np.int64)
+        return [*(pa.array(np.ascontiguousarray(fp[:, i])) for i in range(len(longs))), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.binary())]
+
+    return _by_text(_keyed(docs, id_col, text_col), KEY, lambda t: fingerprint(t, shingle, frequent, similarity), ", ".join(f"{n} long" for n in [*longs, "n"]) + ", first binary", columns)
+
+
+def meeting(hashes: np.ndarray, sets: np.ndarray, sizes: np.ndarray, similarity: float, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries of the index (shingle, set, number of the set's shingles): the pairs of sets (u < v)
+    that meet under a shingle of few sets and whose numbers allow the similarity, each once; and
+    the sets under one of more."""
+    order = np.lexsort((sets, hashes))
+    hashes, sets, sizes = hashes[order], sets[order], sizes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (sets[1:] != sets[:-1])  # a set stands there once for each of its rows
+    hashes, sets, sizes = hashes[new], sets[new], sizes[new]
+    at = np.flatnonzero(np.concatenate([np.ones(min(1, len(hashes)), bool), hashes[1:] != hashes[:-1]]))
+    held = np.diff(np.append(at, len(hashes)))
+    held_by = np.repeat(held, held)
+    many = np.unique(sets[held_by > few])
+    some = (held_by > 1) & (held_by <= few)
+    hashes, sets, sizes = hashes[some], sets[some], sizes[some]
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, min(few, len(hashes))):
+        m, n = sizes[:-step], sizes[step:]
+        i = np.flatnonzero((hashes[:-step] == hashes[step:]) & (np.minimum(m, n) >= similarity * np.maximum(m, n) - 1e-9))
+        us.append(sets[i])
+        vs.append(sets[i + step])
+    u, v = np.concatenate(us), np.concatenate(vs)
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    new = np.ones(len(u), bool)
+    new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+    return u[new], v[new], many
+
+
+def indexed(sets: DataFrame, similarity: float, few: int | None = None) -> DataFrame:
+    """Pairs (u, v) of sets (s1, n, first) that meet in the index under a shingle of few, and the
+    sets (u, with v null) that stand under one of more."""
+    few = few or FEW
+    total = sets.agg(F.sum(F.length("first") / 8)).first()[0] or 0
+    parts = max(1, min(MOST_PARTITIONS, math.ceil(total / ENTRIES)))
+    dealt = min(DEALT, 8 * parts)
+
+    def blobs(x: np.ndarray, at: np.ndarray) -> pa.Array:
+        data = x.tobytes()
+        return pa.array([data[a * x.itemsize : b * x.itemsize] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(2).to_pylist()
+            times = np.fromiter((len(x) // 8 for x in own), np.int64, len(own))
+            h = np.frombuffer(b"".join(own), np.uint64)
+            to = (h % np.uint64(dealt)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            at = np.searchsorted(to[order], np.arange(dealt + 1))
+            s, n = (np.repeat(b.column(i).to_numpy(), times)[order] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dealt)), blobs(h[order], at), blobs(s, at), blobs(n, at)], ["to", "h", "s", "n"])
 
-    def columns(fps):
-        fp = np.array(fps, np.uint64).reshape(-1, len(names)).view(np.int64)
-        return [pa.array(np.ascontiguousarray(fp[:, i])) for i in range(len(names))]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[], [], []]
+        for b in batches:
+            for x, i in zip(held, (1, 2, 3)):
+                x += b.column(i).to_pylist()
+        h, s, n = (np.frombuffer(b"".join(x), t) for x, t in zip(held, (np.uint64, np.int64, np.int64)))
+        u, v, many = meeting(h, s, n, similarity, few)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([u, many])), pa.concat_arrays([pa.array(v), pa.nulls(len(many), pa.int64())])], ["u", "v"])
 
-    return _by_text(_keyed(docs, id_col, text_col), KEY, lambda t: fingerprint(t, shingle), ", ".join(f"{n} long" for n in names), columns)
+    # a task holds the entries of its shingles, as many as those of any other
+    entries = sets.select("s1", "n", "first").mapInArrow(deal, "to long, h binary, s binary, n binary").filter(F.length("h") > 0)
+    return entries.repartition(parts, "to").mapInArrow(run, "u long, v long")
 
 
 def tiling(count: dict[int, int], radius: int, tile: int) -> tuple[list[int], list[int], list[int], list[int], int]:
-    """For each bit count: its first tile, how many it is dealt to, and the range of tiles
-    that its tile meets (first and last); and the number of tiles. Rare counts share one."""
+    """For each step of numbers of shingles: its first tile, how many it is dealt to, and the range of
+    tiles that its tile meets (first and last); and the number of tiles. Rare steps share one."""
     top = 64 * WORDS + 1
     first, parts, n, fill = [0] * top, [1] * top, 0, 0
     for b in range(top):
@@ -246,18 +371,23 @@ def alike(x: tuple, y: tuple | None, similarity: float) -> tuple[np.ndarray, np.
     return np.array(us, np.int64), np.array(vs, np.int64)
 
 
-def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links (u, v) between ids of distinct fingerprints (id and words): of each pair of tiles a
-    minimum spanning forest of those of at most radius differing bits."""
+def _step(n: Column) -> Column:
+    """The step of a number of shingles; the last one has all beyond three million."""
+    return F.least(F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / F.lit(math.log(STEP))), F.lit(64 * WORDS)).cast("int")
+
+
+def links(fps: DataFrame, similarity: float, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """Links (u, v) between ids of distinct fingerprints (id, n and words): of each pair of tiles a
+    minimum spanning forest of those of at most radius differing bits. Tiles meet whose numbers of
+    shingles allow the similarity."""
     spark = fps.sparkSession
     bounded_batches(spark)
-    bits = sum((F.bit_count(n) for n in NAMES[1:]), F.bit_count(NAMES[0]))
-    rows = fps.withColumn("bits", bits)
-    count = {r.bits: r["count"] for r in rows.groupBy("bits").count().collect()}  # 257 rows at most
-    first, parts, low, high, n = tiling(count, radius, tile)
+    rows = fps.withColumn("step", _step(F.col("n")))
+    count = {r.step: r["count"] for r in rows.groupBy("step").count().collect()}  # 257 rows at most
+    first, parts, low, high, n = tiling(count, math.floor(math.log(1 / similarity) / math.log(STEP)) + 1, tile)
     if not n:
         return spark.createDataFrame([], "u long, v long")
-    of = lambda xs: F.get(F.array(*map(F.lit, xs)), F.col("bits"))
+    of = lambda xs: F.get(F.array(*map(F.lit, xs)), F.col("step"))
     rows = rows.select("id", *NAMES, (of(first) + F.pmod(F.xxhash64("id", *NAMES), of(parts)).cast("int")).alias("tile"), of(low).alias("low"), of(high).alias("high"))
     tiles = materialise(rows.groupBy("tile").agg(F.first("low").alias("low"), F.first("high").alias("high"), F.collect_list(F.struct("id", *NAMES)).alias("rows")), "tiles")
     spread = min(MOST_PARTITIONS, n * (n + 1) // 2)
@@ -306,34 +436,56 @@ def disputes(nodes: DataFrame, similarity: float, tile: int = TILE_SHINGLES) ->
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """pairs (u, v) with ok: whether the Jaccard similarity of their shingle sets (id, s) is that
+    """pairs (u, v and others) with ok: whether the Jaccard similarity of their shingle sets (id, s) is that
     great. A text with many links is joined last, so its set is never copied to a table."""
     a, b = (sets.select(F.col("id").alias(x), F.col("s").alias(f"s{x}")) for x in "uv")
     both = F.size(F.array_intersect("su", "sv"))
     all_ = F.size("su") + F.size("sv")
-    return pairs.join(b, "v").join(a, "u").select("u", "v", (both >= F.lit(similarity) * (all_ - both) - 1e-9).alias("ok"))
-
-
-def classes(docs: DataFrame, nodes: DataFrame, shingle: int, radius: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The root of every node (id, words, key) that is linked with another: (node, root)."""
-    found = materialise(links(nodes, radius), "candidates")
-    ends = found.select("u").union(found.select("v")).distinct().withColumnRenamed("u", "id")
+    return pairs.join(b, "v").join(a, "u").select(*pairs.columns, (both >= F.lit(similarity) * (all_ - both) - 1e-9).alias("ok"))
+
+
+def candidates(nodes: DataFrame, sets: DataFrame, similarity: float, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) between ids of nodes (id, words, s1, n): all that meet under a shingle of few
+    texts and whose fingerprints are within the radius, and forests of those of the others."""
+    met = materialise(indexed(sets, similarity), "met")
+    ends = [nodes.select(F.col("s1").alias(x), F.col("id").alias(f"id{x}"), *(F.col(n).alias(f"{n}{x}") for n in NAMES)) for x in "uv"]
+    far = sum((F.bit_count(F.col(f"{n}u").bitwiseXOR(F.col(f"{n}v"))) for n in NAMES[1:]), F.bit_count(F.col(f"{NAMES[0]}u").bitwiseXOR(F.col(f"{NAMES[0]}v"))))
+    pairs = met.filter("v IS NOT NULL").distinct().join(ends[0], "u").join(ends[1], "v").filter((far <= radius) & (F.col("idu") != F.col("idv")))
+    near = materialise(pairs.select(F.least("idu", "idv").alias("u"), F.greatest("idu", "idv").alias("v")).distinct(), "near")
+    many = met.filter("v IS NULL").select(F.col("u").alias("s1")).distinct()
+    tiled = links(materialise(nodes.join(many, "s1", "left_semi").select("id", "n", *NAMES), "many"), similarity, radius)
+    return near, materialise(tiled.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "tiled")
+
+
+def classes(docs: DataFrame, nodes: DataFrame, sets: DataFrame, shingle: int, radius: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The root of every node (id, words, s1, n, key) that is linked with another: (node, root)."""
+    near, tiled = candidates(nodes, sets, similarity, radius)
+    ends = near.select(F.explode(F.array("u", "v")).alias("id")).union(tiled.select(F.explode(F.array("u", "v")).alias("id"))).distinct()
     linked = nodes.join(ends, "id").select(F.col("id").alias("node"), *(F.col(f"key.{c}").alias(c) for c in KEY))
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) if c == "id" else F.col(f"d.{c}") == F.col(f"n.{c}") for c in KEY]
     texts = _keyed(docs, id_col, text_col).alias("d").join(materialise(linked, "linked").alias("n"), same).select("node", "text")
-    sets = _by_text(texts, ["node"], lambda t: shingle_set(t, shingle), "s array<bigint>", lambda s: [pa.array(s, pa.list_(pa.int64()))])
+    shingles = _by_text(texts, ["node"], lambda t: shingle_set(t, shingle), "s array<bigint>", lambda s: [pa.array(s, pa.list_(pa.int64()))])
     # rows of one id and text are one node
-    sets = materialise(sets.groupBy("node").agg(F.first("s").alias("s")).withColumnRenamed("node", "id"), "shingles")
-    tried = materialise(verified(found, sets, similarity), "verified")
+    shingles = materialise(shingles.groupBy("node").agg(F.first("s").alias("s")).withColumnRenamed("node", "id"), "shingles")
+    # of near each node's least neighbour before it, which joins most of a class with few links
+    star = near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v", F.lit(False).alias("tiled"))
+    found = star.union(tiled.withColumn("tiled", F.lit(True))).groupBy("u", "v").agg(F.max("tiled").alias("tiled"))
+    tried = materialise(verified(found, shingles, similarity), "verified")
     good = tried.filter("ok").select("u", "v")
     roots = materialise(components(good), "roots")
-    if tried.filter("NOT ok").isEmpty():
-        return roots
-    groups = components(found).select(F.col("node").alias("id"), F.col("root").alias("grp"))
-    bad = tried.filter("NOT ok").join(groups, F.col("u") == F.col("id")).select("grp").distinct()
-    disputed = groups.join(bad, "grp").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "grp", F.coalesce("root", "id").alias("root"))
-    more = disputes(disputed.join(sets, "id"), similarity)
-    return components(good.union(more))
+    # the others of near, where they may still join classes
+    root = [roots.select(F.col("node").alias(x), F.col("root").alias(f"root{x}")) for x in "uv"]
+    rest = near.join(tried.select("u", "v"), ["u", "v"], "left_anti").join(root[0], "u", "left").join(root[1], "v", "left")
+    rest = rest.filter(F.coalesce("rootu", "u") != F.coalesce("rootv", "v")).select("u", "v")
+    late = materialise(verified(rest, shingles, similarity).filter("ok").select("u", "v"), "verified")
+    disputed = tried.filter("tiled AND NOT ok")
+    if disputed.isEmpty():
+        return roots if late.isEmpty() else components(good.union(late))
+    groups = components(tiled).select(F.col("node").alias("id"), F.col("root").alias("grp"))
+    bad = disputed.join(groups, F.col("u") == F.col("id")).select("grp").distinct()
+    apart = groups.join(bad, "grp").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "grp", F.coalesce("root", "id").alias("root"))
+    more = disputes(apart.join(shingles, "id"), similarity)
+    return components(good.union(late).union(more))
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -351,10 +503,10 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, i
     columns = docs.columns
     i, t = (f"c{columns.index(c)}" for c in (id_col, text_col))
     docs = docs.toDF(*(f"c{k}" for k in range(len(columns))))  # names that can't clash with those used here
-    fps = fingerprints(docs, shingle, i, t)
-    rows = fps.groupBy(*NAMES, *SET).agg(F.min(F.struct(*KEY)).alias("key")).drop(*SET)
-    nodes = materialise(rows.withColumn("id", F.monotonically_increasing_id()), "fingerprints")  # written once, so ids stay
-    roots = classes(docs, nodes, shingle, radius, similarity, i, t)
+    fps = materialise(fingerprints(docs, shingle, i, t, frequent_shingles(docs, shingle, t), similarity), "fingerprints")
+    rows = fps.groupBy(*NAMES, *SET[:2]).agg(F.min(F.struct(*KEY)).alias("key"), F.max("n").alias("n"))
+    nodes = materialise(rows.withColumn("id", F.monotonically_increasing_id()), "nodes")  # written once, so ids stay
+    roots = classes(docs, nodes, fps, shingle, radius, similarity, i, t)
     of = nodes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("key").alias("key"))
     stay = materialise(of.select(*(F.col(f"key.{c}").alias(f"__{c}") for c in KEY)), "stay")
     text = F.col(t).cast("string")
