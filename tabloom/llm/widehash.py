@@ -166,9 +166,11 @@ def frequent_shingles(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for b in batches:
-            sets = [np.frombuffer(b"".join([digest(p, 42) for p in parts]), np.uint64)[::2] for text in b.column(0) for parts in _distinct(*_spans(text.as_py(), shingle))]
-            h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+            for at in range(0, b.num_rows, 128):  # few at once, as each shingle is a row
+                texts = b.column(0)[at : at + 128].to_pylist()
+                raw = b"".join([digest(p, 42) for text in texts for parts in _distinct(*_spans(text, shingle)) for p in parts])
+                h, n = np.unique(np.frombuffer(raw, np.uint64)[::2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
     many = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
     found = np.array([tuple(r) for r in many.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).collect()], np.int64).reshape(-1, 2).T.view(np.uint64)
@@ -236,15 +238,18 @@ def indexed(sets: DataFrame, similarity: float, few: int | None = None) -> DataF
             order = np.argsort(to, kind="stable")
             at = np.searchsorted(to[order], np.arange(dealt + 1))
             s, n = (np.repeat(b.column(i).to_numpy(), times)[order] for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dealt)), blobs(h[order], at), blobs(s, at), blobs(n, at)], ["to", "h", "s", "n"])
+            # half of a hash goes with what it is dealt by: shingles that agree in both make pairs too many, and none too few
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dealt)), blobs((h[order] >> np.uint64(32)).astype(np.uint32), at), blobs(s, at), blobs(n.astype(np.int32), at)], ["to", "h", "s", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[], [], []]
+        held = [[], [], [], []]
         for b in batches:
-            for x, i in zip(held, (1, 2, 3)):
+            times = np.fromiter((len(x) // 4 for x in b.column(1).to_pylist()), np.int64, b.num_rows)
+            held[0].append(np.repeat(b.column(0).to_numpy(), times).tobytes())
+            for x, i in zip(held[1:], (1, 2, 3)):
                 x += b.column(i).to_pylist()
-        h, s, n = (np.frombuffer(b"".join(x), t) for x, t in zip(held, (np.uint64, np.int64, np.int64)))
-        u, v, many = meeting(h, s, n, similarity, few)
+        to, h, s, n = (np.frombuffer(b"".join(x), t) for x, t in zip(held, (np.uint64, np.uint32, np.int64, np.int32)))
+        u, v, many = meeting(to << np.uint64(32) | h, s, n, similarity, few)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([u, many])), pa.concat_arrays([pa.array(v), pa.nulls(len(many), pa.int64())])], ["u", "v"])
 
     # a task holds the entries of its shingles, as many as those of any other
